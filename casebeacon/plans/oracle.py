@@ -379,7 +379,8 @@ SELECT case_id, ts + INTERVAL '1' HOUR, region_id, patient_age + 1 FROM cases WH
     ),
     "validate_required": with_views(
         f"""SELECT "offset", coalesce(len(gone) = 0, false) AS accepted, array_to_string(gone, ',') AS missing FROM (
-  SELECT "offset", list_filter({_REQUIRED}, lambda f: NOT list_contains(json_keys(record), f)) AS gone
+  SELECT "offset", CASE WHEN record IS NOT NULL THEN
+    list_filter({_REQUIRED}, lambda f: NOT list_contains(json_keys(record), f)) END AS gone
   FROM (SELECT "offset", coalesce(json_extract(j, '$.payload'), j) AS record
     FROM (SELECT "offset", TRY_CAST("value" AS JSON) AS j FROM messages)))""",
         "messages",
