@@ -13,7 +13,7 @@ def spark():
     from casebeacon.session import build_session
 
     session = build_session(
-        "tests", "local[8]", spark__sql__shuffle__partitions="8", spark__driver__memory="8g"
+        "tests", "local[8]", spark__sql__shuffle__partitions="4", spark__driver__memory="8g"
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
