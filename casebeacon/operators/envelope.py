@@ -75,37 +75,58 @@ def validate_required(
     )
 
 
+def parsed_message(value: str, schema: T.StructType) -> Column:
+    """Both forms of a message from one parse: its own fields and those of its payload."""
+    both = T.StructType(
+        [*schema.fields, T.StructField("payload", schema), T.StructField("_unreadable", T.StringType())]
+    )
+    return F.from_json(value, both, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_unreadable"})
+
+
 def decode_messages(
     messages: DataFrame,
     value: str = "value",
     schema: T.StructType = WIRE_CASE,
     required: Sequence[str] = REQUIRED_FIELDS,
 ) -> DataFrame:
-    """Adds ``record`` (the parsed fields) and ``error`` (null when the record is usable)."""
-    readable = T.StructType([*schema.fields, T.StructField("_unreadable", T.StringType())])
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_unreadable"}
-    decoded = (
-        messages.withColumn("_text", record_text(value))
-        .withColumn("_missing", missing_fields(F.col("_text"), required))
-        .withColumn("record", F.from_json("_text", readable, options))
+    """Adds ``record`` (the parsed fields) and ``error`` (null when the record is usable).
+
+    Keys are looked at only where a required field came out null: a value proves its key.
+    The one-row `inline` keeps the parse in one place; a filter on ``error`` would otherwise
+    be moved below it and parse every message again.
+    """
+    message = F.col("_message")
+    flat = F.struct(*(message[f].alias(f) for f in schema.names))
+    parsed = messages.withColumn("_message", parsed_message(value, schema)).select(
+        *messages.columns,
+        F.inline(
+            F.array(
+                F.struct(
+                    F.coalesce(message["payload"], flat).alias("record"),
+                    message["_unreadable"].isNotNull().alias("_unreadable"),
+                )
+            )
+        ),
     )
-    error = (
-        F.when(F.col("_missing").isNull(), "Not a JSON object")
-        .when(
-            F.array_size("_missing") > 0,
-            F.concat(F.lit("Missing fields: "), F.array_join("_missing", ", ")),
-        )
-        .when(F.col("record._unreadable").isNotNull(), "Unreadable field value")
+    complete = F.lit(True)
+    for field in required:
+        complete = complete & F.col("record")[field].isNotNull()
+    missing = missing_fields(record_text(value), required)
+    error = F.when(complete & ~F.col("_unreadable"), F.lit(None)).otherwise(
+        F.when(missing.isNull(), "Not a JSON object")
+        .when(F.array_size(missing) > 0, F.concat(F.lit("Missing fields: "), F.array_join(missing, ", ")))
+        .when(F.col("_unreadable"), "Unreadable field value")
     )
-    return decoded.withColumn("error", error).drop("_text", "_missing")
+    return parsed.withColumn("error", error).drop("_unreadable")
 
 
 def unwrap_envelope(
     messages: DataFrame, value: str = "value", schema: T.StructType = WIRE_CASE
 ) -> DataFrame:
     """The fields of each message, accepting wrapped and flat records."""
-    record = F.from_json(record_text(value), schema)
-    return messages.select(record.alias("record")).select("record.*")
+    return decode_messages(messages, value, schema, ()).select(
+        *(F.col("record")[f].alias(f) for f in schema.names)
+    )
 
 
 def good_records(decoded: DataFrame, schema: T.StructType = WIRE_CASE) -> DataFrame:

@@ -74,7 +74,9 @@ def read_raw_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def read_clean_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return files.read_parquet(spark, f"{sf_dir}/events.parquet").select("event_id", "ts", "event_type", "value")
+    return files.read_parquet(spark, f"{sf_dir}/events.parquet", views.SCHEMAS["events"]).select(
+        "event_id", "ts", "event_type", "value"
+    )
 
 
 @query
@@ -187,16 +189,20 @@ def wrap_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Wrapped and unwrapped again: the payload field by field, and the wire types."""
     cases = views.cases(spark, sf_dir).select("event_id", *_WRAPPED)
     wrapped = envelope.wrap_envelope(cases.withColumn("symptoms_json", X.json_string_list("symptoms_json")))
-    field = lambda path: F.get_json_object("value", path)
-    return wrapped.select(
+    parts = F.from_json(
+        "value",
+        "schema struct<fields: array<struct<type: string>>, name: string>, "
+        "payload struct<case_id: string, patient_age: int, symptoms_json: string>",
+    )
+    return wrapped.select("key", parts.alias("v")).select(
         "key",
-        field("$.payload.case_id").alias("case_id"),
-        field("$.payload.patient_age").cast("int").alias("patient_age"),
-        field("$.payload.symptoms_json").alias("symptoms"),
-        field("$.schema.fields[0].type").alias("event_id_type"),
-        field("$.schema.fields[5].type").alias("symptoms_type"),
-        field("$.schema.fields[6].type").alias("body_temperature_type"),
-        field("$.schema.name").alias("schema_name"),
+        "v.payload.case_id",
+        "v.payload.patient_age",
+        F.col("v.payload.symptoms_json").alias("symptoms"),
+        F.col("v.schema.fields")[0]["type"].alias("event_id_type"),
+        F.col("v.schema.fields")[5]["type"].alias("symptoms_type"),
+        F.col("v.schema.fields")[6]["type"].alias("body_temperature_type"),
+        F.col("v.schema.name").alias("schema_name"),
     )
 
 
@@ -595,15 +601,24 @@ def train_test_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models.with_split(views.cases(spark, sf_dir), F.col("case_id")).select("case_id", "is_train")
 
 
-@lru_cache(maxsize=4)
-def _case_model(spark: SparkSession, sf_dir: str):
-    return models.train(models.case_pipeline(), models.label_cases(views.cases(spark, sf_dir)))
+def _spread(df: DataFrame, key: str) -> DataFrame:
+    """The test table is one small file; this gives every core a share of the rows."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key)
+
+
+def _training_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return models.label_cases(_spread(views.cases(spark, sf_dir), "case_id"))
 
 
 def _training_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models.label_windows(_windows(spark, sf_dir).drop("prediction"))
 
 
+@lru_cache(maxsize=4)
+def _case_model(spark: SparkSession, sf_dir: str):
+    return models.train(models.case_pipeline(), _training_cases(spark, sf_dir))
+
+
 @lru_cache(maxsize=4)
 def _window_model(spark: SparkSession, sf_dir: str):
     return models.train(models.outbreak_pipeline(), _training_windows(spark, sf_dir))
@@ -621,7 +636,7 @@ def outbreak_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def score_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return models.score_cases(_case_model(spark, sf_dir), models.label_cases(views.cases(spark, sf_dir)))
+    return models.score_cases(_case_model(spark, sf_dir), _training_cases(spark, sf_dir))
 
 
 @query

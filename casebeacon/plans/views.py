@@ -8,36 +8,42 @@ from pyspark.sql import functions as F
 from casebeacon.functions import expressions as X
 
 
+# Known columns spare the job that would read them from the files.
+SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
+
+
+CASE_COLUMNS = (
+    "event_id",
+    "concat('C', event_id) AS case_id",
+    "ts",
+    "r_name AS region_id",
+    "n_name AS district",
+    "CAST((user_id * 7 + event_id) % 90 AS INT) AS patient_age",
+    "CASE WHEN event_id % 2 = 0 THEN 'M' ELSE 'F' END AS gender",
+    "to_json(slice(array('cough', 'rash', 'nausea', 'ache'), 1, CAST(1 + event_id % 4 AS INT))) AS symptoms_json",
+    "CAST(1 + event_id % 4 AS INT) AS symptom_count",
+    "CASE WHEN event_type IN ('error', 'purchase') THEN 'positive' ELSE 'negative' END AS rapid_test_result",
+    "36.0D + CAST(event_id % 46 AS DOUBLE) / 10 AS body_temperature",
+    "18.0D + CAST((event_id * 13) % 141 AS DOUBLE) / 10 AS ambient_temperature",
+    "40.0D + CAST(get_json_object(props, '$.k') AS DOUBLE) * 0.55D AS humidity",
+    "value AS rainfall_mm",
+)
 
 
 def cases_from(events: DataFrame, region: DataFrame, nation: DataFrame) -> DataFrame:
     """The clean case table. The two dimension tables are joined by their measured size."""
-    e, user = F.col("event_id"), F.col("user_id")
-    words = F.array(*(F.lit(w) for w in ("cough", "rash", "nausea", "ache")))
-    symptom_count = (e % 4 + 1).cast("int")
     return (
-        events.join(region, user % 5 == F.col("r_regionkey"))
-        .join(nation, user % 25 == F.col("n_nationkey"))
-        .select(
-            "event_id",
-            F.concat(F.lit("C"), e.cast("string")).alias("case_id"),
-            "ts",
-            F.col("r_name").alias("region_id"),
-            F.col("n_name").alias("district"),
-            ((user * 7 + e) % 90).cast("int").alias("patient_age"),
-            F.when(e % 2 == 0, "M").otherwise("F").alias("gender"),
-            F.to_json(F.slice(words, 1, symptom_count)).alias("symptoms_json"),
-            symptom_count.alias("symptom_count"),
-            F.when(F.col("event_type").isin("error", "purchase"), "positive")
-            .otherwise("negative")
-            .alias("rapid_test_result"),
-            (F.lit(36.0) + (e % 46).cast("double") / 10).alias("body_temperature"),
-            (F.lit(18.0) + (e * 13 % 141).cast("double") / 10).alias("ambient_temperature"),
-            (F.lit(40.0) + F.get_json_object("props", "$.k").cast("double") * 0.55).alias("humidity"),
-            F.col("value").alias("rainfall_mm"),
-        )
+        events.join(region, F.expr("user_id % 5 = r_regionkey"))
+        .join(nation, F.expr("user_id % 25 = n_nationkey"))
+        .selectExpr(*CASE_COLUMNS)
     )
 
 
@@ -47,9 +53,8 @@ def cases(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def cases_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same from a stream of event files; streams need a zoned timestamp."""
-    schema = table(spark, sf_dir, "events").schema
     events = (
-        spark.readStream.schema(schema)
+        spark.readStream.schema(SCHEMAS["events"])
         .option("pathGlobFilter", "events.parquet")
         .parquet(sf_dir)
         .withColumn("ts", F.col("ts").cast("timestamp"))
@@ -144,51 +149,26 @@ def importances_from(clean: DataFrame) -> DataFrame:
     return clean.agg(F.array(*rows).alias("rows")).select(F.inline("rows"))
 
 
+RECORD = """concat('{',
+  CASE WHEN event_id % 103 = 0 THEN '' ELSE concat('"region_id":"', region_id, '",') END,
+  '"case_id":"', case_id, '","timestamp":"', date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), '",',
+  CASE WHEN event_id % 107 = 0 THEN '"district":null' ELSE concat('"district":"', district, '"') END,
+  ',"gps_lat":', event_id % 90, ',"gps_lon":', event_id % 180, ',"patient_age":', patient_age,
+  ',"gender":"', gender, '","symptoms":', symptoms_json, ',"rapid_test_result":"', rapid_test_result,
+  '","body_temperature":', event_id % 5 + 36, ',"ambient_temperature":', event_id % 15 + 18,
+  ',"humidity":', event_id % 56 + 40, ',"rainfall_mm":', CAST(floor(rainfall_mm) AS INT), '}')"""
+
+
 def messages_from(clean: DataFrame) -> DataFrame:
     """Wire messages of the cases, some of them broken.
 
     A quarter comes wrapped, some are cut short, some lack a key, some hold a null.
     """
-    e = F.col("event_id")
-    quoted = lambda name, value: F.concat(F.lit(f'"{name}":"'), value, F.lit('"'))
-    number = lambda name, value: F.concat(F.lit(f'"{name}":'), value.cast("string"))
-    region = F.when(e % 103 == 0, F.lit("")).otherwise(
-        F.concat(quoted("region_id", F.col("region_id")), F.lit(","))
-    )
-    district = F.when(e % 107 == 0, F.lit('"district":null')).otherwise(
-        quoted("district", F.col("district"))
-    )
-    record = F.concat(
-        F.lit("{"),
-        region,
-        F.concat_ws(
-            ",",
-            quoted("case_id", F.col("case_id")),
-            quoted("timestamp", iso_text(F.col("ts"))),
-            district,
-            number("gps_lat", e % 90),
-            number("gps_lon", e % 180),
-            number("patient_age", F.col("patient_age")),
-            quoted("gender", F.col("gender")),
-            F.concat(F.lit('"symptoms":'), F.col("symptoms_json")),
-            quoted("rapid_test_result", F.col("rapid_test_result")),
-            number("body_temperature", (e % 5) + 36),
-            number("ambient_temperature", (e % 15) + 18),
-            number("humidity", (e % 56) + 40),
-            number("rainfall_mm", F.floor("rainfall_mm").cast("int")),
-        ),
-        F.lit("}"),
-    )
-    value = (
-        F.when(e % 101 == 0, F.substring(record, 1, 40))
-        .when(e % 4 == 0, F.concat(F.lit('{"schema":{"type":"struct"},"payload":'), record, F.lit("}")))
-        .otherwise(record)
-    )
-    return clean.select(
-        (F.length("region_id") % 5).cast("int").alias("partition"),
-        e.alias("offset"),
-        F.col("region_id").alias("key"),
-        value.alias("value"),
+    value = """CASE WHEN event_id % 101 = 0 THEN substr(record, 1, 40)
+      WHEN event_id % 4 = 0 THEN concat('{"schema":{"type":"struct"},"payload":', record, '}')
+      ELSE record END AS value"""
+    return clean.selectExpr("event_id", "region_id", f"{RECORD} AS record").selectExpr(
+        "CAST(length(region_id) % 5 AS INT) AS partition", "event_id AS offset", "region_id AS key", value
     )
 
 

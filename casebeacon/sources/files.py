@@ -30,7 +30,7 @@ def read_raw_json(spark: SparkSession, path: str, schema: T.StructType = WIRE_CA
     )
 
 
-def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+def read_parquet(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
     reader = spark.read if schema is None else spark.read.schema(schema)
     return reader.parquet(path)
 
