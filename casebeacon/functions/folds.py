@@ -19,25 +19,59 @@ def kept_positions(times: np.ndarray, cooldown: int, last_kept: int | None) -> l
     return kept
 
 
-def span_exits(times: np.ndarray, start: int, cooldown: int) -> tuple[np.ndarray, np.ndarray]:
+class SpanFollower:
     """How a span of the time line maps the alert before it to the last alert inside it.
 
     An alert before the span blocks at most the first ``cooldown`` of it, so the first alert
-    inside is one of the times in that stretch or the first time after it. Returned are, for
-    each distinct last alert, the latest such first alert leading there, and that last alert.
+    inside is one of the times in that stretch or the first time after it. Each of these
+    starts a chain; chains that meet go on as one. Times are fed in order, and only those that a
+    chain may still step to are kept, so memory depends on how many times fall within one
+    cooldown and not on the length of the span.
     """
-    following = np.searchsorted(times, times + cooldown, "right")
-    entries = min(int(np.searchsorted(times, start + cooldown, "left")) + 1, len(times))
-    position = np.arange(entries)
-    while True:
-        step = following[position]
-        inside = step < len(times)
-        if not inside.any():
-            break
-        position = np.where(inside, step, position)
-    exits = times[position]
-    last_of_run = np.append(exits[1:] != exits[:-1], True)
-    return times[:entries][last_of_run], exits[last_of_run]
+
+    BLOCK = 65536
+
+    def __init__(self, start: int, cooldown: int):
+        self._cooldown = cooldown
+        self._stretch_end = start + cooldown
+        self._stretch_over = False
+        self._first_upto = np.empty(0, np.int64)
+        self._last = np.empty(0, np.int64)
+        self._reachable = np.empty(0, np.int64)
+        self._waiting: list[np.ndarray] = []
+
+    def feed(self, times: np.ndarray) -> None:
+        # A step costs about one pass over the chains, so it waits for as many new times.
+        self._waiting.append(times)
+        if sum(map(len, self._waiting)) >= max(self.BLOCK, len(self._last)):
+            self._step()
+
+    def exits(self) -> tuple[np.ndarray, np.ndarray]:
+        """For each run of chains with one last alert: the latest first alert, and the last."""
+        self._step()
+        return self._first_upto, self._last
+
+    def _step(self) -> None:
+        times = np.concatenate([np.empty(0, np.int64), *self._waiting])
+        self._waiting = []
+        if not len(times):
+            return
+        first_upto, last = self._first_upto, self._last
+        if not self._stretch_over:
+            entries = int(np.searchsorted(times, self._stretch_end, "left")) + 1
+            self._stretch_over = entries <= len(times)
+            first_upto = np.concatenate([first_upto, times[:entries]])
+            last = np.concatenate([last, times[:entries]])
+        line = np.concatenate([self._reachable, times])
+        while True:
+            following = np.searchsorted(line, last + self._cooldown, "right")
+            moves = following < len(line)
+            if not moves.any():
+                break
+            last = np.where(moves, line[np.minimum(following, len(line) - 1)], last)
+        ends_run = np.append(last[1:] != last[:-1], True)
+        self._first_upto, self._last = first_upto[ends_run], last[ends_run]
+        self._reachable = line[np.searchsorted(line, self._last.min(), "right") :]
 
 
 def rolling_sums(

@@ -41,6 +41,7 @@ def rolling_positive_count(
 ) -> DataFrame:
     """Positives of a region in the window up to each moment with a case, both edges included.
 
+    Cases without a region or a time cannot be placed and stay out; cleaning removes the former.
     A positive adds one when it arrives and takes it back one microsecond after the window has
     passed. The count is the running sum of these changes: what was open when the slice
     began plus the changes inside the slice.
@@ -50,7 +51,7 @@ def rolling_positive_count(
     time_type = cases.schema[ts].dataType
 
     moments = (
-        cases.where(F.col(ts).isNotNull())
+        cases.where(F.col(ts).isNotNull() & F.col("region_id").isNotNull())
         .select("region_id", F.unix_micros(F.col(ts).cast("timestamp")).alias("at"), X.positive_flag().alias("p"))
         .groupBy("region_id", "at")
         .agg(F.count("*").alias("cases"), F.sum("p").alias("positives"))
@@ -113,30 +114,57 @@ def alert_cooldown(
     1. per (region, slice): how the last alert before the slice decides the last one in it;
     2. per region, over those summaries only: the alert each slice starts from;
     3. per (region, slice): the alerts themselves.
+
+    Each step reads its rows as a sorted stream and holds no group in memory. Steps 1 and 3
+    read the output of a window function: it is grouped by (region, slice) and sorted, and
+    ``position`` 1 marks where a group begins.
     """
     cooldown = cooldown_seconds * _MICROS
     slice_length = (slice_seconds or COOLDOWNS_PER_SLICE * cooldown_seconds) * _MICROS
 
-    sliced = candidates.select(
+    position = F.row_number().over(Window.partitionBy("region_id", "slice").orderBy("at"))
+    ordered = candidates.select(
         "region_id", _slice("at", slice_length).alias("slice"), "at", "positives_in_window"
-    )
-
-    def summarise(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # Only the times are kept of each batch: eight bytes per candidate.
-        times = np.sort(np.concatenate([b.column("at").to_numpy() for b in batches]))
-        span = key[1].as_py()
-        first, last = folds.span_exits(times, span * slice_length, cooldown)
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array([key[0].as_py()] * len(first), pa.string()),
-                pa.array([span] * len(first), pa.int64()),
-                pa.array(first, pa.int64()),
-                pa.array(last, pa.int64()),
-            ],
-            ["region_id", "slice", "first_upto", "last"],
-        )
+    ).withColumn("position", position)
+
+    def groups(batch: pa.RecordBatch) -> Iterator[tuple[int, int, bool]]:
+        """Stretches of one group within a batch: from, to, and whether the group begins here."""
+        begins = np.flatnonzero(batch.column("position").to_numpy() == 1)
+        cuts = [0, *(int(i) for i in begins if i > 0), batch.num_rows]
+        first = set(begins.tolist())
+        for start, end in zip(cuts, cuts[1:]):
+            if end > start:
+                yield start, end, start in first
+
+    def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        region = span = follower = None
+
+        def summary() -> pa.RecordBatch:
+            first_upto, last = follower.exits()
+            return pa.RecordBatch.from_arrays(
+                [
+                    pa.array([region] * len(last), pa.string()),
+                    pa.array([span] * len(last), pa.int64()),
+                    pa.array(first_upto, pa.int64()),
+                    pa.array(last, pa.int64()),
+                ],
+                ["region_id", "slice", "first_upto", "last"],
+            )
 
-    def follow(batches):
+        for batch in batches:
+            times = batch.column("at").to_numpy()
+            for start, end, begins in groups(batch):
+                if begins:
+                    if follower is not None:
+                        yield summary()
+                    region = batch.column("region_id")[start].as_py()
+                    span = batch.column("slice")[start].as_py()
+                    follower = folds.SpanFollower(span * slice_length, cooldown)
+                follower.feed(times[start:end])
+        if follower is not None:
+            yield summary()
+
+    def follow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         region = span = entering = leaving = None
         decided = started = False
         for batch in batches:
@@ -157,13 +185,21 @@ def alert_cooldown(
                 ["region_id", "slice", "entering"],
             )
 
-    def select_kept(key: tuple, rows: pa.Table, start: pa.Table) -> pa.Table:
-        rows = rows.sort_by("at")
-        entering = start.column("entering")[0].as_py() if start.num_rows else None
-        kept = folds.kept_positions(rows.column("at").to_numpy(), cooldown, entering)
-        return rows.select(["region_id", "at", "positives_in_window"]).take(pa.array(kept, pa.int64()))
-
-    summaries = sliced.groupBy("region_id", "slice").applyInArrow(
+    def select_kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
+        for batch in batches:
+            times = batch.column("at").to_numpy()
+            kept = []
+            for start, end, begins in groups(batch):
+                if begins:
+                    last = batch.column("entering")[start].as_py()
+                here = folds.kept_positions(times[start:end], cooldown, last)
+                if here:
+                    last = int(times[start + here[-1]])
+                    kept.extend(start + i for i in here)
+            yield batch.select(["region_id", "at", "positives_in_window"]).take(pa.array(kept, pa.int64()))
+
+    summaries = ordered.mapInArrow(
         summarise, "region_id string, slice bigint, first_upto bigint, last bigint"
     )
     starts = (
@@ -171,10 +207,11 @@ def alert_cooldown(
         .sortWithinPartitions("region_id", "slice", "first_upto")
         .mapInArrow(follow, "region_id string, slice bigint, entering bigint")
     )
+    # The join keeps the grouping of its left side; the sort is dropped where it changes nothing.
     return (
-        sliced.groupBy("region_id", "slice")
-        .cogroup(starts.groupBy("region_id", "slice"))
-        .applyInArrow(select_kept, "region_id string, at bigint, positives_in_window bigint")
+        ordered.join(starts, ["region_id", "slice"])
+        .sortWithinPartitions("region_id", "slice", "at")
+        .mapInArrow(select_kept, "region_id string, at bigint, positives_in_window bigint")
     )
 
 

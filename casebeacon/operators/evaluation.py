@@ -114,40 +114,27 @@ def auc_from_counts(counts: DataFrame) -> DataFrame:
     """The area from one (score, pos, neg) row per distinct score.
 
     The area is the share of (positive, negative) pairs in the right order. Pairs are counted
-    by the first level at which their scores part: 65,536 cells of the unit interval, 65,536
-    cells within each of those, and the scores within each small cell. Every running sum
-    stays inside one cell of the level above and so is bounded, however many scores there are.
+    where their scores part: within a small cell of the unit interval, between the 65,536 small
+    cells of a large one, and between the 65,536 large cells. Each step sums inside one cell of
+    the next and leaves one row per cell, so no running sum covers more than its cell.
     """
     cells = 65536
     position = F.least(F.greatest(F.col("score"), F.lit(0.0)), F.lit(1.0)) * cells
-    coarse = F.floor(position)
-    placed = counts.select(
+    large = F.floor(position)
+    rows = counts.select(
+        large.alias("large"),
+        F.floor((position - large) * cells).alias("small"),
         "score",
         "pos",
         "neg",
-        coarse.alias("coarse"),
-        F.floor((position - coarse) * cells).alias("fine"),
+        (F.col("pos").cast("double") * F.col("neg") / 2).alias("pairs"),
     )
-
-    def level(keys: list[str], parent: list[str], order: str) -> DataFrame:
-        sums = placed.groupBy(*keys).agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-        below = F.sum("neg").over(
-            Window.partitionBy(*parent).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-        )
-        return sums.select(
-            (F.col("pos").cast("double") * F.coalesce(below, F.lit(0))).alias("pairs"),
-            F.lit(0).cast("bigint").alias("pos"),
-            F.lit(0).cast("bigint").alias("neg"),
-        )
-
-    pairs = (
-        level(["coarse"], [], "coarse")
-        .unionByName(level(["coarse", "fine"], ["coarse"], "fine"))
-        .unionByName(level(["coarse", "fine", "score"], ["coarse", "fine"], "score"))
-        .unionByName(
-            placed.select((F.col("pos").cast("double") * F.col("neg") / 2).alias("pairs"), "pos", "neg")
+    for cell, order in ((["large", "small"], "score"), (["large"], "small"), ([], "large")):
+        earlier = Window.partitionBy(*cell).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        below = F.coalesce(F.sum("neg").over(earlier), F.lit(0))
+        rows = (
+            rows.withColumn("pairs", F.col("pairs") + F.col("pos").cast("double") * below)
+            .groupBy(*cell)
+            .agg(F.sum("pairs").alias("pairs"), F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
         )
-    )
-    return pairs.agg(
-        F.try_divide(F.sum("pairs"), F.sum("pos").cast("double") * F.sum("neg")).alias("auc")
-    )
+    return rows.select(F.try_divide("pairs", F.col("pos").cast("double") * F.col("neg")).alias("auc"))

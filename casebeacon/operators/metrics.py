@@ -105,13 +105,13 @@ def gender_counts(cases: DataFrame) -> DataFrame:
     )
 
 
-def cases_per_minute(cases: DataFrame, ts: str = "timestamp", unit: str = "minute") -> DataFrame:
+def cases_per_minute(cases: DataFrame, ts: str = "timestamp", length: str = "1 minute") -> DataFrame:
     """Cases and positives per time bucket; cases without a time are left out."""
-    bucket = F.date_trunc(unit, F.col(ts)).cast(cases.schema[ts].dataType)
-    return (
-        cases.where(F.col(ts).isNotNull())
-        .groupBy(bucket.alias("bucket"))
-        .agg(F.count("*").alias("total"), F.count_if(X.is_positive()).alias("positive"))
+    bucketed = cases.where(F.col(ts).isNotNull()).select(
+        F.window(ts, length).alias("window"), X.is_positive().alias("is_positive")
+    )
+    return bucketed.groupBy(F.col("window.start").alias("bucket")).agg(
+        F.count("*").alias("total"), F.count_if("is_positive").alias("positive")
     )
 
 

@@ -14,6 +14,8 @@ from casebeacon.functions import expressions as X
 from casebeacon.functions import folds
 from casebeacon.operators.alerts import COOLDOWN_SECONDS, THRESHOLD, WINDOW_SECONDS, format_alert
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 _MICROS = 1_000_000
 
 
@@ -79,7 +81,11 @@ def stream_outbreak_alerts(
     ts: str = "timestamp",
 ) -> DataFrame:
     """Alerts of a case stream. ``ts`` must be a timestamp; rows later than ``delay`` are lost
-    to the watermark and counted in the query's progress."""
+    to the watermark and counted in the query's progress.
+
+    Keyed state of this kind is kept in RocksDB only, so the session is set to it.
+    """
+    cases.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     alerts = (
         finished_moments(cases, delay, ts)
         .groupBy("region_id")

@@ -108,8 +108,15 @@ times_in_spans = st.lists(st.integers(-50, 400), min_size=1, max_size=80, unique
 
 
 @settings(max_examples=300, deadline=None, suppress_health_check=[HealthCheck.too_slow])
-@given(times_in_spans, st.integers(0, 40), st.integers(1, 90), st.one_of(st.none(), st.integers(1, 60)))
-def test_span_summaries_lead_to_the_same_chain(times, cooldown, length, gap):
+@given(
+    times_in_spans,
+    st.integers(0, 40),
+    st.integers(1, 90),
+    st.one_of(st.none(), st.integers(1, 60)),
+    st.integers(1, 8),
+    st.integers(1, 20),
+)
+def test_span_summaries_lead_to_the_same_chain(times, cooldown, length, gap, parts, block):
     """Following span by span gives the chain of the whole line."""
     line = np.array(sorted(times))
     before = None if gap is None else int(line[0]) // length * length - gap
@@ -117,7 +124,11 @@ def test_span_summaries_lead_to_the_same_chain(times, cooldown, length, gap):
     last, chained = before, []
     for span in sorted({t // length for t in times}):
         inside = line[line // length == span]
-        upto, exits = folds.span_exits(inside, span * length, cooldown)
+        follower = folds.SpanFollower(span * length, cooldown)
+        follower.BLOCK = block
+        for part in np.array_split(inside, parts):
+            follower.feed(part)
+        upto, exits = follower.exits()
         chained += [int(inside[i]) for i in folds.kept_positions(inside, cooldown, last)]
         for first, leave in zip(upto, exits):
             if last is None or first > last + cooldown:
