@@ -122,10 +122,14 @@ def alert_cooldown(
     cooldown = cooldown_seconds * _MICROS
     slice_length = (slice_seconds or COOLDOWNS_PER_SLICE * cooldown_seconds) * _MICROS
 
+    # The join below implies that its keys are not null. Saying so here keeps both readers of
+    # `ordered` the same, and Spark shuffles the candidates once.
     position = F.row_number().over(Window.partitionBy("region_id", "slice").orderBy("at"))
-    ordered = candidates.select(
-        "region_id", _slice("at", slice_length).alias("slice"), "at", "positives_in_window"
-    ).withColumn("position", position)
+    ordered = (
+        candidates.select("region_id", _slice("at", slice_length).alias("slice"), "at", "positives_in_window")
+        .where("region_id IS NOT NULL AND slice IS NOT NULL")
+        .withColumn("position", position)
+    )
 
     def groups(batch: pa.RecordBatch) -> Iterator[tuple[int, int, bool]]:
         """Stretches of one group within a batch: from, to, and whether the group begins here."""

@@ -70,17 +70,29 @@ def stream_ingest(
     )
 
 
-def current_cases(spark: SparkSession, path: str) -> DataFrame:
-    """The case table as it stands: of each case the row that arrived last."""
+def last_arrivals(spark: SparkSession, path: str, compacted: str | None = None) -> DataFrame:
+    """Of each case the row that arrived last, with the batch it came in.
+
+    With a compacted table only batches newer than it are read.
+    """
     changes = spark.read.option("basePath", f"{path}/cases").parquet(f"{path}/cases")
-    order = [F.col("batch_id").desc(), *newest_first([c for c in changes.columns if c != "case_id"], "timestamp")]
+    if compacted is not None:
+        base = spark.read.parquet(compacted)
+        newer = changes.where(F.col("batch_id") > base.agg(F.max("batch_id")).scalar())
+        changes = newer.unionByName(base)
+    order = [F.col("batch_id").desc(), *newest_first(WIRE_CASE.names[1:], "timestamp")]
     ranked = changes.withColumn("_rank", F.row_number().over(Window.partitionBy("case_id").orderBy(*order)))
-    return ranked.where("_rank = 1").select(*WIRE_CASE.names)
+    return ranked.where("_rank = 1").select(*WIRE_CASE.names, "batch_id")
+
+
+def current_cases(spark: SparkSession, path: str, compacted: str | None = None) -> DataFrame:
+    """The case table as it stands."""
+    return last_arrivals(spark, path, compacted).drop("batch_id")
 
 
-def compact_cases(spark: SparkSession, path: str, target: str) -> None:
-    """Writes the current case table to a new folder, to start from instead of all changes."""
-    current_cases(spark, path).write.mode("errorifexists").parquet(target)
+def compact_cases(spark: SparkSession, path: str, target: str, compacted: str | None = None) -> None:
+    """Writes the table as it stands to a new folder, for `current_cases` to start from."""
+    last_arrivals(spark, path, compacted).write.mode("errorifexists").parquet(target)
 
 
 def read_dead_letters(spark: SparkSession, path: str) -> DataFrame:

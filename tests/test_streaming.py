@@ -160,8 +160,22 @@ def test_ingest_equals_batch(spark, message_files, run_dir):
     query = run(ingest.stream_ingest(stream, f"{run_dir}/out", f"{run_dir}/cp", ONCE))
     assert batches(query) == FILES
     assert ingested(spark, f"{run_dir}/out") == expected_ingest(df)
-    ingest.compact_cases(spark, f"{run_dir}/out", f"{run_dir}/compact")
-    assert spark.read.parquet(f"{run_dir}/compact").count() == len(expected_ingest(df)[0])
+
+
+def test_a_compacted_table_and_newer_batches(spark, message_files, run_dir):
+    _, df = message_files
+    out, columns = f"{run_dir}/out", ["case_id", "region_id", "patient_age"]
+    older = df.where("value LIKE '{\"region_id%' OR value LIKE '{\"case_id%'").select(
+        "partition", "offset", "key", F.regexp_replace("value", '"patient_age":[0-9]+', '"patient_age":99').alias("value")
+    )
+    for i, part in enumerate((older, df.where("offset % 2 = 0"), df.where("offset % 2 = 1"))):
+        part.coalesce(1).write.mode("append").parquet(f"{run_dir}/in")
+        run(ingest.stream_ingest(stream_of(spark, f"{run_dir}/in", df.schema), out, f"{run_dir}/cp", ONCE))
+        if i == 1:
+            ingest.compact_cases(spark, out, f"{run_dir}/compact")
+    got = ingest.current_cases(spark, out, f"{run_dir}/compact").select(*columns)
+    assert rows(got) == expected_ingest(df)[0]
+    assert rows(got) == rows(ingest.current_cases(spark, out).select(*columns))
 
 
 def test_a_crash_loses_and_doubles_nothing(spark, message_files, run_dir):
