@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from casebeacon.operators import cleaning, metrics
-from casebeacon.operators.envelope import decode_messages, good_records
-from casebeacon.sources.files import read_parquet, write_parquet
+from casebeacon.operators.envelope import dead_letters, decode_messages, good_records
+from casebeacon.sources.files import read_parquet, write_json, write_parquet
 
 
 def read_messages(spark: SparkSession, path: str) -> DataFrame:
@@ -19,18 +19,28 @@ def read_messages(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def run_etl(spark: SparkSession, raw_path: str, clean_path: str) -> dict[str, int]:
+def run_etl(
+    spark: SparkSession, raw_path: str, clean_path: str, dead_letter_path: str | None = None
+) -> dict[str, int]:
     """Reads wrapped or flat records, cleans them and replaces the clean table.
 
     Files hold what the stream has accepted, so only the fields the analysis needs are
-    required here. Row counts are taken while the one write runs.
+    required here. Row counts are taken while the one write runs. Lines that are no records
+    are counted, and written aside if a path is given.
     """
     read, written = Observation("read"), Observation("written")
-    raw = read_messages(spark, raw_path).observe(read, F.count(F.lit(1)).alias("rows"))
-    records = good_records(decode_messages(raw, required=()))
-    clean = cleaning.clean_cases(records).withColumn("event_date", F.to_date("timestamp"))
+    decoded = decode_messages(read_messages(spark, raw_path), required=())
+    observed = decoded.observe(
+        read,
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.col("error").isNotNull()).alias("unusable"),
+    )
+    clean = cleaning.clean_cases(good_records(observed)).withColumn("event_date", F.to_date("timestamp"))
     write_parquet(clean, clean_path, ["event_date"], ["region_id", "timestamp"], written)
-    return {"read": read.get["rows"], "written": written.get["rows"]}
+    if dead_letter_path is not None:
+        write_json(dead_letters(decoded), dead_letter_path)
+    counts = read.get
+    return {"read": counts["rows"], "unusable": counts["unusable"], "written": written.get["rows"]}
 
 
 def run_insights(spark: SparkSession, clean_path: str, insights_path: str) -> None:

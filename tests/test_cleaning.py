@@ -160,14 +160,16 @@ def test_upsert(spark):
 
 def test_etl_files(spark, run_dir):
     lines = [
+        "no record",
         wrapped(RECORD),
         json.dumps(RECORD),
         json.dumps(without(case_id="b", rapid_test_result=None)),
         json.dumps(without(case_id="c", timestamp="2024-03-02T00:00:00Z")),
     ]
     spark.createDataFrame([(line,) for line in lines], "value string").write.text(f"{run_dir}/raw/2024/03/01")
-    counts = etl.run_etl(spark, f"{run_dir}/raw/*/*/*/*.txt", f"{run_dir}/clean")
-    assert counts == {"read": 4, "written": 2}
+    counts = etl.run_etl(spark, f"{run_dir}/raw/*/*/*/*.txt", f"{run_dir}/clean", f"{run_dir}/dead")
+    assert counts == {"read": 5, "unusable": 1, "written": 2}
+    assert [r["raw"] for r in spark.read.json(f"{run_dir}/dead").collect()] == ["no record"]
     clean = spark.read.parquet(f"{run_dir}/clean")
     assert sorted(r["case_id"] for r in clean.collect()) == ["a", "c"]
     assert clean.where("case_id = 'a'").first()["timestamp"].hour == 8

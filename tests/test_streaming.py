@@ -15,6 +15,17 @@ from casebeacon.streaming import alerts as stream_alerts
 from casebeacon.streaming import ingest, live, progress
 
 ONCE = {"availableNow": True}
+
+
+@pytest.fixture(scope="module", autouse=True)
+def few_state_partitions(spark):
+    """Each state partition is a task and a store per batch; two are enough here."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 FILES = 4
 HOUR = 3600
 
