@@ -129,7 +129,13 @@ def label_windows(windows: DataFrame) -> DataFrame:
 
 
 def train(pipeline: Pipeline, labelled: DataFrame) -> PipelineModel:
-    return pipeline.fit(labelled.where("is_train"))
+    """Fits on the training rows.
+
+    A fitted forest holds a training summary, and through it the session, which scoring would
+    send along with every task; after a row count was observed in the session that even fails.
+    The copy goes without the summary.
+    """
+    return pipeline.fit(labelled.where("is_train")).copy()
 
 
 def save_model(model: PipelineModel, path: str) -> None:

@@ -1,6 +1,7 @@
 """The two models: split, features, training, saving, scoring, evaluation."""
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from casebeacon.plans import models, views
@@ -38,6 +39,14 @@ def test_every_case_is_scored_once(case_model, labelled):
     assert scored.where("(probability > 0.5) <> (prediction = 1.0) AND probability <> 0.5").count() == 0
 
 
+def test_scoring_works_after_an_observed_count(spark, case_model, labelled):
+    counted = Observation("counted")
+    spark.range(3).observe(counted, F.count(F.lit(1)).alias("rows")).collect()
+    assert counted.get == {"rows": 3}
+    assert not case_model.stages[-1].hasSummary
+    assert models.score_cases(case_model, labelled).agg(F.sum("probability")).first()[0] > 0
+
+
 def test_rows_with_a_missing_feature_are_left_out_and_counted(case_model, labelled):
     holes = labelled.withColumn("humidity", F.when(F.col("event_id") % 10 != 0, F.col("humidity")))
     left_out = holes.agg(models.incomplete_features(holes, models.CASE_FEATURES)).first()[0]
