@@ -341,9 +341,9 @@ ORACLE: dict[str, str] = {
         "messages",
     ),
     "upsert_cases": with_views(
-        """SELECT case_id, ts, region_id, patient_age FROM cases WHERE event_id % 3 <> 0 AND event_id % 5 <> 0
+        """SELECT case_id, ts, region_id, patient_age FROM cases WHERE rapid_test_result <> 'positive'
 UNION ALL
-SELECT case_id, ts + INTERVAL '1' HOUR, region_id, patient_age + 1 FROM cases WHERE event_id % 5 = 0""",
+SELECT case_id, ts + INTERVAL '1' HOUR, region_id, patient_age + 1 FROM cases WHERE rapid_test_result = 'positive'""",
         "cases",
     ),
     "dashboard_snapshot": with_views(
@@ -582,8 +582,9 @@ UNION ALL SELECT 'risk', CAST(row_number() OVER (ORDER BY avg_risk DESC, region_
         "scored",
     ),
     "union_by_name": with_views(
-        "SELECT case_id, region_id, patient_age, CAST(NULL AS VARCHAR) AS gender FROM cases WHERE event_id % 2 = 0 "
-        "UNION ALL BY NAME SELECT gender, case_id, region_id FROM cases WHERE event_id % 2 = 1",
+        "SELECT case_id, region_id, patient_age, CAST(NULL AS VARCHAR) AS gender FROM cases "
+        "WHERE rapid_test_result = 'positive' UNION ALL BY NAME "
+        "SELECT gender, case_id, region_id FROM cases WHERE rapid_test_result <> 'positive'",
         "cases",
     ),
     "distinct_dates": with_views("SELECT DISTINCT date FROM windows", "windows"),
