@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casebeacon.llm import minhash_dedup, mixing, quality_classifier, quality_rules, token_counts, url_filters, warc
+from casebeacon.llm import decontaminate, minhash_dedup, mixing, quality_classifier, quality_rules, suffix_dedup, token_counts, url_filters, warc
 from casebeacon.llm.tables import documents
 from casebeacon.session import work_dir
 
@@ -18,12 +18,23 @@ def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_duplicates(documents(spark, sf_dir))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffix_dedup.remove_repeats(documents(spark, sf_dir).select(F.col("doc_id").cast("long"), "text"), texts=False)
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     scored = quality_classifier.score(docs.select(F.col("doc_id").cast("long"), "text"), quality_classifier.fit_quality(spark, sf_dir, docs))
     return scored.select("doc_id", quality_classifier.held_out().alias("held_out"), "score", "predicted")
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select(F.col("doc_id").cast("long"), "text")
+    marked = decontaminate.mark_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return marked.select("doc_id", F.explode("leaks").alias("leak")).select("doc_id", "leak.*")
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -80,7 +91,9 @@ def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_dedup": op1_minhash_dedup,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_quality_classifier": op3_quality_classifier,
+    "op4_decontaminate": op4_decontaminate,
     "op5_token_counts": op5_token_counts,
     "op6_warc": op6_warc,
     "op7_quality_rules": op7_quality_rules,

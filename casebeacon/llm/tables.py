@@ -8,12 +8,36 @@ from pyspark.sql import functions as F
 from casebeacon.session import work_dir
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
-    """The frame, written once to the shared folder and read back: cuts lineage, survives lost executors."""
+    """The frame, written once to the shared folder and read back: cuts lineage, survives lost executors.
+
+    Shuffle files of the write are released when it has ended, so a long chain of steps needs disk
+    for one step and its tables only. The frame itself must not be used again.
+    """
     spark = df.sparkSession
     path = work_dir(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    before = spark.conf.get(CLEANUP, None)
+    if before is not None:
+        spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is not None:
+            spark.conf.set(CLEANUP, before)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Removes the files of stored tables that nothing reads any more."""
+    for table in tables:
+        jvm, spark = table.sparkSession._jvm, table.sparkSession
+        path = jvm.org.apache.hadoop.fs.Path(table.stored_at)
+        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,11 +53,14 @@ def components(edges: DataFrame) -> DataFrame:
     """
     both = stored(edges.select("a", "b").union(edges.select("b", "a")).distinct(), "edges")
     labels = stored(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("label")), "labels")
+    last = labels
     while True:
         near = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
         step = labels.join(near, "node").select("node", F.col("label").alias("old"), F.least("label", "near").alias("label"))
         hop = labels.select(F.col("node").alias("label"), F.col("label").alias("far"))
         step = stored(step.join(hop, "label").select("node", "old", F.least("label", "far").alias("label")), "labels")
-        labels = step.select("node", "label")
+        discard(last)
+        labels, last = step.select("node", "label"), step
         if step.filter("old <> label").isEmpty():
+            discard(both)
             return labels
