@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casebeacon.llm import decontaminate, minhash_dedup, mixing, quality_classifier, quality_rules, suffix_dedup, token_counts, url_filters, warc
+from casebeacon.llm import decontaminate, minhash_dedup, mixing, quality_classifier, quality_rules, substring_dedup, suffix_dedup, token_counts, url_filters, warc
 from casebeacon.llm.tables import documents
 from casebeacon.session import work_dir
 
@@ -89,6 +89,10 @@ def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.filter_captures(captures, list_entries(pages))
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.near_duplicate_passages(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -99,4 +103,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_quality_rules": op7_quality_rules,
     "op8_mixing": op8_mixing,
     "op9_url_filters": op9_url_filters,
+    "op10_substring_dedup": op10_substring_dedup,
 }
