@@ -10,8 +10,9 @@
    nodes pair all nodes of different components. A longer list comes from a passage
    that many texts share, or from a large group of near copies. Two similar texts that meet only in long
    lists must have sketches that consist mostly of such values, so only these nodes are taken
-   further: they meet where ``ROWS`` values of a re-hashed sketch agree, in one of ``BANDS`` ways.
-   Pairs again pass estimate and exact test.
+   further, and of these only the ones that share enough shingles with any other: they meet where
+   ``ROWS`` values of a re-hashed sketch agree, in one of ``BANDS`` ways. Neighbours in size inside such a bucket
+   are tried together with the hubs, so that here, too, few components are left to compare.
 
 With similarity 0.75, two sketches share none of the smallest r values of their union with a chance
 of 0.25 ** r, so the chance to lose a link is below 1e-5; no list is cut and no pair is left out.
@@ -24,11 +25,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from casebeacon.llm import text as tx
-from casebeacon.llm.tables import components, stored
+from casebeacon.llm.tables import components, discard, stored
 
 K = 64
 HUB_VALUES = 4
@@ -83,12 +84,7 @@ def _estimated(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
 def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
     """Pairs (a, b) whose full sets have the required Jaccard similarity."""
     pairs = stored(pairs, "near-pairs")
-    needed = stored(
-        pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "doc_id"), "node").filter("doc_id is not null"), "near-needed"
-    )
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(needed, "doc_id").select("node", "text")
-    # Two rows may share an id with different texts: the right one is recognised by its set.
-    texts = stored(texts.mapInArrow(_matching_sets, "node long, shingles binary").dropDuplicates(["node"]), "near-sets")
+    texts = _full_sets(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "doc_id"), "node"), docs)
     left = texts.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
     right = texts.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
 
@@ -104,6 +100,16 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").filter(linked("sa", "sb")).select("a", "b")
 
 
+def _full_sets(needed: DataFrame, docs: DataFrame) -> DataFrame:
+    """(node, shingles) of the asked nodes (node, doc_id), read again from the texts."""
+    needed = stored(needed, "near-needed")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(needed, "doc_id").select("node", "text")
+    # Two rows may share an id with different texts: the right one is recognised by its set.
+    out = stored(texts.mapInArrow(_matching_sets, "node long, shingles binary").dropDuplicates(["node"]), "near-sets")
+    discard(needed)
+    return out
+
+
 def _matching_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for rows, data, offsets in tx.blocks(batch):
@@ -129,6 +135,38 @@ def _band_keys(sketch: pd.Series) -> pd.Series:
     return pd.Series(out)
 
 
+def _bands(entries: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(v, node, n, most): bucket keys of the nodes that can be linked through long lists only.
+
+    Two such nodes share nothing but values of long lists, so these make up most of their sketches.
+    most is the number of a node's shingles, of the full set, that another such node has too:
+    no intersection is larger, and nodes with fewer than the threshold asks for are left out.
+    """
+    hot = entries.groupBy("node").agg(F.sum((F.col("length") > COLD).cast("int")).alias("hot"))
+    hot = hot.join(nodes, "node").filter(F.col("hot") >= HOT_SHARE * F.size("sketch")).select("node", "doc_id", "n", "sketch")
+    hot = stored(hot, "near-hot")
+    sets = _full_sets(hot.select("node", "doc_id"), docs)
+    parts = F.explode(F.pandas_udf(lambda s: s.map(lambda b: np.frombuffer(b, np.int64)), "array<long>")("shingles"))
+    parts = stored(sets.select("node", parts.alias("x")), "near-hot-values")
+    again = stored(parts.groupBy("x").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("x"), "near-hot-shared")
+    most = parts.join(again, "x").groupBy("node").agg(F.count(F.lit(1)).alias("most"))
+    keys = F.explode(F.pandas_udf(_band_keys, "array<long>")("sketch"))
+    out = hot.join(most, "node").filter(f"{THRESHOLD[1]} * most >= {THRESHOLD[0]} * n").select(keys.alias("v"), "node", "n", "most")
+    out = stored(out, "near-bands")
+    discard(hot, sets, parts, again)
+    return out
+
+
+def _neighbours(bands: DataFrame) -> DataFrame:
+    """Pairs (a, b) of a bucket: each node with the first one and with the next one in order of size.
+
+    Buckets are sorted as streams; a salt by size splits a bucket of very many nodes into ranges.
+    """
+    order = Window.partitionBy("v", (F.log2("n") * 8).cast("int")).orderBy("n", "node")
+    rows = bands.select("node", F.lag("node").over(order).alias("before"), F.first("node").over(order).alias("first"))
+    return rows.select(F.explode(F.array("before", "first")).alias("a"), F.col("node").alias("b")).filter("a <> b")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row of ``docs`` (doc_id, text).
 
@@ -149,24 +187,27 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     values = nodes.select("node", "n", F.posexplode("sketch").alias("pos", "v"))
     lists = stored(values.groupBy("v").agg(F.count(F.lit(1)).alias("length"), F.min(F.struct("node", "n")).alias("hub")).filter("length > 1"), "near-lists")
     entries = stored(values.join(lists, "v").select("v", "node", "n", "pos", "length", "hub"), "near-entries")
-    hubs = entries.filter(f"pos < {HUB_VALUES} and node <> hub.node and {_similar_size('n', 'hub.n')}")
-    links = stored(_verified(_estimated(hubs.select(F.col("hub.node").alias("a"), F.col("node").alias("b")).distinct(), nodes), nodes, docs), "near-links")
+    discard(lists)
+    hubs = entries.filter(f"pos < {HUB_VALUES} and node <> hub.node and {_similar_size('n', 'hub.n')}").select(F.col("hub.node").alias("a"), F.col("node").alias("b"))
+    bands = _bands(entries, nodes, docs)
+    pairs = hubs.union(_neighbours(bands)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    links = stored(_verified(_estimated(pairs, nodes), nodes, docs), "near-links")
     labels = components(links)
 
     # What is left: links between different components.
-    labelled = entries.select("v", "node", "n", "pos", "length").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    cold = labelled.filter(f"length <= {COLD} and pos < {DEPTH}").select("v", "node", "n", "label")
-    hot = entries.groupBy("node").agg(F.sum((F.col("length") > COLD).cast("int")).alias("hot"))
-    hot = hot.join(nodes, "node").filter(F.col("hot") >= HOT_SHARE * F.size("sketch"))
-    keys = F.pandas_udf(_band_keys, "array<long>")
-    banded = hot.select("node", "n", F.explode(keys("sketch")).alias("v")).join(labels, "node", "left").select("v", "node", "n", F.coalesce("label", "node").alias("label"))
-    meeting = stored(cold.union(banded), "near-meeting")
+    cold = entries.filter(f"length <= {COLD} and pos < {DEPTH}").select("v", "node", "n", F.col("n").alias("most"))
+    meeting = cold.union(bands).join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    meeting = stored(meeting, "near-meeting")
     split = meeting.groupBy("v").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("v")
-    meeting = stored(meeting.join(stored(split, "near-split"), "v"), "near-open")
-    left = meeting.select("v", F.col("node").alias("a"), F.col("n").alias("na"), F.col("label").alias("la"))
-    right = meeting.select("v", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("label").alias("lb"))
-    crossing = left.join(right, "v").filter(f"la < lb and {_similar_size('na', 'nb')}").select("a", "b").distinct()
-    late = stored(_verified(_estimated(crossing, nodes), nodes, docs), "near-late")
+    split = stored(split, "near-split")
+    crossing = stored(meeting.join(split, "v"), "near-open")
+    discard(entries, bands, meeting, split)
+    left = crossing.select("v", F.col("node").alias("a"), F.col("n").alias("na"), F.col("label").alias("la"), F.col("most").alias("ma"))
+    right = crossing.select("v", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("label").alias("lb"), F.col("most").alias("mb"))
+    enough = f"{sum(THRESHOLD)} * least(ma, mb) >= {THRESHOLD[0]} * (na + nb)"
+    pairs = left.join(right, "v").filter(f"la < lb and {_similar_size('na', 'nb')} and {enough}").select("a", "b").distinct()
+    late = stored(_verified(_estimated(pairs, nodes), nodes, docs), "near-late")
+    discard(crossing)
     if not late.isEmpty():
         labels = components(links.union(late))
 
