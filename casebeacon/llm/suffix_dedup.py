@@ -216,15 +216,15 @@ def _cut(length: int, texts: bool):
                     at = high
                 kept = b"".join([*rest, data[at:]])
                 rows.append((len(data), len(data) - len(kept), len(spans), hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "ignore") if texts else None, spans if texts else []))
-            names = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text", "spans"]
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.list_(pa.struct([("from", pa.int64()), ("to", pa.int64())]))]
             columns = list(zip(*rows, strict=True)) if rows else [[]] * 6
             columns[5] = [[{"from": a, "to": b} for a, b in spans] for spans in columns[5]]
-            yield pa.RecordBatch.from_arrays([*batch.columns[2:], *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))], names=[*batch.schema.names[2:], *names])
+            yield pa.RecordBatch.from_arrays([*batch.columns[2:], *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))], names=[*batch.schema.names[2:], *NAMES])
 
     return work
 
 
+NAMES = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text", "spans"]
 ADDED = "n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string, spans array<struct<from: long, to: long>>"
 
 
@@ -238,13 +238,10 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, texts: bool = True) ->
     each other. Columns of ``docs`` with a name used here are replaced; an empty table stays empty.
     ``texts=False`` leaves kept_text null and spans empty.
     """
-    added = {part.split()[0] for part in "n_bytes n_removed n_spans kept_sha256 kept_text spans t runs".split()}
-    rest = [c for c in docs.columns if c.lower() not in added and c != "text"]
+    rest = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in NAMES and c != "text"]
     repeats = repeated_windows(docs, length)
-    spans = repeats.groupBy("t").agg(F.collect_list(F.struct("start", "n")).alias("runs"))
-    spans = stored(spans, "suffix-spans")
+    spans = stored(repeats.groupBy("t").agg(F.collect_list(F.struct("start", "n")).alias("runs")), "suffix-spans")
     discard(repeats)
-    rows = docs.select("text", *[F.col(f"`{c}`") for c in rest]).withColumn("t", text_key()).join(spans, "t", "left")
-    rows = rows.select("text", "runs", *[F.col(f"`{c}`") for c in rest])
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[2:])
-    return rows.mapInArrow(_cut(length, texts), ", ".join(x for x in (kinds, ADDED) if x))
+    rows = docs.select("text", F.struct(*rest, F.lit(0).alias("__")).alias("row"), text_key().alias("t")).join(spans, "t", "left").select("text", "runs", "row")
+    cut = rows.mapInArrow(_cut(length, texts), f"row {rows.schema['row'].dataType.simpleString()}, {ADDED}")
+    return cut.select("row.*", *NAMES).drop("__")

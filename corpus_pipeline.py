@@ -13,11 +13,15 @@ from casebeacon.llm import decontaminate, minhash_dedup, mixing, quality_classif
 from casebeacon.llm.tables import stored
 
 
+def _packed(docs: DataFrame) -> DataFrame:
+    """The text beside the whole row, so that no column of a document meets one that an operator adds."""
+    return docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("document"))
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier predicts to be good (score of 0.3 or more)."""
-    columns = docs.columns
-    scored = quality_classifier.score(docs, quality_classifier.fit_quality(spark, sf_dir, docs))
-    return scored.filter("predicted = 1").select(*columns)
+    scored = quality_classifier.score(_packed(docs), quality_classifier.fit_quality(spark, sf_dir, docs))
+    return scored.filter("predicted = 1").select("document.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,8 +30,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Of rows that repeat an id with the same text one stays; rows without id all stay.
     """
     found = minhash_dedup.near_duplicates(docs)
-    dropped = stored(found.filter(~F.col("kept")).select(F.col("doc_id").alias("dropped_id")).distinct(), "pipeline-dropped")
-    kept = docs.join(dropped, F.col("doc_id") == F.col("dropped_id"), "left_anti")
+    dropped = stored(found.filter(~F.col("kept")).select("doc_id").distinct(), "pipeline-dropped")
+    kept = docs.join(dropped, "doc_id", "left_anti")
     return kept.filter("doc_id is not null").dropDuplicates(["doc_id", "text"]).union(kept.filter("doc_id is null")).select(*docs.columns)
 
 
@@ -36,15 +40,16 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
     n_chars follows the shortened text. A text that was empty before stays.
     """
-    cut = suffix_dedup.remove_repeats(docs.select(*docs.columns))
+    cut = suffix_dedup.remove_repeats(_packed(docs))
     cut = cut.filter((F.col("n_removed") == 0) | (F.trim("kept_text") != ""))
-    changed = {"text": F.col("kept_text"), "n_chars": F.when(F.col("n_removed") > 0, F.length("kept_text")).otherwise(F.col("n_chars"))}
-    return cut.withColumns({k: v for k, v in changed.items() if k in docs.columns}).select(*docs.columns)
+    shorter = F.col("n_removed") > 0
+    own = {"text": F.when(shorter, F.col("kept_text")).otherwise(F.col("document.text")), "n_chars": F.when(shorter, F.length("kept_text")).otherwise(F.col("document.n_chars"))}
+    return cut.select(*[own[c].alias(c) if c in own else F.col(f"document.`{c}`") for c in docs.columns])
 
 
 def without_test_items(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that contain no item of the benchmark."""
-    return decontaminate.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return decontaminate.decontaminate(_packed(docs), spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select("document.*")
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
