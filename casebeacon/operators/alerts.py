@@ -240,12 +240,15 @@ def outbreak_alerts(
 
 
 def in_key_order(cases: DataFrame, *, slice_seconds: int = 3600, ts: str = "timestamp") -> DataFrame:
-    """A region's cases of one slice of time together and in order, spread over all slices."""
-    at = cases.where(F.col(ts).isNotNull()).withColumn("_at", F.unix_micros(F.col(ts).cast("timestamp")))
+    """A region's cases of one slice of time together and in order, spread over all slices.
+
+    Ids decide between equal times; cases without a time form a slice of their own, null.
+    """
+    at = cases.withColumn("_at", F.unix_micros(F.col(ts).cast("timestamp")))
     return (
         at.withColumn("slice", _slice("_at", slice_seconds * _MICROS))
         .repartition("region_id", "slice")
-        .sortWithinPartitions("region_id", "slice", "_at")
+        .sortWithinPartitions("region_id", "slice", "_at", "case_id")
         .drop("_at")
     )
 

@@ -61,20 +61,30 @@ def clean_cases(cases: DataFrame, ts: str = "timestamp", symptoms: str = "sympto
     )
 
 
-def row_audit(raw: DataFrame, key: str = "case_id") -> DataFrame:
-    """Rows before and after each cleaning step, plus what stays in with open questions."""
+def row_audit(raw: DataFrame, key: str = "case_id", ts: str = "timestamp") -> DataFrame:
+    """Rows before and after each cleaning step, plus what stays in with open questions.
+
+    ``unparsed_time`` counts complete rows whose time is missing or unreadable: they stay in the table
+    and are in no time bucket, window or alert.
+    """
     complete = F.lit(True)
     for field in ESSENTIAL_FIELDS:
         complete = complete & F.col(field).isNotNull()
     known = X.normalize_result().isin(X.POSITIVE, X.NEGATIVE)
     # First one row per key: a plain aggregate, so hot keys are combined map-side.
     per_key = (
-        raw.select(key, complete.alias("complete"), (complete & ~known).alias("unknown"))
+        raw.select(
+            key,
+            complete.alias("complete"),
+            (complete & ~known).alias("unknown"),
+            (complete & X.parse_timestamp(ts).isNull()).alias("unparsed"),
+        )
         .groupBy(key)
         .agg(
             F.count("*").alias("raw"),
             F.count_if("complete").alias("complete"),
             F.count_if("unknown").alias("unknown"),
+            F.count_if("unparsed").alias("unparsed"),
         )
     )
     totals = per_key.agg(
@@ -85,6 +95,7 @@ def row_audit(raw: DataFrame, key: str = "case_id") -> DataFrame:
                 ("complete", F.sum("complete")),
                 ("deduplicated", F.count_if(F.col("complete") > 0)),
                 ("unknown_result", F.sum("unknown")),
+                ("unparsed_time", F.sum("unparsed")),
             )
         )
     )

@@ -129,8 +129,9 @@ def unwrap_envelope(
     )
 
 
-def good_records(decoded: DataFrame, schema: T.StructType = WIRE_CASE) -> DataFrame:
-    return decoded.where("error IS NULL").select(*(F.col(f"record.{f}").alias(f) for f in schema.names))
+def good_records(decoded: DataFrame, schema: T.StructType = WIRE_CASE, keep: Sequence[str] = ()) -> DataFrame:
+    """The usable records, with the columns of the message named in ``keep``."""
+    return decoded.where("error IS NULL").select(*(F.col(f"record.{f}").alias(f) for f in schema.names), *keep)
 
 
 def dead_letters(decoded: DataFrame, value: str = "value") -> DataFrame:

@@ -2,23 +2,36 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
-
-from casebeacon.operators.cleaning import dedupe_cases
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 
 # Columns the target store fills in by itself.
 GENERATED_COLUMNS = ("id", "trained_at")
 
 
-def upsert_cases(current: DataFrame, updates: DataFrame, key: str = "case_id", ts: str = "timestamp") -> DataFrame:
-    """``current`` with every updated key replaced; the newest update of a key wins.
+def last_arrival(updates: DataFrame, key: str = "case_id", arrival: Sequence[str] = ("arrival",)) -> DataFrame:
+    """One row per key, the one that arrived last, whatever time it reports.
+
+    The other columns only break ties. Spark applies the rank-1 filter before the shuffle as well,
+    so a key with very many updates sends at most one row per map task.
+    """
+    ties = sorted(set(updates.columns) - {key, *arrival})
+    order = [F.col(c).desc_nulls_last() for c in (*arrival, *ties)]
+    ranked = updates.withColumn("_rank", F.row_number().over(Window.partitionBy(key).orderBy(*order)))
+    return ranked.where("_rank = 1").drop("_rank")
+
+
+def upsert_cases(current: DataFrame, updates: DataFrame, key: str = "case_id", arrival: Sequence[str] = ("arrival",)) -> DataFrame:
+    """``current`` with every updated key replaced; of several updates of a key the last to arrive wins.
 
-    Only the keys of the updates meet the current table, so a small batch is broadcast by its
+    ``arrival`` names the columns of the updates that hold their order, the weightiest first. Only the
+    keys of the updates meet the current table, so a small batch is broadcast by its
     measured size and the current table is read without a shuffle.
     """
-    newest = dedupe_cases(updates, key, ts)
+    newest = last_arrival(updates, key, arrival).drop(*(c for c in arrival if c not in current.columns))
     kept = current.join(newest.select(key), key, "left_anti")
     return kept.unionByName(newest)
 

@@ -129,8 +129,8 @@ def recent_cases(cases: DataFrame, ts: str = "timestamp", n: int = 20) -> DataFr
     return cases.orderBy(F.col(ts).desc_nulls_last(), "case_id").limit(n)
 
 
-def view_columns(ts: str = "timestamp", id_length: int | None = 12) -> list[Column]:
-    """The display columns of a case; ``id_length=None`` keeps the whole id."""
+def view_columns(ts: str = "timestamp", id_length: int | None = None) -> list[Column]:
+    """The display columns of a case; pages may cut long ids to ``id_length`` characters."""
     case_id = F.col("case_id") if id_length is None else F.substring("case_id", 1, id_length)
     return [
         case_id.alias("case_id"),
@@ -143,7 +143,7 @@ def view_columns(ts: str = "timestamp", id_length: int | None = 12) -> list[Colu
     ]
 
 
-def recent_case_view(cases: DataFrame, ts: str = "timestamp", id_length: int | None = 12) -> DataFrame:
+def recent_case_view(cases: DataFrame, ts: str = "timestamp", id_length: int | None = None) -> DataFrame:
     return cases.select(*view_columns(ts, id_length))
 
 

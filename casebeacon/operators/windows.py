@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from casebeacon.functions import expressions as X
 
@@ -40,8 +41,10 @@ def threshold_lower_quantile(windows: DataFrame, q: float = 0.75, value: str = "
 
     Values are counted first, then located in two steps: the block of 65,536 neighbouring
     values holding the element, and the element within that block. Neither running sum sees
-    more than that many rows for values below 2^32.
+    more than that many rows for values below 2^32. The value column must be a whole number.
     """
+    if not isinstance(windows.schema[value].dataType, T.IntegralType):
+        raise ValueError(f"{value} is not a whole-number column")
     counts = windows.where(F.col(value).isNotNull()).groupBy(F.col(value).cast("bigint").alias("v")).agg(
         F.count("*").alias("n")
     )

@@ -7,9 +7,9 @@ sparse; doubles are rounded so that both sides of a comparison agree to the last
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import lru_cache
 
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -69,7 +69,7 @@ def read_raw_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     dated = raw.withColumns({k: F.substring("timestamp_text", *at) for k, at in folders.items()})
     files.write_json(dated.select(*columns, *folders), path, list(folders))
     read = files.read_raw_json(spark, f"{path}/*/*/*/*.json", raw.select(*columns).schema)
-    return rounded(read.where(f"{files.UNREADABLE} IS NULL").select(*columns), "humidity", "rainfall_mm")
+    return rounded(read.select(*columns, F.col(files.UNREADABLE).isNotNull().alias("unreadable")), "humidity", "rainfall_mm")
 
 
 @query
@@ -90,13 +90,6 @@ def write_parquet_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query
-def local_rows_to_df(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = metrics.climate_correlation(views.cases(spark, sf_dir)).collect()  # three rows
-    frame = files.local_rows_to_df(spark, rows, "feature string, correlation_with_positivity double")
-    return rounded(frame, "correlation_with_positivity")
-
-
 @query
 def sync_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows as they go to the tables; the write itself needs a database."""
@@ -132,11 +125,31 @@ def kafka_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def kafka_keyed_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cases = views.cases(spark, sf_dir).select(*_WRAPPED)
-    return envelope.wrap_envelope(cases.withColumn("symptoms_json", X.json_string_list("symptoms_json")))
-
-
-_WRAPPED = ("case_id", "region_id", "patient_age", "gender", "symptoms_json", "body_temperature", "rapid_test_result")
+    return envelope.wrap_envelope(_reports(spark, sf_dir).select(*_WRAPPED))
+
+
+_WRAPPED = (
+    "case_id", "timestamp", "region_id", "district", "gps_lat", "gps_lon", "patient_age", "gender", "symptoms_json",
+    "rapid_test_result", "body_temperature", "ambient_temperature", "humidity", "rainfall_mm",
+)
+
+
+def _reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cases with all fields of a report, in wire order."""
+    cases = views.cases(spark, sf_dir).withColumns(
+        {
+            "timestamp": views.iso_text(F.col("ts")),
+            "gps_lat": F.col("event_id") % 90,
+            "gps_lon": F.col("event_id") % 180,
+            # Whole numbers, which both sides write as the same text.
+            "body_temperature": F.col("event_id") % 5 + 36,
+            "ambient_temperature": F.col("event_id") % 15 + 18,
+            "humidity": F.col("event_id") % 56 + 40,
+            "rainfall_mm": F.floor("rainfall_mm"),
+            "symptoms_json": X.json_string_list("symptoms_json"),
+        }
+    )
+    return cases.select("event_id", *_WRAPPED)
 
 
 @query
@@ -149,16 +162,18 @@ def dead_letter_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def upsert_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every positive case comes again, twice; those of one gender are new to the table."""
+    """Every positive case comes again, twice; those of one gender are new to the table.
+
+    The second message reports an earlier time than the first and wins, as it arrived last.
+    """
     cases = views.cases(spark, sf_dir)
-    columns = ["case_id", "ts", "region_id", "patient_age"]
+    columns = ["case_id", "ts", "region_id", "district", "patient_age", "gender", "rapid_test_result"]
     positive = X.is_positive()
     current = cases.where(~positive | (F.col("gender") == "M")).select(*columns)
     same = cases.where(positive).select(*columns)
-    newer = same.withColumns(
-        {"ts": F.col("ts") + F.expr("INTERVAL '1' HOUR"), "patient_age": F.col("patient_age") + 1}
-    )
-    return merge.upsert_cases(current, newer.unionByName(same), ts="ts")
+    first = same.withColumns({"ts": F.col("ts") + F.expr("INTERVAL '1' HOUR"), "patient_age": F.col("patient_age") + 2, "arrival": F.lit(1)})
+    second = same.withColumns({"patient_age": F.col("patient_age") + 1, "arrival": F.lit(2)})
+    return merge.upsert_cases(current, first.unionByName(second))
 
 
 @query
@@ -181,30 +196,19 @@ def analytics_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def unwrap_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return envelope.unwrap_envelope(views.messages(spark, sf_dir)).select(
-        "case_id", "timestamp", "region_id", "district", "patient_age", "symptoms", "body_temperature"
-    )
+    return envelope.unwrap_envelope(views.messages(spark, sf_dir))
 
 
 @query
 def wrap_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Wrapped and unwrapped again: the payload field by field, and the wire types."""
-    cases = views.cases(spark, sf_dir).select("event_id", *_WRAPPED)
-    wrapped = envelope.wrap_envelope(cases.withColumn("symptoms_json", X.json_string_list("symptoms_json")))
-    parts = F.from_json(
-        "value",
-        "schema struct<fields: array<struct<type: string>>, name: string>, "
-        "payload struct<case_id: string, patient_age: int, symptoms_json: string>",
-    )
+    """Wrapped and unwrapped again: the payload field by field, and all wire types."""
+    reports = _reports(spark, sf_dir)
+    wrapped = envelope.wrap_envelope(reports)
+    payload = ", ".join(f"{f.name}: {'string' if f.dataType.typeName() == 'array' else f.dataType.simpleString()}" for f in reports.schema)
+    parts = F.from_json("value", f"schema struct<fields: array<struct<field: string, type: string>>, name: string>, payload struct<{payload}>")
+    types = F.array_join(F.transform("v.schema.fields", lambda f: F.concat_ws(":", f["field"], f["type"])), ",")
     return wrapped.select("key", parts.alias("v")).select(
-        "key",
-        "v.payload.case_id",
-        "v.payload.patient_age",
-        F.col("v.payload.symptoms_json").alias("symptoms"),
-        F.col("v.schema.fields")[0]["type"].alias("event_id_type"),
-        F.col("v.schema.fields")[5]["type"].alias("symptoms_type"),
-        F.col("v.schema.fields")[6]["type"].alias("body_temperature_type"),
-        F.col("v.schema.name").alias("schema_name"),
+        "key", "v.payload.*", types.alias("types"), F.col("v.schema.name").alias("schema_name")
     )
 
 
@@ -329,7 +333,13 @@ simple(
     _windows,
     lambda df: W.last_dates_semi(df, 10).select("region_id", "date", "positive_cases"),
 )
-simple("region_date_grid", _windows, lambda df: W.region_date_grid(df.where("total_cases > 55"), 30))
+
+
+@query
+def region_date_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With gaps: a hash of region and date leaves windows out, at every scale alike."""
+    gap = F.substring(F.md5(F.concat_ws("|", "region_id", F.date_format("date", "yyyy-MM-dd")).cast("binary")), 1, 1) < "4"
+    return W.region_date_grid(_windows(spark, sf_dir).where(~gap), 30)
 
 
 @query
@@ -374,7 +384,21 @@ def region_window_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(features, "avg_rainfall", "avg_humidity", "avg_temperature", "avg_symptoms")
 
 
-simple("outbreak_threshold", _windows, W.outbreak_threshold)
+
+@query
+def outbreak_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether the rank of the approximate quantile lies within its error of one hundredth."""
+    windows = _windows(spark, sf_dir)
+    value = W.outbreak_threshold(windows).scalar()
+    counts = windows.agg(
+        F.count("*").alias("n"),
+        F.count_if(F.col("positive_cases") < value).alias("below"),
+        F.count_if(F.col("positive_cases") <= value).alias("upto"),
+    )
+    wanted, error = F.col("n") * 0.75, F.col("n") * 0.01 + 1
+    return counts.select("n", ((F.col("below") <= wanted + error) & (F.col("upto") >= wanted - error)).alias("within_error"))
+
+
 simple("threshold_lower_q75", _windows, W.threshold_lower_quantile)
 simple("window_histogram", _windows, lambda df: histograms.window_histogram(df, W.threshold_lower_quantile(df)))
 
@@ -407,7 +431,13 @@ def auc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 simple("importance_table", _importances, models.importance_table)
-simple("row_audit", _raw, cleaning.row_audit)
+
+
+@query
+def row_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some times are spoilt first."""
+    spoilt = F.when(F.col("case_id").endswith("7"), F.concat(F.lit("x"), "timestamp_text")).otherwise(F.col("timestamp_text"))
+    return cleaning.row_audit(_raw(spark, sf_dir).withColumn("timestamp_text", spoilt), ts="timestamp_text")
 
 
 # -------------------------------------------------- windows, latest per key, top-k, sets
@@ -488,11 +518,8 @@ def alert_cooldown(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("region_id", F.timestamp_micros("at").cast("timestamp_ntz").alias("ts"), "positives_in_window")
 
 
-def _run_ingest(spark: SparkSession, sf_dir: str, runs: int = 1) -> str:
-    """Ingests the message stream; a second run starts again from the checkpoint."""
-    path, checkpoint = work_dir(spark, "ingest"), work_dir(spark, "ingest-checkpoint")
-    for _ in range(runs):
-        finish(ingest.stream_ingest(views.messages_stream(spark, sf_dir), path, checkpoint, ONCE))
+def _run_ingest(spark: SparkSession, messages: DataFrame, path: str, checkpoint: str, **options) -> str:
+    finish(ingest.stream_ingest(messages, path, checkpoint, ONCE, **options))
     return path
 
 
@@ -502,24 +529,73 @@ def _ingested(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def _message_files(spark: SparkSession, sf_dir: str, files_per_batch: int) -> DataFrame:
+    """All messages and, for every third case, a later one with an earlier time; four files as a stream.
+
+    A case's first message lies in another file than its second, so batches of one file part them.
+    """
+    path = work_dir(spark, "messages")
+    first = views.messages(spark, sf_dir)
+    clean = views.cases(spark, sf_dir).withColumns({"ts": F.col("ts") - F.expr("INTERVAL '1' HOUR"), "patient_age": F.col("patient_age") + 100})
+    again = views.messages_from(clean.where("event_id % 3 = 0")).withColumn("offset", F.col("offset") + 10**12)
+    for part in (first.where("offset % 2 = 0"), first.where("offset % 2 = 1"), again.where("offset % 2 = 1"), again.where("offset % 2 = 0")):
+        part.coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(first.schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
+
+
 @query
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _ingested(spark, _run_ingest(spark, sf_dir))
+    """The same messages as one batch and as four; both tables, and compaction on the way, agree."""
+    out = []
+    for name, per_batch in (("one", 100), ("four", 1)):
+        path = _run_ingest(spark, _message_files(spark, sf_dir, per_batch), work_dir(spark, f"ingest-{name}"), work_dir(spark, "ingest-checkpoint"))
+        ingest.compact_cases(spark, path)
+        out.append(_ingested(spark, path).select(F.lit(name).alias("batches"), "*"))
+    return out[0].unionByName(out[1])
 
 
 @query
 def at_least_once_commit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _ingested(spark, _run_ingest(spark, sf_dir, runs=2))
+    """The commit of the batch is lost after its writes, so a second start reads and writes it again."""
+    path, checkpoint = work_dir(spark, "ingest"), work_dir(spark, "ingest-checkpoint")
+    writes: list[int] = []
+
+    def counted(write: Callable[[], None]) -> None:
+        writes.append(1)
+        write()
+
+    _run_ingest(spark, views.messages_stream(spark, sf_dir), path, checkpoint, store=counted)
+    files.remove(spark, f"{checkpoint}/commits/0")
+    files.remove(spark, f"{checkpoint}/commits/.0.crc")
+    _run_ingest(spark, views.messages_stream(spark, sf_dir), path, checkpoint, store=counted)
+    return _ingested(spark, path).withColumn("writes", F.lit(len(writes)))
 
 
 @query
 def retry_then_dead_letter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ingest.read_dead_letters(spark, _run_ingest(spark, sf_dir))
+    """The store refuses the first two writes."""
+    calls: list[int] = []
+
+    def flaky(write: Callable[[], None]) -> None:
+        calls.append(1)
+        if len(calls) <= 2:
+            raise OSError("store is away")
+        write()
+
+    path = work_dir(spark, "ingest")
+    _run_ingest(spark, views.messages_stream(spark, sf_dir), path, work_dir(spark, "ingest-checkpoint"), store=flaky, pause=lambda _: None)
+    return ingest.read_dead_letters(spark, path).withColumn("calls", F.lit(len(calls)))
+
+
+def _bounded_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The case stream with its end, so that the whole of it is released."""
+    return live.with_end(views.cases_stream(spark, sf_dir), work_dir(spark, "end"), "ts")
 
 
 def _stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", stream_alerts.ROCKSDB)
     return stream_alerts.stream_outbreak_alerts(
-        views.cases_stream(spark, sf_dir),
+        _bounded_cases(spark, sf_dir),
         delay=STREAM_DELAY,
         window_seconds=ALERT_WINDOW,
         cooldown_seconds=ALERT_COOLDOWN,
@@ -544,7 +620,7 @@ def alert_log_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def stream_region_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, checkpoint = work_dir(spark, "windows"), work_dir(spark, "windows-checkpoint")
-    stream = live.stream_region_windows(views.cases_stream(spark, sf_dir), delay=STREAM_DELAY, window="1 day", ts="ts")
+    stream = live.stream_region_windows(_bounded_cases(spark, sf_dir), delay=STREAM_DELAY, window="1 day", ts="ts")
     finish(live.append_parquet(stream, path, checkpoint, ONCE))
     return spark.read.parquet(path).select("region_id", "date", "total_cases", "positive_cases", F.round("avg_rainfall", 6).alias("avg_rainfall"))
 
@@ -558,20 +634,34 @@ def stream_live_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def lag_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows read per source over the whole run, from the query's own progress."""
-    path, checkpoint = work_dir(spark, "lag"), work_dir(spark, "lag-checkpoint")
-    stream = live.append_parquet(views.cases_stream(spark, sf_dir).select("event_id", "ts"), path, checkpoint, ONCE)
-    finish(stream)
-    frame = progress.progress_frame(spark, stream.recentProgress)
-    return frame.agg(F.sum("input_rows").alias("input_rows"), F.sum("late_rows").alias("late_rows"))
+    """Lag per partition after each of 150 batches, from a stored progress log.
+
+    A batch is a slice of the offsets; the log holds what a Kafka source reports after it.
+    """
+    path = work_dir(spark, "progress")
+    messages = views.messages(spark, sf_dir).select(F.col("partition").cast("string").alias("partition"), "offset")
+    last = messages.groupBy("partition").agg(F.max("offset").alias("end"))
+    batches = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(149).cast("bigint"))).alias("batch_id")
+    after = last.select("partition", "end", batches).withColumn("position", F.expr("(batch_id + 1) * `end` div 150"))
+    offsets = lambda c: F.to_json(F.struct(F.map_from_entries(F.array_sort(F.collect_list(F.struct("partition", c)))).alias("cases")))
+    log = after.groupBy("batch_id").agg(offsets("position").alias("end_offset"), offsets("end").alias("latest_offset"))
+    files.write_json(log.withColumns({"query": F.lit("q"), "source": F.lit("KafkaV2[Subscribe[cases]]")}), path)
+    return progress.lag_report(progress.read_progress(spark, path)).drop("query")
 
 
 @query
 def key_locality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Position of each case in its region's order, within slices of a day."""
+    """Position of each case in its region's order within slices of a day, as the operator lays the rows out.
+
+    The number of the row in its partition counts; the first one of a slice gives the start.
+    """
     ordered = alerts.in_key_order(views.cases(spark, sf_dir), slice_seconds=86400, ts="ts")
-    position = F.row_number().over(Window.partitionBy("region_id", "slice").orderBy("ts"))
-    return ordered.select("region_id", "case_id", position.alias("position"))
+    path = work_dir(spark, "ordered")
+    ordered.select("region_id", "slice", "case_id", F.monotonically_increasing_id().alias("place")).write.parquet(path)
+    laid = spark.read.parquet(path)
+    first = laid.groupBy("region_id", "slice").agg(F.min("place").alias("first"))
+    place = (F.col("place") - F.col("first") + 1).cast("int").alias("position")
+    return laid.join(first, ["region_id", "slice"]).select("region_id", "case_id", place)
 
 
 # -------------------------------------------------------------------------------- models
@@ -584,15 +674,15 @@ def category_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def assemble_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The feature vector spread over columns; a missing age leaves the row out."""
+    """The feature vector spread over columns; a row without an age stays and has none."""
     cases = views.cases(spark, sf_dir).withColumn(
         "patient_age", F.when(F.col("event_id") % 13 != 0, F.col("patient_age"))
     )
     stages = [models.indexer("region_id", "region_idx"), models.indexer("gender", "gender_idx")]
     for stage in stages:
         cases = stage.fit(cases).transform(cases)
-    vectors = models.assembler(models.CASE_FEATURES).transform(cases)
-    values = vectors.select("case_id", vector_to_array("features").alias("f"))
+    values = models.assemble(cases, models.CASE_FEATURES).select("case_id", "features")
+    values = values.select("case_id", F.when(F.col("features").isNotNull(), vector_to_array("features")).alias("f"))
     return values.select(
         "case_id", *(F.round(F.col("f")[i], 6).alias(name) for i, name in enumerate(models.CASE_FEATURES))
     )
@@ -603,62 +693,122 @@ def train_test_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models.with_split(views.cases(spark, sf_dir), F.col("case_id")).select("case_id", "is_train")
 
 
-def _spread(df: DataFrame, key: str) -> DataFrame:
-    """The test table is one small file; this gives every core a share of the rows."""
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key)
+TRAINING_ROWS = 20_000  # of the training share, in hash order; the bound for models fitted by queries
 
 
 def _training_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return models.label_cases(_spread(views.cases(spark, sf_dir), "case_id"))
+    """Every 17th case lacks a reading."""
+    cases = views.cases(spark, sf_dir)
+    return models.label_cases(cases.withColumn("humidity", F.when(F.col("event_id") % 17 != 0, F.col("humidity"))))
 
 
 def _training_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models.label_windows(_windows(spark, sf_dir).drop("prediction"))
 
 
-@lru_cache(maxsize=4)
 def _case_model(spark: SparkSession, sf_dir: str):
-    return models.train(models.case_pipeline(), _training_cases(spark, sf_dir))
+    rows = models.training_rows(_training_cases(spark, sf_dir), ["case_id"], TRAINING_ROWS)
+    return models.train(models.case_pipeline(), rows)
 
 
-@lru_cache(maxsize=4)
 def _window_model(spark: SparkSession, sf_dir: str):
-    return models.train(models.outbreak_pipeline(), _training_windows(spark, sf_dir))
+    rows = models.training_rows(_training_windows(spark, sf_dir), ["region_id", "date"], TRAINING_ROWS)
+    return models.train(models.outbreak_pipeline(), rows)
+
+
+def _importance_facts(rows: DataFrame) -> DataFrame:
+    """One row per feature, with the sum over all and whether each is a share."""
+    total = F.round(F.sum("importance").over(Window.partitionBy("model_name")), 6)
+    return rows.select("model_name", "feature_name", total.alias("total"), F.col("importance").between(0, 1).alias("is_share"))
 
 
 @query
 def case_risk_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return models.importance_rows(spark, _case_model(spark, sf_dir), models.CASE_MODEL, models.CASE_FEATURES)
+    return _importance_facts(models.importance_rows(spark, _case_model(spark, sf_dir), models.CASE_MODEL, models.CASE_FEATURES))
 
 
 @query
 def outbreak_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return models.importance_rows(spark, _window_model(spark, sf_dir), models.OUTBREAK_MODEL, models.OUTBREAK_FEATURES)
+    return _importance_facts(models.importance_rows(spark, _window_model(spark, sf_dir), models.OUTBREAK_MODEL, models.OUTBREAK_FEATURES))
+
+
+def _agrees() -> Column:
+    return F.expr("CASE WHEN probability IS NOT NULL THEN (probability > 0.5) = (prediction = 1.0) END").alias("agrees")
 
 
 @query
 def score_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return models.score_cases(_case_model(spark, sf_dir), _training_cases(spark, sf_dir))
+    """Every case, and whether its class agrees with its probability; null where a feature is missing."""
+    scored = models.score_cases(_case_model(spark, sf_dir), _training_cases(spark, sf_dir))
+    return scored.select("case_id", "region_id", "patient_age", "gender", "label", "is_train", _agrees())
 
 
 @query
 def score_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return models.score_windows(_window_model(spark, sf_dir), _training_windows(spark, sf_dir))
+    scored = models.score_windows(_window_model(spark, sf_dir), _training_windows(spark, sf_dir))
+    return scored.select("region_id", "date", "total_cases", "positive_cases", "is_train", _agrees())
 
 
 @query
 def evaluate_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return models.evaluate_model(score_cases(spark, sf_dir), models.CASE_MODEL).unionByName(
-        models.evaluate_model(score_windows(spark, sf_dir), models.OUTBREAK_MODEL, "is_outbreak")
-    )
+    """Whether each metric equals what the learning library's own evaluators give for the same rows."""
+    path = work_dir(spark, "scored")
+    files.write_parquet(models.score_cases(_case_model(spark, sf_dir), _training_cases(spark, sf_dir)), path)
+    scored = spark.read.parquet(path)
+    rows = scored.where("NOT is_train AND prediction IS NOT NULL")
+    classes = MulticlassClassificationEvaluator(labelCol="label", predictionCol="prediction")
+    names = {"f1": "f1", "weighted_precision": "weightedPrecision", "weighted_recall": "weightedRecall", "accuracy": "accuracy"}
+    expected = [(ours, classes.evaluate(rows, {classes.metricName: theirs})) for ours, theirs in names.items()]
+    ranking = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="raw", numBins=0)
+    expected.append(("auc", ranking.evaluate(rows.withColumn("raw", array_to_vector(F.expr("array(1 - probability, probability)"))))))
+    other = spark.createDataFrame(expected, "metric string, expected double")  # five values
+    metrics_ = models.evaluate_model(scored, models.CASE_MODEL)
+    return metrics_.join(other, "metric", "full").select("model_name", "metric", (F.abs(F.col("value") - F.col("expected")) < 1e-9).alias("agrees"))
+
+
+def _same_scores(before: DataFrame, after: DataFrame, key: list[str]) -> DataFrame:
+    """Whether two scorings give each row the same probability."""
+    pair = before.select(*key, "probability").join(after.select(*key, F.col("probability").alias("again")), key, "full")
+    return pair.select(*key, F.col("probability").eqNullSafe(F.col("again")).alias("same"))
 
 
 @query
 def model_save(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scores of the window model after it was saved and loaded again."""
-    path = work_dir(spark, "outbreak-model")
-    models.save_model(_window_model(spark, sf_dir), path)
-    return models.score_windows(models.load_model(path), _training_windows(spark, sf_dir))
+    """Scores of the window model before saving, and after saving over an older model and loading."""
+    path, model, rows = work_dir(spark, "outbreak-model"), _window_model(spark, sf_dir), _training_windows(spark, sf_dir)
+    for _ in range(2):
+        models.save_model(model, path)
+    return _same_scores(models.score_windows(model, rows), models.score_windows(models.load_model(path), rows), ["region_id", "date"])
+
+
+@query
+def model_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of the case model, saved and loaded."""
+    path, model, rows = work_dir(spark, "case-model"), _case_model(spark, sf_dir), _training_cases(spark, sf_dir)
+    models.save_model(model, path)
+    return _same_scores(models.score_cases(model, rows), models.score_cases(models.load_model(path), rows), ["case_id"])
+
+
+@query
+def run_case_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole job, and how many rows it left in each of its tables."""
+    clean, target = work_dir(spark, "clean"), work_dir(spark, "case-job")
+    files.write_parquet(views.cases(spark, sf_dir), clean)
+    models.run_case_model(spark, clean, target, TRAINING_ROWS, trees=20)
+    return _row_counts(spark, target)
+
+
+@query
+def run_outbreak_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    clean, target = work_dir(spark, "clean"), work_dir(spark, "outbreak-job")
+    files.write_parquet(views.cases(spark, sf_dir), clean)
+    models.run_outbreak_model(spark, clean, target, "1 day", "ts", TRAINING_ROWS)
+    return _row_counts(spark, target)
 
 
-QUERIES["model_load"] = QUERIES["model_save"]
+def _row_counts(spark: SparkSession, target: str) -> DataFrame:
+    counts = [
+        spark.read.parquet(f"{target}/{name}").agg(F.count("*").alias("rows")).select(F.lit(name).alias("table"), "rows")
+        for name in ("predictions", "metrics", "importances")
+    ]
+    return merge.union_by_name(*counts)

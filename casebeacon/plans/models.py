@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
@@ -13,7 +15,8 @@ from pyspark.sql import functions as F
 
 from casebeacon.functions import expressions as X
 from casebeacon.operators.evaluation import auc_from_counts, weighted_from_counts
-from casebeacon.operators.windows import outbreak_label, outbreak_threshold
+from casebeacon.operators.windows import outbreak_label, outbreak_threshold, region_window_features
+from casebeacon.sources.files import write_parquet
 
 CASE_MODEL = "case_risk"
 OUTBREAK_MODEL = "outbreak"
@@ -44,17 +47,15 @@ TRAIN_PERCENT = 80
 def category_index(df: DataFrame, column: str) -> DataFrame:
     """Index of each category, the most frequent first, equal counts in text order.
 
-    Tree learners accept only a few dozen categories, so the ranked table is short.
+    Categories are ranked among those of equal count, and the sizes of the more frequent counts
+    are added; the running sum over all sees one row per different count.
     """
-    return (
-        df.where(F.col(column).isNotNull())
-        .groupBy(F.col(column).alias("category"))
-        .agg(F.count("*").alias("count"))
-        .withColumn(
-            "idx",
-            (F.row_number().over(Window.orderBy(F.col("count").desc(), "category")) - 1).cast("double"),
-        )
-    )
+    counts = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("category")).agg(F.count("*").alias("count"))
+    sizes = counts.groupBy("count").agg(F.count("*").alias("same"))
+    before = F.sum("same").over(Window.orderBy(F.col("count").desc())) - F.col("same")
+    ranked = counts.join(sizes.select("count", before.alias("before")), "count")
+    place = F.row_number().over(Window.partitionBy("count").orderBy("category"))
+    return ranked.select("category", "count", (F.col("before") + place - 1).cast("double").alias("idx"))
 
 
 def indexer(column: str, output: str) -> StringIndexer:
@@ -64,18 +65,21 @@ def indexer(column: str, output: str) -> StringIndexer:
     )
 
 
+def missing_feature(df: DataFrame, features: Sequence[str]) -> Column:
+    """True for rows without one of the features that are columns of ``df``."""
+    conditions = [F.col(f).isNull() for f in features if f in df.columns]
+    return reduce(lambda a, b: a | b, conditions, F.lit(False))
+
+
 def assembler(features: Sequence[str]) -> VectorAssembler:
-    """Feature vector; rows with a missing feature are left out, see `incomplete_features`."""
+    """Feature vector for training, which leaves rows with a missing feature out; `train` counts them."""
     return VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip")
 
 
-def incomplete_features(df: DataFrame, features: Sequence[str]) -> Column:
-    """Aggregate: how many rows the assembler leaves out."""
-    present = [F.col(f).isNull() for f in features if f in df.columns]
-    missing = present[0]
-    for condition in present[1:]:
-        missing = missing | condition
-    return F.count_if(missing)
+def assemble(df: DataFrame, features: Sequence[str]) -> DataFrame:
+    """All rows with their vector in ``features``; null where a feature is missing."""
+    whole = assembler(features).setHandleInvalid("keep").transform(df)
+    return whole.withColumn("features", F.when(~missing_feature(df, features), F.col("features")))
 
 
 def train_flag(key: Column, percent: int = TRAIN_PERCENT) -> Column:
@@ -93,9 +97,10 @@ def window_key() -> Column:
     return F.concat_ws("|", "region_id", F.date_format("date", "yyyy-MM-dd HH:mm:ss"))
 
 
-def case_pipeline(trees: int = 100, depth: int = 8, seed: int = 42) -> Pipeline:
+def case_pipeline(trees: int = 100, depth: int = 8, bins: int = 32, seed: int = 42) -> Pipeline:
+    """``bins`` must exceed the number of regions."""
     forest = RandomForestClassifier(
-        labelCol="label", featuresCol="features", numTrees=trees, maxDepth=depth, seed=seed
+        labelCol="label", featuresCol="features", numTrees=trees, maxDepth=depth, maxBins=bins, seed=seed
     )
     return Pipeline(
         stages=[
@@ -128,14 +133,25 @@ def label_windows(windows: DataFrame) -> DataFrame:
     return outbreak_label(windows, outbreak_threshold(windows)).transform(with_split, window_key())
 
 
-def train(pipeline: Pipeline, labelled: DataFrame) -> PipelineModel:
-    """Fits on the training rows.
+def training_rows(labelled: DataFrame, key: Sequence[str], limit: int | None = None) -> DataFrame:
+    """The rows to train on: all of the training share, or ``limit`` of them in hash order of the key."""
+    rows = labelled.where("is_train")
+    return rows if limit is None else rows.orderBy(F.xxhash64(*key), *key).limit(limit)
+
+
+def train(pipeline: Pipeline, labelled: DataFrame, counts: dict[str, int] | None = None) -> PipelineModel:
+    """Fits on the training rows. ``counts`` gets their number and how many lacked a feature.
 
     A fitted forest holds a training summary, and through it the session, which scoring would
     send along with every task; after a row count was observed in the session that even fails.
     The copy goes without the summary.
     """
-    return pipeline.fit(labelled.where("is_train")).copy()
+    rows = labelled.where("is_train")
+    if counts is not None:
+        features = next(s for s in pipeline.getStages() if isinstance(s, VectorAssembler)).getInputCols()
+        seen = rows.agg(F.count("*").alias("rows"), F.count_if(missing_feature(rows, features)).alias("incomplete"))
+        counts.update(seen.first().asDict())
+    return pipeline.fit(rows).copy()
 
 
 def save_model(model: PipelineModel, path: str) -> None:
@@ -147,9 +163,20 @@ def load_model(path: str) -> PipelineModel:
 
 
 def apply_model(model: PipelineModel, labelled: DataFrame) -> DataFrame:
-    """All rows, training rows included, with class, probability and `is_train`."""
-    scored = model.transform(labelled)
-    return scored.withColumn("probability", vector_to_array("probability")[1])
+    """All rows, training rows included, with class, probability and `is_train`.
+
+    A row with a missing feature stays, with null as its class and probability.
+    """
+    whole = [s.copy().setHandleInvalid("keep") if isinstance(s, VectorAssembler) else s for s in model.stages]
+    features = next(s for s in whole if isinstance(s, VectorAssembler)).getInputCols()
+    known = ~missing_feature(labelled, features)
+    scored = PipelineModel(whole).transform(labelled)
+    return scored.withColumns(
+        {
+            "prediction": F.when(known, F.col("prediction")),
+            "probability": F.when(known, vector_to_array("probability")[1]),
+        }
+    )
 
 
 def score_cases(model: PipelineModel, labelled: DataFrame) -> DataFrame:
@@ -173,7 +200,7 @@ def evaluate_model(scored: DataFrame, model_name: str, label: str = "label") ->
 
     Scores are counted once; both metric groups read the counts.
     """
-    held_out = scored.where(~F.col("is_train") & F.col(label).isNotNull())
+    held_out = scored.where(~F.col("is_train") & F.col(label).isNotNull() & F.col("prediction").isNotNull())
     counts = held_out.groupBy(F.col(label).alias("label"), "prediction", F.col("probability").alias("score")).agg(
         F.count("*").alias("n")
     )
@@ -209,3 +236,47 @@ def importance_table(importances: DataFrame) -> DataFrame:
     return importances.withColumn("importance_pct", F.round(F.col("importance") * 100, 1)).orderBy(
         "model_name", F.col("importance").desc(), "feature_name"
     )
+
+
+@dataclass(frozen=True)
+class ModelFolders:
+    """Where a model job leaves its results."""
+
+    model: str
+    predictions: str
+    metrics: str
+    importances: str
+
+    @classmethod
+    def below(cls, path: str) -> ModelFolders:
+        return cls(*(f"{path}/{name}" for name in ("model", "predictions", "metrics", "importances")))
+
+
+def _run(spark: SparkSession, name: str, labelled: DataFrame, pipeline: Pipeline, key: Sequence[str], score, features, label: str, folders: ModelFolders, limit: int | None) -> dict[str, int]:
+    counts: dict[str, int] = {}
+    model = train(pipeline, training_rows(labelled, key, limit), counts)
+    save_model(model, folders.model)
+    write_parquet(score(load_model(folders.model), labelled), folders.predictions)
+    scored = spark.read.parquet(folders.predictions)
+    write_parquet(evaluate_model(scored, name, label), folders.metrics)
+    write_parquet(importance_rows(spark, model, name, features), folders.importances)
+    scores = scored.agg(F.count("*").alias("scored"), F.count_if(F.col("prediction").isNull()).alias("unscored"))
+    return counts | scores.first().asDict()
+
+
+def run_case_model(spark: SparkSession, clean_path: str, target: str, limit: int | None = None, **settings) -> dict[str, int]:
+    """The case risk job: trains, saves, scores every case, evaluates, writes importances.
+
+    Reads the clean table and leaves model, predictions, metrics and importances below ``target``.
+    ``limit`` bounds the training rows (default: all of the training share). Returns row counts.
+    """
+    labelled = label_cases(spark.read.parquet(clean_path))
+    return _run(spark, CASE_MODEL, labelled, case_pipeline(**settings), ["case_id"], score_cases, CASE_FEATURES, "label", ModelFolders.below(target), limit)
+
+
+def run_outbreak_model(spark: SparkSession, clean_path: str, target: str, window: str = "1 minute", ts: str = "timestamp", limit: int | None = None, **settings) -> dict[str, int]:
+    """The outbreak job on region-by-window features of the clean table, like `run_case_model`."""
+    features = f"{target}/windows"
+    write_parquet(region_window_features(spark.read.parquet(clean_path), window, ts), features)
+    labelled = label_windows(spark.read.parquet(features))
+    return _run(spark, OUTBREAK_MODEL, labelled, outbreak_pipeline(**settings), ["region_id", "date"], score_windows, OUTBREAK_FEATURES, "is_outbreak", ModelFolders.below(target), limit)

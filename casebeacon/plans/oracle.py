@@ -1,10 +1,11 @@
 """The same queries as plain SQL over the test tables, for comparison only.
 
-Models have no SQL form and are left out.
+For models it states what holds whatever the fit.
 """
 
 from __future__ import annotations
 
+from casebeacon.plans.models import CASE_FEATURES, CASE_MODEL, OUTBREAK_FEATURES, OUTBREAK_MODEL
 from casebeacon.schemas import REQUIRED_FIELDS
 
 _VIEWS = {
@@ -128,7 +129,6 @@ alerts AS (
 
 
 _ALERTS = _kept("SELECT * FROM counts WHERE positives_in_window >= 10", "INTERVAL '6' HOUR")
-_WATERMARK = "(SELECT max(ts) FROM cases) - INTERVAL '1' HOUR"
 _LINE = (
     "concat(strftime(ts, '%Y-%m-%d %H:%M:%S'), ' [ALERT] ', region_id, ': ', positives_in_window, "
     "' positive cases in the last 43200s (instance A)')"
@@ -150,12 +150,21 @@ _ERROR = """CASE WHEN "offset" % 101 = 0 THEN 'Not a JSON object'
   WHEN "offset" % 103 = 0 THEN 'Missing fields: region_id' END"""
 _USABLE = "event_id % 101 <> 0 AND event_id % 103 <> 0"
 _SAFE = "CASE WHEN {b} = 0 THEN 0.0 ELSE round({a} * 100.0 / {b}, {d}) END"
-_WRAPPED_FIELDS = """'{"type":"struct","fields":[' ||
-  '{"field":"case_id","type":"string","optional":true},{"field":"region_id","type":"string","optional":true},' ||
-  '{"field":"patient_age","type":"int64","optional":true},{"field":"gender","type":"string","optional":true},' ||
-  '{"field":"symptoms_json","type":"string","optional":true},' ||
-  '{"field":"body_temperature","type":"double","optional":true},' ||
-  '{"field":"rapid_test_result","type":"string","optional":true}],"optional":false,"name":"case_report"}'"""
+_WIRE_TYPES = {
+    "case_id": "string", "timestamp": "string", "region_id": "string", "district": "string", "gps_lat": "int64",
+    "gps_lon": "int64", "patient_age": "int64", "gender": "string", "symptoms_json": "string",
+    "rapid_test_result": "string", "body_temperature": "int64", "ambient_temperature": "int64", "humidity": "int64",
+    "rainfall_mm": "int64",
+}
+_REPORT = """SELECT event_id, case_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS "timestamp", region_id, district,
+  event_id % 90 AS gps_lat, event_id % 180 AS gps_lon, patient_age, gender, symptoms_json, rapid_test_result,
+  event_id % 5 + 36 AS body_temperature, event_id % 15 + 18 AS ambient_temperature, event_id % 56 + 40 AS humidity,
+  CAST(floor(rainfall_mm) AS BIGINT) AS rainfall_mm FROM cases"""
+_WRAPPED_FIELDS = (
+    """'{"type":"struct","fields":["""
+    + ",".join(f'{{"field":"{f}","type":"{t}","optional":true}}' for f, t in _WIRE_TYPES.items())
+    + """],"optional":false,"name":"case_report"}'"""
+)
 _FORMED = f"""SELECT case_id, ts, region_id, patient_age, rapid_test_result FROM cases WHERE {_USABLE}"""
 _AGE_BINS = """(VALUES (0, '0-4', 0, 4), (1, '5-14', 5, 14), (2, '15-24', 15, 24), (3, '25-34', 25, 34),
   (4, '35-44', 35, 44), (5, '45-59', 45, 59), (6, '60+', 60, 150)) b(bin, label, lo, hi)"""
@@ -306,11 +315,28 @@ _ANALYTICS = "SELECT CAST(to_json({}) AS VARCHAR) AS document".format(
 _INDEX = """SELECT {c} AS category, count(*) AS "count",
   CAST(row_number() OVER (ORDER BY count(*) DESC, {c}) - 1 AS DOUBLE) AS idx FROM cases GROUP BY {c}"""
 
+_TYPE_LIST = "event_id:int64," + ",".join(f"{f}:{t}" for f, t in _WIRE_TYPES.items())
+_MEASURED = ("gps_lat", "gps_lon", "body_temperature", "ambient_temperature", "humidity", "rainfall_mm")
+_READ = "event_id % 101 <> 0"
+_GIVEN = {"region_id": _USABLE, "district": f"{_READ} AND event_id % 107 <> 0"}
+_AGAIN = f"""SELECT case_id, CASE WHEN event_id % 3 = 0 THEN ts - INTERVAL '1' HOUR ELSE ts END AS ts, region_id,
+  CAST(CASE WHEN event_id % 3 = 0 THEN patient_age + 100 ELSE patient_age END AS INT) AS patient_age, rapid_test_result
+FROM cases WHERE {_USABLE}"""
+_TRAIN = "CAST(concat('0x', substr(md5({k}), 1, 8)) AS BIGINT) % 100 < 80"
+_WINDOW_KEY = "concat(region_id, '|', strftime(date, '%Y-%m-%d %H:%M:%S'))"
+
+
+def _facts(model: str, features: tuple[str, ...]) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{model}' AS model_name, '{f}' AS feature_name, CAST(1 AS DOUBLE) AS total, true AS is_share" for f in features
+    )
+
+
 ORACLE: dict[str, str] = {
     # sources and sinks
     "read_raw_json": with_views(
         "SELECT case_id, region_id, rapid_test_result, round(humidity, 6) AS humidity, "
-        "round(rainfall_mm, 6) AS rainfall_mm FROM cases_raw",
+        "round(rainfall_mm, 6) AS rainfall_mm, false AS unreadable FROM cases_raw",
         "cases_raw",
     ),
     "read_clean_parquet": "SELECT event_id, ts, event_type, value FROM events",
@@ -318,7 +344,6 @@ ORACLE: dict[str, str] = {
         "SELECT case_id, ts, region_id, rapid_test_result, strftime(ts, '%Y-%m-%d') AS event_date FROM cases",
         "cases",
     ),
-    "local_rows_to_df": with_views(_CLIMATE, "cases"),
     "sync_predictions": with_views(
         "SELECT 'case_predictions' AS target, case_id AS row_key, region_id, label, prediction, true AS stamped "
         "FROM scored UNION ALL SELECT 'outbreak_predictions', strftime(date, '%Y-%m-%d'), region_id, "
@@ -329,10 +354,8 @@ ORACLE: dict[str, str] = {
     ),
     "kafka_source": with_views('SELECT "partition", "offset", "key", "value" FROM messages', "messages"),
     "kafka_keyed_sink": with_views(
-        f"""SELECT region_id AS "key", concat('{{"schema":', {_WRAPPED_FIELDS}, ',"payload":', to_json(struct_pack(
-  case_id := case_id, region_id := region_id, patient_age := patient_age, gender := gender,
-  symptoms_json := symptoms_json, body_temperature := body_temperature,
-  rapid_test_result := rapid_test_result)), '}}') AS "value" FROM cases""",
+        f"""SELECT region_id AS "key", concat('{{"schema":', {_WRAPPED_FIELDS}, ',"payload":',
+  to_json(struct_pack({", ".join(f'"{f}" := "{f}"' for f in _WIRE_TYPES)})), '}}') AS "value" FROM ({_REPORT})""",
         "cases",
     ),
     "dead_letter_sink": with_views(
@@ -341,9 +364,9 @@ ORACLE: dict[str, str] = {
         "messages",
     ),
     "upsert_cases": with_views(
-        """SELECT case_id, ts, region_id, patient_age FROM cases WHERE rapid_test_result <> 'positive'
-UNION ALL
-SELECT case_id, ts + INTERVAL '1' HOUR, region_id, patient_age + 1 FROM cases WHERE rapid_test_result = 'positive'""",
+        """SELECT case_id, ts, region_id, district,
+  CAST(CASE WHEN rapid_test_result = 'positive' THEN patient_age + 1 ELSE patient_age END AS INT) AS patient_age, gender,
+  rapid_test_result FROM cases""",
         "cases",
     ),
     "dashboard_snapshot": with_views(
@@ -363,18 +386,26 @@ SELECT case_id, ts + INTERVAL '1' HOUR, region_id, patient_age + 1 FROM cases WH
     ),
     # projections, filters, validation
     "unwrap_envelope": with_views(
-        f"""SELECT CASE WHEN event_id % 101 <> 0 THEN case_id END AS case_id,
-  CASE WHEN event_id % 101 <> 0 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') END AS "timestamp",
-  CASE WHEN {_USABLE} THEN region_id END AS region_id,
-  CASE WHEN event_id % 101 <> 0 AND event_id % 107 <> 0 THEN district END AS district,
-  CASE WHEN event_id % 101 <> 0 THEN patient_age END AS patient_age,
-  CASE WHEN event_id % 101 <> 0 THEN symptoms_json END AS symptoms,
-  CASE WHEN event_id % 101 <> 0 THEN CAST(event_id % 5 + 36 AS DOUBLE) END AS body_temperature FROM cases""",
+        "SELECT "
+        + ", ".join(
+            f"CASE WHEN {_GIVEN.get(f, _READ)} THEN {e} END AS \"{f}\""
+            for f, e in {
+                "case_id": "case_id",
+                "timestamp": '"timestamp"',
+                "region_id": "region_id",
+                "district": "district",
+                "patient_age": "patient_age",
+                "gender": "gender",
+                "symptoms": "symptoms_json",
+                "rapid_test_result": "rapid_test_result",
+                **{f: f"CAST({f} AS DOUBLE)" for f in _MEASURED},
+            }.items()
+        )
+        + f" FROM ({_REPORT})",
         "cases",
     ),
     "wrap_envelope": with_views(
-        """SELECT region_id AS "key", case_id, patient_age, symptoms_json AS symptoms, 'int64' AS event_id_type,
-  'string' AS symptoms_type, 'double' AS body_temperature_type, 'case_report' AS schema_name FROM cases""",
+        f"""SELECT region_id AS "key", *, '{_TYPE_LIST}' AS types, 'case_report' AS schema_name FROM ({_REPORT})""",
         "cases",
     ),
     "validate_required": with_views(
@@ -465,7 +496,9 @@ FROM (SELECT *, row_number() OVER (PARTITION BY case_id ORDER BY timestamp_text
         "windows",
     ),
     "region_date_grid": with_views(
-        _GRID.format(w="busy"), "windows", extra="busy AS (SELECT * FROM windows WHERE total_cases > 55)"
+        _GRID.format(w="busy"),
+        "windows",
+        extra="busy AS (SELECT * FROM windows WHERE substr(md5(concat(region_id, '|', strftime(date, '%Y-%m-%d'))), 1, 1) >= '4')",
     ),
     "replace_model_rows": with_views(
         "SELECT model_name, feature_name, importance FROM importances WHERE model_name <> 'case_risk' UNION ALL "
@@ -553,7 +586,8 @@ FROM (SELECT actual, hit, p, r, CASE WHEN p + r = 0 THEN 0 ELSE 2 * p * r / (p +
 UNION ALL SELECT 'complete', count(*) FROM cases_raw WHERE {_COMPLETE}
 UNION ALL SELECT 'deduplicated', count(DISTINCT case_id) FROM cases_raw WHERE {_COMPLETE}
 UNION ALL SELECT 'unknown_result', count(*) FROM cases_raw
-  WHERE {_COMPLETE} AND lower(rapid_test_result) NOT IN ('positive', 'negative')""",
+  WHERE {_COMPLETE} AND lower(rapid_test_result) NOT IN ('positive', 'negative')
+UNION ALL SELECT 'unparsed_time', count(*) FROM cases_raw WHERE {_COMPLETE} AND case_id LIKE '%7'""",
         "cases_raw",
     ),
     # windows, latest per key, top-k, sets
@@ -597,44 +631,78 @@ UNION ALL SELECT 'risk', CAST(row_number() OVER (ORDER BY avg_risk DESC, region_
         recursive=True,
         extra=_kept("SELECT * FROM counts WHERE positives_in_window >= 3", "INTERVAL '2' HOUR"),
     ),
-    "stream_ingest": with_views(_FORMED, "cases"),
-    "at_least_once_commit": with_views(_FORMED, "cases"),
+    "stream_ingest": with_views(
+        f"SELECT 'one' AS batches, * FROM ({_AGAIN}) UNION ALL SELECT 'four', * FROM ({_AGAIN})", "cases"
+    ),
+    "at_least_once_commit": with_views(f"SELECT *, CAST(4 AS INT) AS writes FROM ({_FORMED})", "cases"),
     "retry_then_dead_letter": with_views(
-        f'SELECT "partition", "offset", error, raw FROM (SELECT "partition", "offset", {_ERROR} AS error, '
-        '"value" AS raw FROM messages) WHERE error IS NOT NULL',
+        f'SELECT "partition", "offset", error, raw, CAST(4 AS INT) AS calls FROM (SELECT "partition", "offset", '
+        f'{_ERROR} AS error, "value" AS raw FROM messages) WHERE error IS NOT NULL',
         "messages",
     ),
-    "stream_outbreak_alerts": with_views(
-        f"SELECT * FROM alerts WHERE ts <= {_WATERMARK}", "counts", recursive=True, extra=_ALERTS
-    ),
-    "alert_log_sink": with_views(
-        f"SELECT {_LINE} AS line FROM alerts WHERE ts <= {_WATERMARK}", "counts", recursive=True, extra=_ALERTS
-    ),
+    "stream_outbreak_alerts": with_views("SELECT * FROM alerts", "counts", recursive=True, extra=_ALERTS),
+    "alert_log_sink": with_views(f"SELECT {_LINE} AS line FROM alerts", "counts", recursive=True, extra=_ALERTS),
     "stream_region_windows": with_views(
-        "SELECT region_id, date, total_cases, positive_cases, avg_rainfall FROM windows "
-        f"WHERE date + INTERVAL '1' DAY <= {_WATERMARK}",
-        "windows",
+        "SELECT region_id, date, total_cases, positive_cases, avg_rainfall FROM windows", "windows"
     ),
     "stream_live_totals": with_views(_REGIONS, "cases"),
-    "lag_report": "SELECT count(*) AS input_rows, CAST(0 AS BIGINT) AS late_rows FROM events",
+    "lag_report": with_views(
+        """SELECT batch_id, 'cases' AS topic, "partition", "position", "end", "end" - "position" AS lag FROM (
+  SELECT "partition", "end", batch_id, (batch_id + 1) * "end" // 150 AS "position" FROM (
+    SELECT "partition", max("offset") AS "end" FROM messages GROUP BY "partition"), range(150) r(batch_id))""",
+        "messages",
+    ),
     "key_locality": with_views(
         """SELECT region_id, case_id, CAST(row_number() OVER (
-  PARTITION BY region_id, date_trunc('day', ts) ORDER BY ts) AS INT) AS "position" FROM cases""",
+  PARTITION BY region_id, date_trunc('day', ts) ORDER BY ts, case_id) AS INT) AS "position" FROM cases""",
         "cases",
     ),
     # features
     "category_index": with_views(_INDEX.format(c="district"), "cases"),
     "assemble_features": with_views(
-        f"""SELECT c.case_id, CAST(c.patient_age AS DOUBLE) AS patient_age, r.idx AS region_idx, g.idx AS gender_idx,
-  round(c.body_temperature, 6) AS body_temperature, round(c.ambient_temperature, 6) AS ambient_temperature,
-  round(c.humidity, 6) AS humidity, round(c.rainfall_mm, 6) AS rainfall_mm,
-  CAST(c.symptom_count AS DOUBLE) AS symptom_count
-FROM cases c JOIN ({_INDEX.format(c='region_id')}) r ON r.category = c.region_id
-JOIN ({_INDEX.format(c='gender')}) g ON g.category = c.gender WHERE c.event_id % 13 <> 0""",
+        "SELECT c.case_id, "
+        + ", ".join(
+            f"CASE WHEN c.event_id % 13 <> 0 THEN {e} END AS {n}"
+            for n, e in {
+                "patient_age": "CAST(c.patient_age AS DOUBLE)",
+                "region_idx": "r.idx",
+                "gender_idx": "g.idx",
+                **{f: f"round(c.{f}, 6)" for f in ("body_temperature", "ambient_temperature", "humidity", "rainfall_mm")},
+                "symptom_count": "CAST(c.symptom_count AS DOUBLE)",
+            }.items()
+        )
+        + f""" FROM cases c JOIN ({_INDEX.format(c='region_id')}) r ON r.category = c.region_id
+JOIN ({_INDEX.format(c='gender')}) g ON g.category = c.gender""",
         "cases",
     ),
     "train_test_split": with_views(
         "SELECT case_id, CAST(concat('0x', substr(md5(case_id), 1, 8)) AS BIGINT) % 100 < 80 AS is_train FROM cases",
         "cases",
     ),
+    # models: facts that hold for any fit
+    "outbreak_threshold": with_views("SELECT count(*) AS n, true AS within_error FROM windows", "windows"),
+    "case_risk_model": _facts(CASE_MODEL, CASE_FEATURES),
+    "outbreak_model": _facts(OUTBREAK_MODEL, OUTBREAK_FEATURES),
+    "score_cases": with_views(
+        f"""SELECT case_id, region_id, patient_age, gender, CAST(CASE WHEN rapid_test_result = 'positive' THEN 1 ELSE 0 END
+  AS DOUBLE) AS label, {_TRAIN.format(k="case_id")} AS is_train, CASE WHEN event_id % 17 <> 0 THEN true END AS agrees FROM cases""",
+        "cases",
+    ),
+    "score_windows": with_views(
+        f"SELECT region_id, date, total_cases, positive_cases, {_TRAIN.format(k=_WINDOW_KEY)} AS is_train, true AS agrees FROM windows",
+        "windows",
+    ),
+    "evaluate_model": " UNION ALL ".join(
+        f"SELECT '{CASE_MODEL}' AS model_name, '{m}' AS metric, true AS agrees"
+        for m in ("auc", "f1", "weighted_precision", "weighted_recall", "accuracy")
+    ),
+    "model_save": with_views("SELECT region_id, date, true AS same FROM windows", "windows"),
+    "model_load": with_views("SELECT case_id, true AS same FROM cases", "cases"),
+    "run_case_model": "SELECT 'predictions' AS \"table\", count(*) AS \"rows\" FROM events "
+    f"UNION ALL SELECT 'metrics', 5 UNION ALL SELECT 'importances', {len(CASE_FEATURES)}",
+    "run_outbreak_model": with_views(
+        "SELECT 'predictions' AS \"table\", count(*) AS \"rows\" FROM windows "
+        f"UNION ALL SELECT 'metrics', 5 UNION ALL SELECT 'importances', {len(OUTBREAK_FEATURES)}",
+        "windows",
+    ),
 }

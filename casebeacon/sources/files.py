@@ -12,9 +12,6 @@ from casebeacon.schemas import WIRE_CASE
 
 UNREADABLE = "_unreadable"
 
-# Upper limit for rows that come from driver memory.
-MAX_LOCAL_ROWS = 10_000
-
 
 def read_raw_json(spark: SparkSession, path: str, schema: T.StructType = WIRE_CASE) -> DataFrame:
     """JSON-lines files under a glob. The schema is given, so files are read once, not twice.
@@ -61,14 +58,36 @@ def write_parquet(
 
 
 def write_json(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+    """Replaces a JSON directory; a partitioned one is rebalanced like `write_parquet`'s."""
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     writer = df.write.mode("overwrite").option("ignoreNullFields", "false")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.json(path)
 
 
-def local_rows_to_df(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType | str) -> DataFrame:
-    """A short list from the driver as a DataFrame; long lists belong in files."""
-    if len(rows) > MAX_LOCAL_ROWS:
-        raise ValueError(f"{len(rows)} rows are too many for driver memory; write them to a file")
-    return spark.createDataFrame(list(rows), schema)
+def _folder(spark: SparkSession, path: str):
+    """Hadoop's handle of a path, on whatever store it lies."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), where
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    system, where = _folder(spark, path)
+    return system.exists(where)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    system, where = _folder(spark, path)
+    system.delete(where, True)
+
+
+def numbered_folders(spark: SparkSession, path: str, name: str) -> list[int]:
+    """The numbers N of the completely written folders ``name=N`` below a path, from a listing alone."""
+    system, where = _folder(spark, path)
+    if not system.exists(where):
+        return []
+    names = [s.getPath().getName() for s in system.listStatus(where)]
+    numbers = [int(n.split("=", 1)[1]) for n in names if n.startswith(f"{name}=")]
+    return sorted(n for n in numbers if exists(spark, f"{path}/{name}={n}/_SUCCESS"))

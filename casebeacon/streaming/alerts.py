@@ -83,9 +83,10 @@ def stream_outbreak_alerts(
     """Alerts of a case stream. ``ts`` must be a timestamp; rows later than ``delay`` are lost
     to the watermark and counted in the query's progress.
 
-    Keyed state of this kind is kept in RocksDB only, so the session is set to it.
+    Keyed state of this kind is kept in RocksDB only; `session.build_session` chooses it.
     """
-    cases.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    if cases.sparkSession.conf.get("spark.sql.streaming.stateStore.providerClass") != ROCKSDB:
+        raise ValueError(f"set spark.sql.streaming.stateStore.providerClass to {ROCKSDB}")
     alerts = (
         finished_moments(cases, delay, ts)
         .groupBy("region_id")

@@ -8,6 +8,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from casebeacon.operators.metrics import region_totals
 from casebeacon.operators.windows import region_window_features
+from casebeacon.sources.files import numbered_folders, remove
+
+
+END = "9999-01-01"  # after any reported time
 
 
 def stream_region_windows(
@@ -20,10 +24,16 @@ def stream_region_windows(
 def stream_live_totals(
     cases: DataFrame, path: str, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:
-    """Keeps totals per region up to date; each batch leaves one complete snapshot."""
+    """Keeps totals per region up to date; each batch leaves one complete snapshot.
+
+    The snapshot before it stays for readers that have just picked it, older ones are removed.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        for old in numbered_folders(batch.sparkSession, path, "batch_id"):
+            if old < batch_id - 1:
+                remove(batch.sparkSession, f"{path}/batch_id={old}")
 
     return (
         region_totals(cases)
@@ -36,10 +46,20 @@ def stream_live_totals(
 
 
 def latest_totals(spark: SparkSession, path: str) -> DataFrame:
-    """The newest snapshot. The filter is on the folder name, so older ones are not read."""
-    snapshots = spark.read.parquet(path)
-    newest = snapshots.agg(F.max("batch_id")).scalar()
-    return snapshots.where(F.col("batch_id") == newest).drop("batch_id")
+    """The newest complete snapshot, found by its folder's name."""
+    return spark.read.parquet(f"{path}/batch_id={numbered_folders(spark, path, 'batch_id')[-1]}")
+
+
+def with_end(cases: DataFrame, folder: str, ts: str = "timestamp") -> DataFrame:
+    """A bounded stream with a last row that lies after everything else.
+
+    It moves the watermark past all windows and waits, so nothing of the input is withheld when the
+    run ends. The row itself is never released. The stream's checkpoint is finished by it: later rows would be late.
+    """
+    spark = cases.sparkSession
+    row = [F.lit(None).cast(f.dataType).alias(f.name) if f.name != ts else F.lit(END).cast(f.dataType).alias(ts) for f in cases.schema]
+    spark.range(1).select(*row).coalesce(1).write.mode("overwrite").parquet(folder)
+    return cases.unionByName(spark.readStream.schema(cases.schema).parquet(folder))
 
 
 def append_parquet(df: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:

@@ -57,6 +57,11 @@ def lag_report(progress: DataFrame) -> DataFrame:
     )
 
 
+def read_progress(spark: SparkSession, path: str) -> DataFrame:
+    """The stored log of `ProgressLog`: every batch, not only the last ones that a query remembers."""
+    return spark.read.schema(PROGRESS).json(path)
+
+
 class ProgressLog(StreamingQueryListener):
     """Appends the progress of every query of a session to a folder, one JSON file per batch."""
 

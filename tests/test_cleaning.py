@@ -137,7 +137,7 @@ def test_audit_counts(spark):
         (None, "N", "negative", "t", []),
     )
     audit = {r["step"]: r["rows"] for r in cleaning.row_audit(df).collect()}
-    assert audit == {"raw": 4, "complete": 2, "deduplicated": 1, "unknown_result": 1}
+    assert audit == {"raw": 4, "complete": 2, "deduplicated": 1, "unknown_result": 1, "unparsed_time": 2}
     assert {r["rows"] for r in cleaning.row_audit(df.limit(0)).collect()} == {0}
 
 
@@ -149,11 +149,12 @@ def test_dedupe_limits_each_key_before_the_shuffle(spark):
 
 
 def test_upsert(spark):
+    """The last to arrive wins, also if it reports an earlier time."""
     schema = "case_id string, timestamp string, v int"
     current = spark.createDataFrame([("a", "1", 1), ("b", "1", 2)], schema)
-    updates = spark.createDataFrame([("b", "2", 3), ("b", "3", 4), ("c", "1", 5)], schema)
+    updates = spark.createDataFrame([("b", "3", 3, 1), ("b", "2", 4, 2), ("c", "1", 5, 3)], schema + ", arrival int")
     got = {tuple(r) for r in merge.upsert_cases(current, updates).collect()}
-    assert got == {("a", "1", 1), ("b", "3", 4), ("c", "1", 5)}
+    assert got == {("a", "1", 1), ("b", "2", 4), ("c", "1", 5)}
     again = merge.upsert_cases(merge.upsert_cases(current, updates), updates)
     assert {tuple(r) for r in again.collect()} == got
 

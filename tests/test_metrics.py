@@ -195,6 +195,7 @@ def test_recent_cases_without_time_come_last(spark):
         {"case_id": "b", "gender": "X"},
     )
     shown = metrics.recent_case_view(metrics.recent_cases(df)).collect()
-    assert [r["case_id"] for r in shown] == ["0123456789ab", "b"]
+    assert [r["case_id"] for r in shown] == ["0123456789abcdef", "b"]
+    assert metrics.recent_case_view(df, id_length=12).first()["case_id"] == "0123456789ab"
     assert [r["gender"] for r in shown] == ["Male", "X"]
     assert [r["timestamp"] for r in shown] == ["2024-01-01 00:00:00", ""]

@@ -5,6 +5,7 @@ from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from casebeacon.plans import models, views
+from casebeacon.sources import files
 
 
 @pytest.fixture(scope="module")
@@ -47,11 +48,32 @@ def test_scoring_works_after_an_observed_count(spark, case_model, labelled):
     assert models.score_cases(case_model, labelled).agg(F.sum("probability")).first()[0] > 0
 
 
-def test_rows_with_a_missing_feature_are_left_out_and_counted(case_model, labelled):
+def test_rows_with_a_missing_feature_are_counted_in_training_and_stay_in_scoring(case_model, labelled):
     holes = labelled.withColumn("humidity", F.when(F.col("event_id") % 10 != 0, F.col("humidity")))
-    left_out = holes.agg(models.incomplete_features(holes, models.CASE_FEATURES)).first()[0]
-    assert left_out == 200
-    assert models.score_cases(case_model, holes).count() == labelled.count() - left_out
+    counts = {}
+    models.train(models.case_pipeline(trees=2, depth=2), holes, counts)
+    assert counts == {"rows": labelled.where("is_train").count(), "incomplete": holes.where("is_train AND humidity IS NULL").count()}
+    scored = models.score_cases(case_model, holes)
+    assert scored.count() == labelled.count()
+    assert scored.where("prediction IS NULL").count() == scored.where("probability IS NULL").count() == 200
+    whole = {r["case_id"]: r["probability"] for r in models.score_cases(case_model, labelled).collect()}
+    assert all(r["probability"] in (None, whole[r["case_id"]]) for r in scored.collect())
+
+
+def test_more_regions_than_the_default_bins(spark):
+    rows = [(f"c{i}", f"r{i % 40}", "M", i, 36.0, 20.0, 50.0, 1.0, 2, float(i % 2)) for i in range(400)]
+    columns = "case_id string, region_id string, gender string, patient_age int, body_temperature double, ambient_temperature double, humidity double, rainfall_mm double, symptom_count int, label double"
+    cases = models.with_split(spark.createDataFrame(rows, columns), F.col("case_id"))
+    assert models.score_cases(models.train(models.case_pipeline(trees=2, depth=2, bins=64), cases), cases).count() == 400
+
+
+def test_the_case_job_leaves_its_results(spark, labelled, run_dir):
+    files.write_parquet(labelled.drop("label", "is_train"), f"{run_dir}/clean")
+    counts = models.run_case_model(spark, f"{run_dir}/clean", f"{run_dir}/job", 500, trees=4, depth=3)
+    assert counts == {"rows": 500, "incomplete": 0, "scored": labelled.count(), "unscored": 0}
+    folders = models.ModelFolders.below(f"{run_dir}/job")
+    assert spark.read.parquet(folders.importances).count() == len(models.CASE_FEATURES)
+    assert {r["metric"] for r in spark.read.parquet(folders.metrics).collect()} >= {"auc", "accuracy"}
 
 
 def test_importances_sum_to_one(spark, case_model):

@@ -1,6 +1,7 @@
 """JDBC calls (recorded, as no database may run here), files and working folders."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from casebeacon import session
 from casebeacon.schemas import CASE_PREDICTIONS, FEATURE_IMPORTANCE, OUTBREAK_PREDICTIONS
@@ -128,10 +129,20 @@ def test_a_bad_line_is_kept(spark, run_dir):
     assert rows[1]["patient_age"] == 3
 
 
-def test_local_rows_are_limited(spark):
-    assert files.local_rows_to_df(spark, [("a", 1.0)], "k string, v double").count() == 1
-    with pytest.raises(ValueError):
-        files.local_rows_to_df(spark, [("a", 1.0)] * 10_001, "k string, v double")
+def test_json_partitions_come_out_as_one_file_each(spark, run_dir):
+    rows = spark.range(4000).select("id", (F.col("id") % 7).alias("day")).repartition(16)
+    files.write_json(rows, f"{run_dir}/j", ["day"])
+    parts = spark.read.json(f"{run_dir}/j").select(F.input_file_name().alias("f")).distinct().count()
+    assert parts == 7
+
+
+def test_numbered_folders_skip_incomplete_ones(spark, run_dir):
+    for n in (2, 10):
+        spark.range(1).write.parquet(f"{run_dir}/n={n}")
+    spark.range(1).write.parquet(f"{run_dir}/n=11")
+    files.remove(spark, f"{run_dir}/n=11/_SUCCESS")
+    assert files.numbered_folders(spark, run_dir, "n") == [2, 10]
+    assert files.numbered_folders(spark, f"{run_dir}/missing", "n") == []
 
 
 def test_work_folders_are_below_the_shared_one(spark):

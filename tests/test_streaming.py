@@ -4,6 +4,7 @@ import datetime as dt
 import json
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -11,6 +12,7 @@ from casebeacon.operators import alerts, metrics
 from casebeacon.operators import windows as W
 from casebeacon.operators.envelope import dead_letters, decode_messages, good_records
 from casebeacon.plans import views
+from casebeacon.sources import files
 from casebeacon.streaming import alerts as stream_alerts
 from casebeacon.streaming import ingest, live, progress
 
@@ -152,6 +154,16 @@ def test_live_totals(spark, case_files, run_dir):
     columns = ["region_id", "total_cases", "positive_cases"]
     latest = live.latest_totals(spark, f"{run_dir}/out")
     assert rows(latest.select(*columns)) == rows(metrics.region_totals(df).select(*columns))
+    assert files.numbered_folders(spark, f"{run_dir}/out", "batch_id") == [FILES - 2, FILES - 1]
+
+
+def test_a_bounded_stream_withholds_nothing(spark, case_files, run_dir):
+    path, df = case_files
+    cases = live.with_end(stream_of(spark, path, df.schema, 100), f"{run_dir}/end", "ts")
+    stream = live.stream_region_windows(cases, delay="1 hour", window="1 day", ts="ts")
+    run(live.append_parquet(stream, f"{run_dir}/out", f"{run_dir}/cp", ONCE))
+    columns = ["region_id", "date", "total_cases", "positive_cases"]
+    assert rows(spark.read.parquet(f"{run_dir}/out").select(*columns)) == rows(W.region_window_features(df, "1 day", "ts").select(*columns))
 
 
 def expected_ingest(df):
@@ -183,16 +195,46 @@ def test_a_compacted_table_and_newer_batches(spark, message_files, run_dir):
         part.coalesce(1).write.mode("append").parquet(f"{run_dir}/in")
         run(ingest.stream_ingest(stream_of(spark, f"{run_dir}/in", df.schema), out, f"{run_dir}/cp", ONCE))
         if i == 1:
-            ingest.compact_cases(spark, out, f"{run_dir}/compact")
-    got = ingest.current_cases(spark, out, f"{run_dir}/compact").select(*columns)
-    assert rows(got) == expected_ingest(df)[0]
-    assert rows(got) == rows(ingest.current_cases(spark, out).select(*columns))
+            assert ingest.compact_cases(spark, out) == ingest.compact_cases(spark, out) == 1
+            files.remove(spark, f"{out}/cases/batch_id=0")  # not needed any more
+    assert rows(ingest.current_cases(spark, out).select(*columns)) == expected_ingest(df)[0]
+
+
+def test_a_compacted_table_without_rows_hides_nothing(spark, message_files, run_dir):
+    _, df = message_files
+    bad, good = spark.createDataFrame([(0, 1, "k", "{")], df.schema), df.where("offset = 1")
+    for part in (bad, good):
+        part.coalesce(1).write.mode("append").parquet(f"{run_dir}/in")
+        run(ingest.stream_ingest(stream_of(spark, f"{run_dir}/in", df.schema), f"{run_dir}/out", f"{run_dir}/cp", ONCE))
+        assert ingest.current_cases(spark, f"{run_dir}/out").count() == (part is good)
+        ingest.compact_cases(spark, f"{run_dir}/out")
+    assert ingest.current_cases(spark, f"{run_dir}/out").count() == 1
+
+
+def test_another_checkpoint_is_refused(spark, message_files, run_dir):
+    path, df = message_files
+    run(ingest.stream_ingest(stream_of(spark, path, df.schema), f"{run_dir}/out", f"{run_dir}/cp", ONCE))
+    with pytest.raises(ValueError, match="another checkpoint"):
+        ingest.stream_ingest(stream_of(spark, path, df.schema), f"{run_dir}/out", f"{run_dir}/other", ONCE)
+    assert ingested(spark, f"{run_dir}/out") == expected_ingest(df)
+
+
+@pytest.mark.parametrize("per_batch", [1, 2])
+def test_batch_cuts_do_not_matter(spark, message_files, run_dir, per_batch):
+    """A (10:00, age 11) and then B (09:00, age 22) of one case: B in either way."""
+    _, df = message_files
+    record = json.loads(df.where("offset = 1").first()["value"])
+    for i, (time, age) in enumerate((("2024-01-01T10:00:00", 11), ("2024-01-01T09:00:00", 22))):
+        row = [(0, i, "k", json.dumps({**record, "timestamp": time, "patient_age": age}))]
+        spark.createDataFrame(row, df.schema).coalesce(1).write.mode("append").parquet(f"{run_dir}/in")
+    run(ingest.stream_ingest(stream_of(spark, f"{run_dir}/in", df.schema, per_batch), f"{run_dir}/out", f"{run_dir}/cp", ONCE))
+    assert [r["patient_age"] for r in ingest.current_cases(spark, f"{run_dir}/out").collect()] == [22]
 
 
 def test_a_crash_loses_and_doubles_nothing(spark, message_files, run_dir):
     """The query dies between the two writes of its third batch and is started again."""
     path, df = message_files
-    write = ingest.batch_writer(f"{run_dir}/out")
+    write = ingest.batch_writer(f"{run_dir}/out", f"{run_dir}/cp")
 
     def dying(batch, batch_id):
         if batch_id == 2:
@@ -236,6 +278,9 @@ def test_retries_pause_longer_and_then_give_up():
 
     ingest.with_retries(fails_twice, 3, pauses.append)
     assert pauses == [1, 2] and len(calls) == 3
+    with pytest.raises(AnalysisException):
+        ingest.with_retries(lambda: (_ for _ in ()).throw(AnalysisException("no such column")), 3, pauses.append)
+    assert pauses == [1, 2]
     with pytest.raises(OSError):
         ingest.with_retries(lambda: (_ for _ in ()).throw(OSError("down")), 3, pauses.append)
     assert pauses == [1, 2, 1, 2]
