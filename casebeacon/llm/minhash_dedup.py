@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from casebeacon.llm import text as tx
-from casebeacon.llm.tables import components, discard, stored
+from casebeacon.llm.tables import components, discard, small_side, stored
 
 K = 64
 HUB_VALUES = 4
@@ -103,7 +103,7 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
 def _full_sets(needed: DataFrame, docs: DataFrame) -> DataFrame:
     """(node, shingles) of the asked nodes (node, doc_id), read again from the texts."""
     needed = stored(needed, "near-needed")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(needed, "doc_id").select("node", "text")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(small_side(needed), "doc_id").select("node", "text")
     # Two rows may share an id with different texts: the right one is recognised by its set.
     out = stored(texts.mapInArrow(_matching_sets, "node long, shingles binary").dropDuplicates(["node"]), "near-sets")
     discard(needed)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from casebeacon.session import work_dir
 
 
+BROADCAST_ROWS = 200_000
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -32,6 +33,14 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return out
 
 
+def small_side(table: DataFrame) -> DataFrame:
+    """A stored table of two numbers a row, marked for broadcasting if it is counted to have few rows.
+
+    Beyond ``BROADCAST_ROWS`` (a few MB) the join is left to Spark, which then shuffles both sides.
+    """
+    return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
+
+
 def discard(*tables: DataFrame) -> None:
     """Removes the files of stored tables that nothing reads any more."""
     for table in tables:
