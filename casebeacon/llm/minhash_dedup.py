@@ -25,7 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from casebeacon.llm import text as tx
@@ -37,6 +37,7 @@ DEPTH = 32
 COLD = 32
 HOT_SHARE = 0.5
 BANDS, ROWS = 32, 4
+LARGE_K = 256  # sketch of the nodes that share long lists; there are many dissimilar pairs among them
 THRESHOLD = (75, 100)
 
 
@@ -70,21 +71,25 @@ def _similar_size(a: str, b: str) -> str:
     return f"{THRESHOLD[1]} * least({a}, {b}) >= {THRESHOLD[0]} * greatest({a}, {b})"
 
 
-def _estimated(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Pairs (a, b) whose union sketch doesn't rule the threshold out; five standard deviations are allowed."""
+def _estimated(pairs: DataFrame, nodes: DataFrame, k: int = K) -> DataFrame:
+    """Pairs (a, b) whose union sketch doesn't rule the threshold out.
+
+    Five standard deviations are allowed; none where the sketches hold the whole union.
+    """
     left = nodes.select(F.col("node").alias("a"), F.col("sketch").alias("sa"))
     right = nodes.select(F.col("node").alias("b"), F.col("sketch").alias("sb"))
     rows = pairs.join(left, "a").join(right, "b")
-    union = rows.withColumn("u", F.slice(F.array_sort(F.array_union("sa", "sb")), 1, K))
+    union = rows.withColumn("u", F.slice(F.array_sort(F.array_union("sa", "sb")), 1, k))
     both = F.size(F.array_intersect(F.array_intersect("sa", "sb"), "u"))
     p, size = THRESHOLD[0] / THRESHOLD[1], F.size("u")
-    return union.filter(both >= p * size - 5 * F.sqrt(p * (1 - p) * size)).select("a", "b")
+    allowed = F.when(size < k, 0.0).otherwise(5 * F.sqrt(p * (1 - p) * size))
+    return union.filter(both >= p * size - allowed).select("a", "b")
 
 
 def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
     """Pairs (a, b) whose full sets have the required Jaccard similarity."""
     pairs = stored(pairs, "near-pairs")
-    texts = _full_sets(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "doc_id"), "node"), docs)
+    texts = _full_sets(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct().join(nodes.select("node", "doc_id"), "node"), docs)
     left = texts.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
     right = texts.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
 
@@ -135,8 +140,8 @@ def _band_keys(sketch: pd.Series) -> pd.Series:
     return pd.Series(out)
 
 
-def _bands(entries: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
-    """(v, node, n, most): bucket keys of the nodes that can be linked through long lists only.
+def _bands(entries: DataFrame, nodes: DataFrame, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(v, node, n, most, before): bucket keys of the nodes that can be linked through long lists only; and their larger sketches.
 
     Two such nodes share nothing but values of long lists, so these make up most of their sketches.
     most is the number of a node's shingles, of the full set, that another such node has too:
@@ -150,21 +155,55 @@ def _bands(entries: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
     parts = stored(sets.select("node", parts.alias("x")), "near-hot-values")
     again = stored(parts.groupBy("x").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("x"), "near-hot-shared")
     most = parts.join(again, "x").groupBy("node").agg(F.count(F.lit(1)).alias("most"))
-    keys = F.explode(F.pandas_udf(_band_keys, "array<long>")("sketch"))
-    out = hot.join(most, "node").filter(f"{THRESHOLD[1]} * most >= {THRESHOLD[0]} * n").select(keys.alias("v"), "node", "n", "most")
+    keys = F.pandas_udf(_band_keys, "array<long>")("sketch")
+    out = hot.join(most, "node").filter(f"{THRESHOLD[1]} * most >= {THRESHOLD[0]} * n").select("node", "n", "most", keys.alias("keys"))
+    out = out.select("node", "n", "most", F.posexplode("keys").alias("band", "v"), "keys")
+    # Earlier keys as whole numbers of 32 bits: enough to see whether two nodes have met before.
+    before = F.transform(F.slice("keys", F.lit(1), F.col("band")), lambda k: F.hash(k))
+    out = out.select("v", "node", "n", "most", before.alias("before"))
     out = stored(out, "near-bands")
+    large = F.pandas_udf(_large_sketch, "array<long>")
+    sketches = stored(sets.join(out.select("node").distinct(), "node").select("node", large("shingles").alias("sketch")), "near-large")
     discard(hot, sets, parts, again)
+    return out, sketches
+
+
+def _large_sketch(shingles: pd.Series) -> pd.Series:
+    return shingles.map(lambda b: tx.ordered(np.frombuffer(b, np.uint64)[:LARGE_K]))
+
+
+def _different(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows (v, node, ...) of keys v that nodes of different components share, with ``label``."""
+    rows = stored(rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), "near-meeting")
+    split = rows.groupBy("v").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("v")
+    split = stored(split, "near-split")
+    out = stored(rows.join(split, "v"), "near-open")
+    discard(rows, split)
     return out
 
 
-def _neighbours(bands: DataFrame) -> DataFrame:
-    """Pairs (a, b) of a bucket: each node with the first one and with the next one in order of size.
+def _crossing(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """Pairs (a, b) of different components that share a key v and have sizes and shared parts that allow a link."""
+    rows = _different(rows, labels)
+    left = rows.select("v", F.col("node").alias("a"), F.col("n").alias("na"), F.col("label").alias("la"), F.col("most").alias("ma"), F.col("before").alias("ea"))
+    right = rows.select("v", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("label").alias("lb"), F.col("most").alias("mb"), F.col("before").alias("eb"))
+    # A pair counts where it meets first; two nodes that share an earlier bucket have met there.
+    enough = f"{sum(THRESHOLD)} * least(ma, mb) >= {THRESHOLD[0]} * (na + nb)"
+    return left.join(right, "v").filter(f"la < lb and {_similar_size('na', 'nb')} and {enough} and not arrays_overlap(ea, eb)").select("a", "b").distinct()
+
+
+def _neighbours(bands: DataFrame, by: Column) -> DataFrame:
+    """Pairs (a, b) of a bucket: each node with the first one and with the one before it in order of ``by``.
 
-    Buckets are sorted as streams; a salt by size splits a bucket of very many nodes into ranges.
+    x and y are their labels where ``bands`` has any. Buckets are sorted as streams; a salt by size
+    splits a bucket of very many nodes into ranges.
     """
-    order = Window.partitionBy("v", (F.log2("n") * 8).cast("int")).orderBy("n", "node")
-    rows = bands.select("node", F.lag("node").over(order).alias("before"), F.first("node").over(order).alias("first"))
-    return rows.select(F.explode(F.array("before", "first")).alias("a"), F.col("node").alias("b")).filter("a <> b")
+    label = F.col("label") if "label" in bands.columns else F.lit(0)
+    order = Window.partitionBy("v", (F.log2("n") * 8).cast("int")).orderBy(by, "node")
+    one = F.struct(F.col("node").alias("a"), label.alias("x"))
+    rows = bands.select("node", label.alias("y"), F.lag(one).over(order).alias("before"), F.first(one).over(order).alias("first"))
+    sides = [rows.select(f"{side}.a", F.col("node").alias("b"), f"{side}.x", "y") for side in ("before", "first")]
+    return sides[0].union(sides[1]).filter("a <> b")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -189,25 +228,28 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     entries = stored(values.join(lists, "v").select("v", "node", "n", "pos", "length", "hub"), "near-entries")
     discard(lists)
     hubs = entries.filter(f"pos < {HUB_VALUES} and node <> hub.node and {_similar_size('n', 'hub.n')}").select(F.col("hub.node").alias("a"), F.col("node").alias("b"))
-    bands = _bands(entries, nodes, docs)
-    pairs = hubs.union(_neighbours(bands)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    links = stored(_verified(_estimated(pairs, nodes), nodes, docs), "near-links")
+    bands, large = _bands(entries, nodes, docs)
+    either = lambda df: df.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    likely = _estimated(either(hubs), nodes).union(_estimated(either(_neighbours(bands, F.col("n"))), large, LARGE_K)).distinct()
+    links = stored(_verified(likely, nodes, docs), "near-links")
     labels = components(links)
 
+    # Nodes of long lists that are apart so far try other members of their buckets, in random order.
+    open_bands = _different(bands, labels)
+    near = _neighbours(open_bands, F.xxhash64("node", "v")).filter("x <> y")
+    more = stored(_verified(_estimated(either(near), large, LARGE_K), nodes, docs), "near-more")
+    discard(open_bands)
+    if not more.isEmpty():
+        links = stored(links.union(more), "near-links")
+        labels = components(links)
+
     # What is left: links between different components.
-    cold = entries.filter(f"length <= {COLD} and pos < {DEPTH}").select("v", "node", "n", F.col("n").alias("most"))
-    meeting = cold.union(bands).join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    meeting = stored(meeting, "near-meeting")
-    split = meeting.groupBy("v").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("v")
-    split = stored(split, "near-split")
-    crossing = stored(meeting.join(split, "v"), "near-open")
-    discard(entries, bands, meeting, split)
-    left = crossing.select("v", F.col("node").alias("a"), F.col("n").alias("na"), F.col("label").alias("la"), F.col("most").alias("ma"))
-    right = crossing.select("v", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("label").alias("lb"), F.col("most").alias("mb"))
-    enough = f"{sum(THRESHOLD)} * least(ma, mb) >= {THRESHOLD[0]} * (na + nb)"
-    pairs = left.join(right, "v").filter(f"la < lb and {_similar_size('na', 'nb')} and {enough}").select("a", "b").distinct()
-    late = stored(_verified(_estimated(pairs, nodes), nodes, docs), "near-late")
-    discard(crossing)
+    none = F.array().cast("array<int>").alias("before")
+    cold = entries.filter(f"length <= {COLD} and pos < {DEPTH}").select("v", "node", "n", F.col("n").alias("most"), none)
+    crossing = [(_crossing(cold, labels), nodes, K), (_crossing(bands, labels), large, LARGE_K)]
+    likely = [_estimated(pairs, sketches, k) for pairs, sketches, k in crossing]
+    late = stored(_verified(likely[0].union(likely[1]).distinct(), nodes, docs), "near-late")
+    discard(entries, bands, large)
     if not late.isEmpty():
         labels = components(links.union(late))
 
