@@ -9,7 +9,11 @@ from casebeacon.session import work_dir
 
 
 BROADCAST_ROWS = 200_000
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+# While a table is written: shuffle files go when the write has ended, and batches for Python stay small.
+WHILE_WRITING = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+}
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
@@ -20,14 +24,15 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = work_dir(spark, label)
-    before = spark.conf.get(CLEANUP, None)
-    if before is not None:
-        spark.conf.set(CLEANUP, "true")
+    before = {name: spark.conf.get(name, None) for name in WHILE_WRITING}
+    before = {name: value for name, value in before.items() if value is not None}
     try:
+        for name in before:
+            spark.conf.set(name, WHILE_WRITING[name])
         df.write.parquet(path)
     finally:
-        if before is not None:
-            spark.conf.set(CLEANUP, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
     out = spark.read.schema(df.schema).parquet(path)
     out.stored_at = path
     return out

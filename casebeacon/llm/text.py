@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-BLOCK = 2_000_000
+BLOCK = 1_000_000
 WORD = r"[^\x20\x09-\x0D]+"
 SHINGLE = 5
 
