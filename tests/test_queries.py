@@ -4,8 +4,9 @@ import pytest
 from comparison import difference, duck
 
 import __spark_entry__ as contract
+from casebeacon.plans import catalog, oracle
 
-QUERIES, ORACLE = contract.queries(), contract.oracle_sql()
+QUERIES, ORACLE = catalog.QUERIES, oracle.ORACLE
 
 
 @pytest.fixture(scope="module")
@@ -24,7 +25,8 @@ def test_runs(spark, sf_dir, name):
 
 
 def test_every_oracle_has_a_query():
-    assert set(ORACLE) <= set(QUERIES)
+    assert set(ORACLE) <= set(QUERIES) <= set(contract.queries())
+    assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
 def test_flagship(spark):
