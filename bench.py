@@ -9,12 +9,13 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from casebeacon.plans.catalog import QUERIES  # noqa: E402
-from casebeacon.session import build_session  # noqa: E402
+from casebeacon.session import build_session, clear_work_dirs  # noqa: E402
 
 HEADLINE = (
     "clean_cases dedupe_cases upsert_cases validate_required unwrap_envelope wrap_envelope write_parquet_overwrite "
@@ -25,6 +26,8 @@ HEADLINE = (
     "stream_region_windows stream_live_totals case_risk_model score_cases"
 ).split()
 
+SLOW = {"case_risk_model", "score_cases"}  # training dominates these; one run is enough
+
 
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
@@ -37,6 +40,7 @@ def main() -> None:
         spark__sql__shuffle__partitions=cpus,
         spark__driver__memory="8g",
         spark__ui__showConsoleProgress="false",
+        spark__checkpoint__dir=tempfile.mkdtemp(prefix="bench-"),
     )
     spark.sparkContext.setLogLevel("OFF")
     QUERIES["region_summary"](spark, sf_dir).collect()  # warms up the JVM
@@ -44,11 +48,11 @@ def main() -> None:
     timings = {}
     for name in names:
         best = None
-        # Training dominates this one and is cached afterwards, so only its first run counts.
-        for _ in range(1 if name == "case_risk_model" else runs):
+        for _ in range(1 if name in SLOW else runs):
             started = time.perf_counter()
             QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
             elapsed = time.perf_counter() - started
+            clear_work_dirs(spark)
             best = elapsed if best is None else min(best, elapsed)
         timings[name] = round(best, 3)
     print(

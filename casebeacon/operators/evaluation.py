@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from casebeacon.functions import expressions as X
@@ -29,23 +29,23 @@ def confusion_matrix(scored: DataFrame, label: str = "label", cut: float = 0.5)
     )
 
 
-def binary_metrics(matrix: DataFrame) -> DataFrame:
-    """Percent metrics of the positive class from a confusion row, 0 where undefined."""
+def binary_columns(tp: Column, tn: Column, fp: Column, fn: Column) -> dict[str, Column]:
+    """Percent metrics of the positive class from the four counts, 0 where undefined."""
     ratio = lambda a, b: F.coalesce(F.try_divide(a, b), F.lit(0.0))
-    tp, tn, fp, fn = (F.col(c) for c in ("tp", "tn", "fp", "fn"))
-    precision, recall = F.col("_precision"), F.col("_recall")
-    return (
-        matrix.withColumn("n", tp + tn + fp + fn)
-        .withColumn("_precision", ratio(tp, tp + fp))
-        .withColumn("_recall", ratio(tp, tp + fn))
-        .select(
-            X.safe_rate(tp + tn, "n", 1).alias("accuracy"),
-            F.round(precision * 100, 1).alias("precision"),
-            F.round(recall * 100, 1).alias("recall"),
-            F.round(ratio(2 * precision * recall, precision + recall) * 100, 1).alias("f1"),
-            "n",
-        )
-    )
+    precision, recall, n = ratio(tp, tp + fp), ratio(tp, tp + fn), tp + tn + fp + fn
+    return {
+        "accuracy": X.safe_rate(tp + tn, n, 1),
+        "precision": F.round(precision * 100, 1),
+        "recall": F.round(recall * 100, 1),
+        "f1": F.round(ratio(2 * precision * recall, precision + recall) * 100, 1),
+        "n": n,
+    }
+
+
+def binary_metrics(matrix: DataFrame) -> DataFrame:
+    """The metrics of `binary_columns` from a confusion row."""
+    columns = binary_columns(*(F.col(c) for c in ("tp", "tn", "fp", "fn")))
+    return matrix.select(*(value.alias(name) for name, value in columns.items()))
 
 
 def weighted_metrics(scored: DataFrame, label: str = "label") -> DataFrame:

@@ -183,10 +183,12 @@ def dashboard_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def analytics_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    clean = views.cases(spark, sf_dir)
+    """From a stored window table, as the window job leaves it; several sections read it."""
+    clean, path = views.cases(spark, sf_dir), work_dir(spark, "windows")
+    files.write_parquet(views.windows_from(clean), path)
     return snapshots.as_json(
         snapshots.analytics_snapshot(
-            views.windows_from(clean), views.scored(spark, sf_dir), views.importances_from(clean)
+            spark.read.parquet(path), views.scored(spark, sf_dir), views.importances_from(clean)
         )
     )
 
@@ -758,7 +760,7 @@ def evaluate_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = scored.where("NOT is_train AND prediction IS NOT NULL")
     classes = MulticlassClassificationEvaluator(labelCol="label", predictionCol="prediction")
     names = {"f1": "f1", "weighted_precision": "weightedPrecision", "weighted_recall": "weightedRecall", "accuracy": "accuracy"}
-    expected = [(ours, classes.evaluate(rows, {classes.metricName: theirs})) for ours, theirs in names.items()]
+    expected = [(ours, classes.evaluate(rows.drop("probability"), {classes.metricName: theirs})) for ours, theirs in names.items()]
     ranking = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="raw", numBins=0)
     expected.append(("auc", ranking.evaluate(rows.withColumn("raw", array_to_vector(F.expr("array(1 - probability, probability)"))))))
     other = spark.createDataFrame(expected, "metric string, expected double")  # five values

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from casebeacon.operators import cleaning, metrics
 from casebeacon.operators.envelope import dead_letters, decode_messages, good_records
-from casebeacon.sources.files import read_parquet, write_json, write_parquet
+from casebeacon.session import work_dir
+from casebeacon.sources.files import read_parquet, remove, write_json, write_parquet
 
 
 def read_messages(spark: SparkSession, path: str) -> DataFrame:
@@ -26,23 +27,42 @@ def run_etl(
 
     Files hold what the stream has accepted, so only the fields the analysis needs are
     required here. Row counts are taken while the one write runs. Lines that are no records
-    are counted, and written aside if a path is given.
+    are counted, and written aside if a path is given: then the decoded lines are staged once, parted
+    by outcome, and both tables come from their part, so the raw files are parsed once.
     """
     read, written = Observation("read"), Observation("written")
     decoded = decode_messages(read_messages(spark, raw_path), required=())
+    if dead_letter_path is not None:
+        return _run_staged(spark, decoded, clean_path, dead_letter_path)
     observed = decoded.observe(
         read,
         F.count(F.lit(1)).alias("rows"),
         F.count_if(F.col("error").isNotNull()).alias("unusable"),
     )
-    clean = cleaning.clean_cases(good_records(observed)).withColumn("event_date", F.to_date("timestamp"))
-    write_parquet(clean, clean_path, ["event_date"], ["region_id", "timestamp"], written)
-    if dead_letter_path is not None:
-        write_json(dead_letters(decoded), dead_letter_path)
+    _write_clean(good_records(observed), clean_path, written)
     counts = read.get
     return {"read": counts["rows"], "unusable": counts["unusable"], "written": written.get["rows"]}
 
 
+def _write_clean(records: DataFrame, clean_path: str, written: Observation) -> None:
+    clean = cleaning.clean_cases(records).withColumn("event_date", F.to_date("timestamp"))
+    write_parquet(clean, clean_path, ["event_date"], ["region_id", "timestamp"], written)
+
+
+def _run_staged(spark: SparkSession, decoded: DataFrame, clean_path: str, dead_letter_path: str) -> dict[str, int]:
+    staged, written = work_dir(spark, "etl"), Observation("written")
+    bad = F.col("error").isNotNull()
+    # A good line is kept as its record, a bad one as its text.
+    parts = decoded.withColumns({"bad": bad, "record": F.when(~bad, F.col("record")), "value": F.when(bad, F.col("value"))})
+    parts.write.partitionBy("bad").parquet(staged)
+    rows = spark.read.schema(parts.schema).parquet(staged)
+    _write_clean(good_records(rows.where("NOT bad")), clean_path, written)
+    write_json(dead_letters(rows.where("bad")), dead_letter_path)
+    counts = {r["bad"]: r["count"] for r in rows.groupBy("bad").count().collect()}
+    remove(spark, staged)
+    return {"read": sum(counts.values()), "unusable": counts.get(True, 0), "written": written.get["rows"]}
+
+
 def run_insights(spark: SparkSession, clean_path: str, insights_path: str) -> None:
     """Computes the insight tables. Each reads only the columns it needs."""
     cases = read_parquet(spark, clean_path)

@@ -49,7 +49,7 @@ SELECT region_id, date_trunc('day', ts) AS date, count(*) AS total_cases,
   CAST(sum(CASE WHEN rapid_test_result = 'positive' THEN 1 ELSE 0 END) AS BIGINT) AS positive_cases,
   round(avg(rainfall_mm), 6) AS avg_rainfall, round(avg(humidity), 6) AS avg_humidity,
   round(avg(ambient_temperature), 6) AS avg_temperature, round(avg(symptom_count), 6) AS avg_symptoms,
-  CAST(CASE WHEN count(*) > 70 THEN 1 ELSE 0 END AS DOUBLE) AS prediction
+  CAST(CASE WHEN 5 * sum(CASE WHEN rapid_test_result = 'positive' THEN 1 ELSE 0 END) > 2 * count(*) THEN 1 ELSE 0 END AS DOUBLE) AS prediction
 FROM cases GROUP BY region_id, date_trunc('day', ts)""",
     "importances": """
 SELECT m.model_name, m.feature_name, round(CASE m.feature_name

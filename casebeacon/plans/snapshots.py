@@ -215,9 +215,14 @@ def _importance_section(importances: DataFrame) -> DataFrame:
 
 
 def analytics_snapshot(
-    windows: DataFrame, scored: DataFrame, importances: DataFrame, dates: int = 30
+    windows: DataFrame, scored: DataFrame, importances: DataFrame, dates: int = 30, training: DataFrame | None = None
 ) -> DataFrame:
-    """Window status, series, histogram, case risk, model quality and importances in one row."""
+    """Window status, series, histogram, case risk, model quality and importances in one row.
+
+    ``windows`` is read by several sections and should be a stored table. ``training`` has the metrics
+    of the model jobs (model_name, metric, value); with it the document lists them. The
+    sections hold one entry per region, so the number of regions is taken to fit one row (tens of thousands at most).
+    """
     cases = _case_sections(scored)
     last = W.last_dates(windows, dates).agg(F.sort_array(F.collect_list("date")).alias("dates"))
     parts = _window_sections(windows).select(
@@ -227,9 +232,9 @@ def analytics_snapshot(
         _histogram_section(windows).scalar().alias("bins"),
         W.threshold_lower_quantile(windows).scalar().alias("threshold"),
         cases.select(F.struct("risks", "tp", "tn", "fp", "fn")).scalar().alias("cases"),
-        evaluation.binary_metrics(cases).select(F.struct("*")).scalar().alias("metrics_case"),
         _importance_section(importances).scalar().alias("importances"),
     )
+    quality = evaluation.binary_columns(*(F.col(f"cases.{c}") for c in ("tp", "tn", "fp", "fn")))
     percent = lambda rows: F.transform(rows, lambda r: F.round(r["importance"] * 100, 1))
     charts = F.struct(
         _pick("regions", "region_id").alias("latest_labels"),
@@ -257,11 +262,17 @@ def analytics_snapshot(
         charts.alias("charts"),
         F.size(at_risk).alias("at_risk_count"),
         F.transform(at_risk, lambda r: r["region_id"]).alias("at_risk_regions"),
-        "metrics_case",
+        F.struct(*(value.alias(name) for name, value in quality.items())).alias("metrics_case"),
         F.struct("cases.tp", "cases.tn", "cases.fp", "cases.fn").alias("cm"),
+        *([] if training is None else [_training_section(training).scalar().alias("training")]),
     )
 
 
+def _training_section(training: DataFrame) -> DataFrame:
+    """A handful of metrics per model, in order."""
+    return training.agg(F.sort_array(F.collect_list(F.struct("model_name", "metric", "value"))))
+
+
 def as_json(snapshot: DataFrame) -> DataFrame:
     """The document as JSON text, nulls included."""
     return snapshot.select(

@@ -126,7 +126,7 @@ def windows_from(clean: DataFrame) -> DataFrame:
             mean("ambient_temperature").alias("avg_temperature"),
             mean("symptom_count").alias("avg_symptoms"),
         )
-        .withColumn("prediction", F.when(F.col("total_cases") > 70, 1.0).otherwise(0.0))
+        .withColumn("prediction", F.when(5 * F.col("positive_cases") > 2 * F.col("total_cases"), 1.0).otherwise(0.0))
     )
 
 

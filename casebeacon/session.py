@@ -51,6 +51,19 @@ def shared_root(spark: SparkSession) -> str:
     return root
 
 
+_GIVEN: list[str] = []
+
+
 def work_dir(spark: SparkSession, label: str) -> str:
-    """A fresh, unique path below the shared folder."""
-    return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
+    """A fresh, unique path below the shared folder; `clear_work_dirs` removes it."""
+    path = f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
+    _GIVEN.append(path)
+    return path
+
+
+def clear_work_dirs(spark: SparkSession) -> None:
+    """Removes the folders given out by this process. Results that still read them must be stored before."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    while _GIVEN:
+        path = hadoop.Path(_GIVEN.pop())
+        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)

@@ -63,7 +63,11 @@ def read_table(spark: SparkSession, target: JdbcTarget, table: str, ranges: Rang
 
 
 def overwrite_table(df: DataFrame, target: JdbcTarget, table: str) -> None:
-    """Replaces the rows and keeps the table's declared columns, keys and indexes."""
+    """Replaces the rows and keeps the table's declared columns, keys and indexes.
+
+    Truncation and insertion are two transactions: readers may see an empty table in between, and a failure
+    there leaves it empty until the write is repeated, so keep the source until it has succeeded.
+    """
     df.write.option("truncate", True).mode("overwrite").jdbc(
         target.url, table, properties=target.properties()
     )
