@@ -3,8 +3,8 @@
 The index holds the test items, cut into parts of at most ``PART`` words: postings with impacts
 that are divided by the part's own threshold (``SHARE`` of the score that the part gives itself), so
 a score of 1 is the threshold of every part. Parts are grouped into blocks, and each term keeps its
-largest impact per block. A passage's terms are sorted by their largest impact; those that cannot
-reach 1 together open no block (the pivot of WAND), the others open their blocks, a block stays
+largest impact per block. In a large index a passage's terms are sorted by their largest impact; those that cannot
+reach 1 together open no block (the pivot of WAND) and the others open theirs; in a small one all blocks are open. A block stays
 if the block maxima of all terms reach 1, and only its postings are scored. All passages of a
 block of text go through these steps together as arrays. Parts found are verified on the words: most
 shingles of the question and most words of the answer have to occur around the passage.
@@ -26,8 +26,9 @@ from casebeacon.llm import text as tx
 K1, B = 1.2, 0.75
 SHARE = 0.5
 PART = 256
-BLOCK_PARTS = 16
+BLOCK_PARTS = 4
 SHARD_BYTES = 32_000_000  # test text per broadcast index; more items make more indexes
+DENSE = 4_000_000  # passages x blocks that are summed without looking for a pivot first
 QUESTION_OVERLAP, ANSWER_OVERLAP = 0.75, 0.5
 
 
@@ -37,6 +38,18 @@ def _expand(begin: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return owner, np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count) + np.repeat(begin, count)
 
 
+def _distinct(x: np.ndarray) -> np.ndarray:
+    """Sorted different values; sorting beats hashing for the sizes here."""
+    x = np.sort(x)
+    return x[np.concatenate([[True], x[1:] != x[:-1]])] if len(x) else x
+
+
+def _among(x: np.ndarray, ascending: np.ndarray) -> np.ndarray:
+    if not len(ascending):
+        return np.zeros(len(x), bool)
+    return ascending[np.minimum(np.searchsorted(ascending, x), len(ascending) - 1)] == x
+
+
 @dataclass
 class Item:
     item_id: int
@@ -70,6 +83,9 @@ class Index:
         lengths = np.array([len(p) for p in parts], float)
         flat = np.concatenate([np.zeros(0, np.uint64), *parts])
         self.vocabulary, term = np.unique(flat, return_inverse=True)
+        self.slot_mask = np.uint64((1 << max(16, int(16 * len(self.vocabulary)).bit_length())) - 1)
+        self.slots = np.zeros(int(self.slot_mask) + 1, bool)
+        self.slots[self.vocabulary & self.slot_mask] = True
         part = np.repeat(np.arange(len(parts)), lengths.astype(int))
         keys, tf = np.unique(term * max(1, len(parts)) + part, return_counts=True)
         term, part = keys // max(1, len(parts)), keys % max(1, len(parts))
@@ -88,6 +104,13 @@ class Index:
         self.block_begin = np.searchsorted(keys // self.n_blocks, np.arange(len(self.vocabulary) + 1))
         self.term_max = np.maximum.reduceat(self.impact, self.begin[:-1]) if len(self.vocabulary) else np.zeros(0)
 
+    def _terms(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Positions of the words that the index knows, and their terms; a table of slots rules most others out."""
+        maybe = np.flatnonzero(self.slots[words & self.slot_mask])
+        at = np.minimum(np.searchsorted(self.vocabulary, words[maybe]), len(self.vocabulary) - 1)
+        hit = self.vocabulary[at] == words[maybe]
+        return maybe[hit], at[hit]
+
     def search(self, passage: np.ndarray, term: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(passage, part, score / threshold) of all pairs at or above the threshold.
 
@@ -97,27 +120,38 @@ class Index:
         bound = np.bincount(passage, self.term_max[term])
         keep = bound[passage] >= slack
         passage, term = passage[keep], term[keep]
-        order = np.lexsort((self.term_max[term], passage))
-        passage, term = passage[order], term[order]
-        running = np.cumsum(self.term_max[term])
-        first = np.flatnonzero(np.concatenate([[True], passage[1:] != passage[:-1]])) if len(passage) else np.zeros(0, np.int64)
-        before = np.repeat(running[first] - self.term_max[term][first], np.diff(np.append(first, len(passage))))
-        essential = running - before >= slack
-        # Blocks that an essential term opens, and their bound over all terms of the passage.
-        owner, at = _expand(self.block_begin[term[essential]], np.diff(self.block_begin)[term[essential]])
-        opened = np.unique(passage[essential][owner] * self.n_blocks + self.block[at])
-        owner, at = _expand(self.block_begin[term], np.diff(self.block_begin)[term])
-        opened = self._enough(passage[owner] * self.n_blocks + self.block[at], self.block_max[at], opened, slack)[0]
-        keep = np.isin(passage, opened // self.n_blocks)
+        opened = self._open_blocks(passage, term, slack)
+        wanted = np.zeros(int(passage[-1]) + 2 if len(passage) else 1, bool)
+        wanted[opened // self.n_blocks] = True
+        keep = wanted[passage]
         passage, term = passage[keep], term[keep]
         owner, at = _expand(self.begin[term], np.diff(self.begin)[term])
-        inside = np.isin(passage[owner] * self.n_blocks + self.part[at] // BLOCK_PARTS, opened)
+        inside = _among(passage[owner] * self.n_blocks + self.part[at] // BLOCK_PARTS, opened)
         owner, at = owner[inside], at[inside]
         parts = max(1, len(self.part_item))
         pairs = passage[owner] * parts + self.part[at]
-        found, score = self._enough(pairs, self.impact[at], np.unique(pairs), slack)
+        found, score = self._enough(pairs, self.impact[at], _distinct(pairs), slack)
         return found // parts, found % parts, score
 
+    def _open_blocks(self, passage: np.ndarray, term: np.ndarray, slack: float) -> np.ndarray:
+        """Keys (passage, block), ascending, whose block maxima reach the threshold over all terms of the passage."""
+        counts = np.diff(self.block_begin)
+        space = (int(passage[-1]) + 1) * self.n_blocks if len(passage) else 0
+        owner, at = _expand(self.block_begin[term], counts[term])
+        keys, bounds = passage[owner] * self.n_blocks + self.block[at], self.block_max[at]
+        if space <= DENSE:  # few blocks: every one is summed
+            return np.flatnonzero(np.bincount(keys, bounds, space) >= slack)
+        # Only a term that can lift the ones below it over the threshold opens blocks (the pivot).
+        order = np.lexsort((self.term_max[term], passage))
+        passage, term = passage[order], term[order]
+        running = np.cumsum(self.term_max[term])
+        first = np.flatnonzero(np.concatenate([[True], passage[1:] != passage[:-1]]))
+        before = np.repeat(running[first] - self.term_max[term][first], np.diff(np.append(first, len(passage))))
+        essential = running - before >= slack
+        owner, at = _expand(self.block_begin[term[essential]], counts[term[essential]])
+        opened = _distinct(passage[essential][owner] * self.n_blocks + self.block[at])
+        return self._enough(keys, bounds, opened, slack)[0]
+
     @staticmethod
     def _enough(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
         """Of the sorted ``wanted`` keys, those whose values sum to at least ``least``, with the sums."""
@@ -139,12 +173,15 @@ class Index:
         stretches = np.maximum(1, -(-np.diff(first_word) // self.stride))
         base = np.cumsum(stretches) - stretches
         stretch = base[doc] + (np.arange(len(words)) - first_word[doc]) // self.stride
-        place = np.minimum(np.searchsorted(self.vocabulary, words), len(self.vocabulary) - 1)
-        known = self.vocabulary[place] == words
-        stretch, place, begins = stretch[known], place[known], base[doc[known]]
+        known, place = self._terms(words)
+        stretch, begins = stretch[known], base[doc[known]]
+        # Counting repeated words as often as they occur gives a cheap bound that rules most passages out.
+        total = np.bincount(stretch, self.term_max[place], int(base[-1] + stretches[-1]) + 1)
+        total[:-1] += total[1:]
+        ahead = total >= 1 - 1e-9
+        here, before = ahead[stretch], (stretch > begins) & ahead[stretch - 1]
         size = len(self.vocabulary)
-        again = stretch > begins
-        keys = np.unique(np.concatenate([stretch * size + place, (stretch[again] - 1) * size + place[again]]))
+        keys = _distinct(np.concatenate([stretch[here] * size + place[here], (stretch[before] - 1) * size + place[before]]))
         passage, part, score = self.search(keys // size, keys % size)
         best: dict[tuple[int, int], dict] = {}
         for p, q, s in zip(passage.tolist(), part.tolist(), score.tolist(), strict=True):
