@@ -37,6 +37,7 @@ DEPTH = 32
 COLD = 32
 HOT_SHARE = 0.5
 BANDS, ROWS = 32, 4
+PARTS = 32
 LARGE_K = 256  # sketch of the nodes that share long lists; there are many dissimilar pairs among them
 THRESHOLD = (75, 100)
 
@@ -141,11 +142,12 @@ def _band_keys(sketch: pd.Series) -> pd.Series:
 
 
 def _bands(entries: DataFrame, nodes: DataFrame, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(v, node, n, most, before): bucket keys of the nodes that can be linked through long lists only; and their larger sketches.
+    """(v, node, n, most, before, counts): bucket keys of the nodes that can be linked through long lists only; and their larger sketches.
 
     Two such nodes share nothing but values of long lists, so these make up most of their sketches.
     most is the number of a node's shingles, of the full set, that another such node has too:
-    no intersection is larger, and nodes with fewer than the threshold asks for are left out.
+    no intersection is larger, and nodes with fewer than the threshold asks for are left out. counts
+    tells them by the rest of their hash: an intersection is no larger than the sum of the smaller counts either.
     """
     hot = entries.groupBy("node").agg(F.sum((F.col("length") > COLD).cast("int")).alias("hot"))
     hot = hot.join(nodes, "node").filter(F.col("hot") >= HOT_SHARE * F.size("sketch")).select("node", "doc_id", "n", "sketch")
@@ -154,13 +156,14 @@ def _bands(entries: DataFrame, nodes: DataFrame, docs: DataFrame) -> tuple[DataF
     parts = F.explode(F.pandas_udf(lambda s: s.map(lambda b: np.frombuffer(b, np.int64)), "array<long>")("shingles"))
     parts = stored(sets.select("node", parts.alias("x")), "near-hot-values")
     again = stored(parts.groupBy("x").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("x"), "near-hot-shared")
-    most = parts.join(again, "x").groupBy("node").agg(F.count(F.lit(1)).alias("most"))
+    counts = F.array(*[F.count_if(F.pmod("x", F.lit(PARTS)) == p).cast("int") for p in range(PARTS)])
+    most = parts.join(again, "x").groupBy("node").agg(F.count(F.lit(1)).alias("most"), counts.alias("counts"))
     keys = F.pandas_udf(_band_keys, "array<long>")("sketch")
-    out = hot.join(most, "node").filter(f"{THRESHOLD[1]} * most >= {THRESHOLD[0]} * n").select("node", "n", "most", keys.alias("keys"))
-    out = out.select("node", "n", "most", F.posexplode("keys").alias("band", "v"), "keys")
+    out = hot.join(most, "node").filter(f"{THRESHOLD[1]} * most >= {THRESHOLD[0]} * n").select("node", "n", "most", "counts", keys.alias("keys"))
+    out = out.select("node", "n", "most", "counts", F.posexplode("keys").alias("band", "v"), "keys")
     # Earlier keys as whole numbers of 32 bits: enough to see whether two nodes have met before.
     before = F.transform(F.slice("keys", F.lit(1), F.col("band")), lambda k: F.hash(k))
-    out = out.select("v", "node", "n", "most", before.alias("before"))
+    out = out.select("v", "node", "n", "most", before.alias("before"), "counts")
     out = stored(out, "near-bands")
     large = F.pandas_udf(_large_sketch, "array<long>")
     sketches = stored(sets.join(out.select("node").distinct(), "node").select("node", large("shingles").alias("sketch")), "near-large")
@@ -185,10 +188,12 @@ def _different(rows: DataFrame, labels: DataFrame) -> DataFrame:
 def _crossing(rows: DataFrame, labels: DataFrame) -> DataFrame:
     """Pairs (a, b) of different components that share a key v and have sizes and shared parts that allow a link."""
     rows = _different(rows, labels)
-    left = rows.select("v", F.col("node").alias("a"), F.col("n").alias("na"), F.col("label").alias("la"), F.col("most").alias("ma"), F.col("before").alias("ea"))
-    right = rows.select("v", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("label").alias("lb"), F.col("most").alias("mb"), F.col("before").alias("eb"))
+    left = rows.select("v", F.col("node").alias("a"), F.col("n").alias("na"), F.col("label").alias("la"), F.col("most").alias("ma"), F.col("before").alias("ea"), F.col("counts").alias("ca"))
+    right = rows.select("v", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("label").alias("lb"), F.col("most").alias("mb"), F.col("before").alias("eb"), F.col("counts").alias("cb"))
     # A pair counts where it meets first; two nodes that share an earlier bucket have met there.
     enough = f"{sum(THRESHOLD)} * least(ma, mb) >= {THRESHOLD[0]} * (na + nb)"
+    common = "aggregate(zip_with(ca, cb, (x, y) -> least(x, y)), 0, (s, x) -> s + x)"
+    enough = f"{enough} and (ca is null or {sum(THRESHOLD)} * {common} >= {THRESHOLD[0]} * (na + nb))"
     return left.join(right, "v").filter(f"la < lb and {_similar_size('na', 'nb')} and {enough} and not arrays_overlap(ea, eb)").select("a", "b").distinct()
 
 
@@ -244,8 +249,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         labels = components(links)
 
     # What is left: links between different components.
-    none = F.array().cast("array<int>").alias("before")
-    cold = entries.filter(f"length <= {COLD} and pos < {DEPTH}").select("v", "node", "n", F.col("n").alias("most"), none)
+    none = F.array().cast("array<int>")
+    cold = entries.filter(f"length <= {COLD} and pos < {DEPTH}").select("v", "node", "n", F.col("n").alias("most"), none.alias("before"), F.lit(None).cast("array<int>").alias("counts"))
     crossing = [(_crossing(cold, labels), nodes, K), (_crossing(bands, labels), large, LARGE_K)]
     likely = [_estimated(pairs, sketches, k) for pairs, sketches, k in crossing]
     late = stored(_verified(likely[0].union(likely[1]).distinct(), nodes, docs), "near-late")
