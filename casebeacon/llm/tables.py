@@ -16,7 +16,18 @@ WHILE_WRITING = {
 }
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+# For a join of a large table with a filtered one: Spark sieves the large side by a Bloom filter of the
+# other's keys (4 MB, whatever their number) before it shuffles.
+SIEVED = {
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1m",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1t",
+    "spark.sql.optimizer.runtime.bloomFilter.expectedNumItems": "4000000",
+    "spark.sql.optimizer.runtime.bloomFilter.numBits": "33554432",
+}
+
+
+def stored(df: DataFrame, label: str, settings: dict[str, str] | None = None) -> DataFrame:
     """The frame, written once to the shared folder and read back: cuts lineage, survives lost executors.
 
     Shuffle files of the write are released when it has ended, so a long chain of steps needs disk
@@ -24,11 +35,12 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = work_dir(spark, label)
-    before = {name: spark.conf.get(name, None) for name in WHILE_WRITING}
+    wanted = WHILE_WRITING | (settings or {})
+    before = {name: spark.conf.get(name, None) for name in wanted}
     before = {name: value for name, value in before.items() if value is not None}
     try:
         for name in before:
-            spark.conf.set(name, WHILE_WRITING[name])
+            spark.conf.set(name, wanted[name])
         df.write.parquet(path)
     finally:
         for name, value in before.items():
