@@ -163,6 +163,21 @@ def test_passages_cover_repeated_windows(spark):
     assert not any(got[d].n_spans for d in range(20, 30) if len(low[d]) < 50)
 
 
+@pytest.mark.parametrize("size", [500, 1000, 2000])
+def test_neighbouring_passages_that_stand_apart_in_the_other_text(size):
+    rng = np.random.default_rng(size)
+    for gap in (400, 1000):
+        x, y, z = (rng.integers(0, 2**63, n).astype(np.uint64) for n in (size, size, gap))
+        beside, apart = tx.shingle_hashes(np.concatenate([x, y])), tx.shingle_hashes(np.concatenate([x, z, y]))
+        for a, b in ((beside, apart), (apart, beside)):
+            found = substring_dedup.shared_passages(a, b, 46)
+            for text, ends in ((a, [f[:2] for f in found]), (b, [f[2:] for f in found])):
+                covered = np.zeros(len(text), bool)
+                for start, end in ends:
+                    covered[start:end] = True
+                assert covered[np.isin(text, beside) & np.isin(text, apart)].all()
+
+
 def test_passages_with_edits_and_without_clean_texts(spark):
     rng = random.Random(9)
     rows = []
