@@ -11,11 +11,13 @@
    that many texts share, or from a large group of near copies. Two similar texts that meet only in long
    lists must have sketches that consist mostly of such values, so only these nodes are taken
    further, and of these only the ones that share enough shingles with any other: they meet where
-   ``ROWS`` values of a re-hashed sketch agree, in one of ``BANDS`` ways. Neighbours in size inside such a bucket
+   ``ROWS`` min-hashes of the full sets agree, in one of ``BANDS`` ways. Neighbours in size inside such a bucket
    are tried together with the hubs, so that here, too, few components are left to compare.
 
 With similarity 0.75, two sketches share none of the smallest r values of their union with a chance
-of 0.25 ** r, so the chance to lose a link is below 1e-5; no list is cut and no pair is left out.
+of 0.25 ** r. Two full sets share no bucket with a chance of (1 - 0.75 ** 4) ** 32 = 5e-6, whatever their sizes: none
+of 8,000 drawn pairs of a set and its subset (similarity 0.75 to 0.80) did, where buckets taken from sketches
+had missed 172. No list is cut and no pair is left out.
 """
 
 from __future__ import annotations
@@ -128,12 +130,13 @@ def _matching_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             )
 
 
-def _band_keys(sketch: pd.Series) -> pd.Series:
+def _band_keys(shingles: pd.Series) -> pd.Series:
+    """The ``BANDS`` bucket keys of whole sets: each from the least values under ``ROWS`` hash functions."""
     seeds = tx.mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64))
     out = []
-    for values in sketch:
-        v = tx.unordered(np.asarray(values, np.int64))
-        least = tx.mix(v[None, :] ^ seeds[:, None]).min(axis=1).reshape(BANDS, ROWS)
+    for packed in shingles:
+        v = np.frombuffer(packed, np.uint64)
+        least = np.array([tx.mix(v ^ seed).min() for seed in seeds]).reshape(BANDS, ROWS)
         key = np.zeros(BANDS, np.uint64)
         for i in range(ROWS):
             key = tx.mix(key + least[:, i])
@@ -158,17 +161,17 @@ def _bands(entries: DataFrame, nodes: DataFrame, docs: DataFrame) -> tuple[DataF
     again = stored(parts.groupBy("x").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("x"), "near-hot-shared")
     counts = F.array(*[F.count_if(F.pmod("x", F.lit(PARTS)) == p).cast("int") for p in range(PARTS)])
     most = parts.join(again, "x").groupBy("node").agg(F.count(F.lit(1)).alias("most"), counts.alias("counts"))
-    keys = F.pandas_udf(_band_keys, "array<long>")("sketch")
-    out = hot.join(most, "node").filter(f"{THRESHOLD[1]} * most >= {THRESHOLD[0]} * n").select("node", "n", "most", "counts", keys.alias("keys"))
-    out = out.select("node", "n", "most", "counts", F.posexplode("keys").alias("band", "v"), "keys")
+    kept = hot.join(most, "node").filter(f"{THRESHOLD[1]} * most >= {THRESHOLD[0]} * n").select("node", "n", "most", "counts")
+    keys, large = F.pandas_udf(_band_keys, "array<long>"), F.pandas_udf(_large_sketch, "array<long>")
+    kept = sets.join(kept, "node").select("node", "n", "most", "counts", keys("shingles").alias("keys"), large("shingles").alias("sketch"))
+    kept = stored(kept, "near-large")
+    out = kept.select("node", "n", "most", "counts", F.posexplode("keys").alias("band", "v"), "keys")
     # Earlier keys as whole numbers of 32 bits: enough to see whether two nodes have met before.
     before = F.transform(F.slice("keys", F.lit(1), F.col("band")), lambda k: F.hash(k))
     out = out.select("v", "node", "n", "most", before.alias("before"), "counts")
     out = stored(out, "near-bands")
-    large = F.pandas_udf(_large_sketch, "array<long>")
-    sketches = stored(sets.join(out.select("node").distinct(), "node").select("node", large("shingles").alias("sketch")), "near-large")
     discard(hot, sets, parts, again)
-    return out, sketches
+    return out, kept
 
 
 def _large_sketch(shingles: pd.Series) -> pd.Series:

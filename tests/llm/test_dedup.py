@@ -66,6 +66,18 @@ def test_near_duplicates_of_large_groups_and_common_passages(spark, monkeypatch)
     check_near(spark, rows)
 
 
+def test_near_duplicates_of_shortened_copies_in_long_lists(spark, monkeypatch):
+    """Only buckets can link the pairs: a text and its first three quarters, with similarity 0.75."""
+    monkeypatch.setattr(minhash_dedup, "COLD", 1)
+    monkeypatch.setattr(minhash_dedup, "HUB_VALUES", 0)
+    rng, rows = random.Random(5), []
+    for i in range(300):
+        text = prose(rng, 404, 10**6)
+        rows += [(2 * i, text), (2 * i + 1, " ".join(text.split(" ")[:304]))]
+    got = {r.doc_id: r.component_id for r in minhash_dedup.near_duplicates(frame(spark, rows)).collect()}
+    assert [d for d, c in got.items() if c != d - d % 2] == []
+
+
 def test_near_duplicates_of_nothing(spark):
     assert minhash_dedup.near_duplicates(spark.createDataFrame([], SCHEMA)).collect() == []
 
