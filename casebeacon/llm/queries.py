@@ -44,7 +44,10 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = work_dir(spark, "warc")
     written = warc.write_archives(spark.read.parquet(f"{sf_dir}/pages.parquet"), folder)
-    records, _ = warc.read_archives(written, folder, payloads=False)
+    records, gaps = warc.read_archives(written, folder, payloads=False)
+    lost = gaps.limit(5).collect()
+    if lost:
+        raise ValueError(f"records that were written can't be read again: {lost}")
     page = lambda c: F.regexp_extract(c, r"^<urn:page:(-?\d+)>$", 1)
     number = lambda c: F.when(page(c) != "", page(c).cast("long"))
     return records.select(number("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", number("refers_to").alias("refers_to"))

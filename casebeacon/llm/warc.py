@@ -219,7 +219,7 @@ class Salvage:
         except zlib.error as error:
             return None, 0, f"gzip: {str(error)[:80]}"
         data = b"".join(out)
-        row, size, why = parse_record(data)
+        row, size, why = parse_record(data, len(data))
         if row is None:
             return None, 0, why
         if data[size:].strip(b"\r\n"):
@@ -236,13 +236,13 @@ class Salvage:
             self._fill(want)
 
 
-def parse_record(data: bytes) -> tuple[tuple | None, int, str]:
-    """The record at the beginning of ``data``: (fields, size, "") or (None, 0, reason)."""
+def parse_record(data: bytes, most: int = MAX_HEADER) -> tuple[tuple | None, int, str]:
+    """The record at the beginning of ``data``, whose header ends within ``most`` bytes: (fields, size, "") or (None, 0, reason)."""
     if not VERSION.match(data):
         return None, 0, "no version line"
-    head = data.find(b"\r\n\r\n", 0, MAX_HEADER)
+    head = data.find(b"\r\n\r\n", 0, most)
     if head < 0:
-        return None, 0, "truncated" if len(data) < MAX_HEADER else "endless header"
+        return None, 0, "truncated" if len(data) < most else "endless header"
     fields: dict[str, str] = {}
     for line in data[:head].split(b"\r\n")[1:]:
         key, colon, value = line.partition(b":")

@@ -89,3 +89,11 @@ def test_gaps_are_logged_from_files(spark, tmp_path):
     records, gaps = warc.read_archives(warc.archive_files(spark, str(tmp_path)))
     assert records.count() == 2
     assert [(g.gap_start, g.gap_end) for g in gaps.collect()] == [(len(good), len(good) + len(bad) - 5)]
+
+
+def test_header_of_a_very_long_url(spark, run_dir):
+    url = "http://a.example/" + "x" * 200_000
+    pages = spark.createDataFrame([(1, url, "<p>a</p>"), (2, "http://b.example/", "<p>b</p>")], "page_id long, url string, html string")
+    records, gaps = warc.read_archives(warc.write_archives(pages, run_dir), run_dir)
+    assert {r.target_uri for r in records.collect()} == {url, "http://b.example/"}
+    assert gaps.count() == 0
