@@ -175,6 +175,21 @@ def test_passages_cover_repeated_windows(spark):
     assert not any(got[d].n_spans for d in range(20, 30) if len(low[d]) < 50)
 
 
+def test_passages_inside_a_component_whose_list_heads_lack_them(spark):
+    rng, texts, want = random.Random(11), {}, {}
+    own = lambda n: prose(rng, n, 10**6)
+    for group in range(0, 600, 100):
+        licence, one, two = own(80), own(30), own(30)
+        for i in range(2):
+            texts[group + i] = " ".join([own(40), licence, own(1500), one, two, own(40)])
+            want[group + i] = [(40, 120), (1620, 1680)]
+        texts |= {group + 10 + i: " ".join([own(50), line, own(50)]) for i, line in enumerate([one, two] * 7)}
+    got = {r.doc_id: [tuple(s) for s in r.spans] for r in substring_dedup.near_duplicate_passages(frame(spark, texts)).collect()}
+    # The ends of a passage are those of its windows, which can stop a few words short.
+    assert {d: len(s) for d, s in got.items() if s} == {d: len(s) for d, s in want.items()}
+    assert all(x <= a <= x + 4 and y - 4 <= b <= y for d in want for (a, b), (x, y) in zip(got[d], want[d], strict=True))
+
+
 @pytest.mark.parametrize("size", [500, 1000, 2000])
 def test_neighbouring_passages_that_stand_apart_in_the_other_text(size):
     rng = np.random.default_rng(size)
