@@ -31,6 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from casebeacon.llm import text as tx
+from casebeacon.llm.suffix_dedup import text_key
 from casebeacon.llm.tables import components, discard, small_side, stored
 
 K = 64
@@ -54,7 +55,7 @@ def _signature(sets: list[np.ndarray]) -> tuple[list[int], list[int], list[np.nd
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, node, sketch) of every row; node is a fingerprint of the whole set."""
+    """(doc_id, t, n_shingles, node, sketch) of every row; t is the key of its text, node a fingerprint of the whole set."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -63,11 +64,11 @@ def signatures(docs: DataFrame) -> DataFrame:
                 ends = np.concatenate([[0], np.cumsum([len(s) for s in sketches])]).astype(np.int32)
                 values = np.concatenate([np.zeros(0, np.int64), *sketches])
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0)[rows], pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(values))],
-                    names=["doc_id", "n_shingles", "node", "sketch"],
+                    [batch.column(0)[rows], batch.column(2)[rows], pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(values))],
+                    names=["doc_id", "t", "n_shingles", "node", "sketch"],
                 )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(work, "doc_id long, n_shingles long, node long, sketch array<long>")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", text_key().alias("t")).mapInArrow(work, "doc_id long, t long, n_shingles long, node long, sketch array<long>")
 
 
 def _similar_size(a: str, b: str) -> str:
@@ -225,6 +226,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     A row without id is not linked with others: its component_id is null and it is kept. Other columns are
     ignored; an empty table gives an empty result.
     """
+    out = labelled(docs).select("doc_id", "n_shingles", "component_id")
+    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+def labelled(docs: DataFrame) -> DataFrame:
+    """doc_id, t (key of the text), n_shingles, label and component_id of every row; one label per component, null where a row is not linked with others."""
     signed = stored(signatures(docs), "near-signatures")
     linkable = signed.filter("n_shingles > 0 and doc_id is not null")
     nodes = stored(
@@ -264,10 +271,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     grouped = linkable.select("doc_id", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     # Documents of one component, and those that share a row id, are joined through the smallest id.
     smallest = grouped.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    members = labels.join(smallest, "label").select("node", "component_id")
+    members = labels.join(smallest, "label").select("node", "component_id", "label")
     alone = nodes.select("node", F.col("doc_id").alias("own_first"))
-    out = signed.join(alone, (signed.node == alone.node) & (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), "left").drop(alone.node)
+    linked = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
+    out = signed.join(alone, (signed.node == alone.node) & linked, "left").drop(alone.node)
     out = out.join(members, "node", "left")
-    component = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.coalesce("component_id", "own_first")).otherwise(F.col("doc_id"))
-    out = out.select("doc_id", "n_shingles", component.alias("component_id"))
-    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    component = F.when(linked, F.coalesce("component_id", "own_first")).otherwise(F.col("doc_id"))
+    return out.select("doc_id", "t", "n_shingles", F.when(linked, F.coalesce("label", "node")).alias("label"), component.alias("component_id"))

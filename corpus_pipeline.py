@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casebeacon.llm import decontaminate, minhash_dedup, mixing, quality_classifier, suffix_dedup
+from casebeacon.llm.suffix_dedup import text_key
 from casebeacon.llm.tables import stored
 
 
@@ -27,11 +28,14 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: the one with the smallest id.
 
-    Of rows that repeat an id with the same text one stays; rows without id all stay.
+    Of rows of a group that share this id one stays; rows without id all stay. Decisions hold for an id and a
+    text, so a repeated id does not pass them on to other texts.
     """
-    found = minhash_dedup.near_duplicates(docs)
-    dropped = stored(found.filter(~F.col("kept")).select("doc_id").distinct(), "pipeline-dropped")
-    kept = docs.join(dropped, "doc_id", "left_anti")
+    found = stored(minhash_dedup.labelled(docs).filter("label is not null").select("doc_id", "t", "label"), "pipeline-found")
+    first = found.groupBy("label").agg(F.min(F.struct("doc_id", "t")).alias("first"))
+    dropped = found.join(first, "label").filter(F.struct("doc_id", "t") != F.col("first")).select(F.col("doc_id").alias("dropped_id"), F.col("t").alias("dropped_text")).distinct()
+    dropped = stored(dropped, "pipeline-dropped")
+    kept = docs.join(dropped, (docs.doc_id == dropped.dropped_id) & (text_key() == dropped.dropped_text), "left_anti")
     return kept.filter("doc_id is not null").dropDuplicates(["doc_id", "text"]).union(kept.filter("doc_id is null")).select(*docs.columns)
 
 

@@ -73,3 +73,12 @@ def test_stages_take_empty_tables_and_further_columns(spark, tables):
         assert stage(spark, spark.createDataFrame([], SCHEMA), path).count() == 0
         assert set(COLUMNS) <= set(stage(spark, more, path).columns)
         assert stage(spark, more, path).count() == 2
+
+
+def test_near_duplicates_of_repeated_ids(spark):
+    rng = random.Random(8)
+    a, b, c = (prose(rng, 120) for _ in range(3))
+    docs = frame(spark, [(1, a), (2, edited(rng, a, 120)), (2, b), (3, c), (3, edited(rng, c, 120)), (3, c)])
+    left = corpus_pipeline.near_duplicates(spark, docs, "").collect()
+    assert sorted(r.doc_id for r in left) == [1, 2, 3]
+    assert {r.text for r in left if r.doc_id < 3} == {a, b}
