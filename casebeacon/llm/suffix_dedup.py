@@ -1,11 +1,11 @@
-"""Exact substring dedup with a sampled suffix array that is built by prefix doubling.
+"""Exact substring dedup by grouping fingerprints of content-defined anchors and windows.
 
-Which 200-byte strings start at more than one place? A suffix array of every position would shuffle
-many times the input, so the rounds work on a sample of suffixes that equal strings are sure to share:
+Which 200-byte strings start at more than one place? This is not prefix doubling: no suffix is sorted, no offset
+grows and no rank feeds the next round. Doubling over every position would shuffle many times the input (not
+measured), so a sample of places that equal strings are sure to share stands for them:
 each window of ``length`` bytes selects the place of its smallest short hash as its anchor, and
-consecutive windows with one anchor form a run. Ranks are names of equal prefixes (fingerprints
-stand in for the sorted order of short ones); Spark sorts pairs of ranks, drops what has
-become unique and goes on with longer prefixes for the rest:
+consecutive windows with one anchor form a run. A rank below is a fingerprint of a stretch, hashed from its two
+halves; Spark groups equal ones, drops what is unique and looks closer at the rest:
 
 1. ranks of the anchors' prefixes of ``core`` bytes, the pair (first half, second half): runs whose anchor has a
    unique rank hold no repeated window;
