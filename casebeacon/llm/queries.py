@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casebeacon.llm import decontaminate, minhash_dedup, mixing, quality_classifier, quality_rules, substring_dedup, suffix_dedup, token_counts, url_filters, warc
+from casebeacon.llm import alignment, decontaminate, minhash_dedup, mixing, packing, quality_classifier, quality_rules, substring_dedup, suffix_dedup, token_counts, url_filters, warc, whitening
 from casebeacon.llm.tables import documents
 from casebeacon.session import work_dir
 
@@ -96,6 +96,22 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.near_duplicate_passages(documents(spark, sf_dir))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return alignment.align(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path(TOKENIZER))
+
+
+def op12_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return packing.pack(packing.token_pieces(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json")))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -107,4 +123,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_url_filters": op9_url_filters,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_token_alignment": op11_token_alignment,
+    "op12_best_fit_packing": op12_best_fit_packing,
+    "op13_whitening": op13_whitening,
 }

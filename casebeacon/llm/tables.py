@@ -36,15 +36,17 @@ def stored(df: DataFrame, label: str, settings: dict[str, str] | None = None) ->
     spark = df.sparkSession
     path = work_dir(spark, label)
     wanted = WHILE_WRITING | (settings or {})
-    before = {name: spark.conf.get(name, None) for name in wanted}
-    before = {name: value for name, value in before.items() if value is not None}
+    before = spark.conf.getAll
     try:
-        for name in before:
-            spark.conf.set(name, wanted[name])
+        for name, value in wanted.items():
+            spark.conf.set(name, value)
         df.write.parquet(path)
     finally:
-        for name, value in before.items():
-            spark.conf.set(name, value)
+        for name in wanted:
+            if name in before:
+                spark.conf.set(name, before[name])
+            else:
+                spark.conf.unset(name)
     out = spark.read.schema(df.schema).parquet(path)
     out.stored_at = path
     return out
