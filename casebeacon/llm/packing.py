@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import os
 import re
+import unicodedata
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -27,44 +28,81 @@ from casebeacon.llm.text import column_bytes
 
 BAND = 4  # the smallest size in a band is a quarter of its largest
 PART_ROWS = 1_000_000  # of a range-sorted table, in one task
-CACHE_BYTES = 48_000_000  # of remembered strings and ids per worker; only saves time
+KNOWN = 1_200_000  # remembered words per worker; only saves time
 BLANK = re.compile("[ \t\n\r]+")
+NO_BLANK = "\x1c\x1d\x1e\x1f"  # white space for Python, marks for tokenizers
+TAIL = ".,!?;:"
 
 
 @lru_cache(maxsize=4)
 def _encoder(model: str):
+    """The tokenizer of a file, and for each id whether it ends a word."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
     from tokenizers import Tokenizer
 
     encoder = Tokenizer.from_file(model)
     encoder.no_truncation()
     encoder.no_padding()
-    return encoder
+    suffix = encoder.model.end_of_word_suffix
+    ends = np.zeros(encoder.get_vocab_size(), bool)
+    for token, i in encoder.get_vocab().items():
+        ends[i] = bool(suffix) and token.endswith(suffix)
+    return encoder, ends
+
+
+def _stem(word: str) -> str:
+    """The word without the marks after its last letter or digit, in lower case if that is plain."""
+    stem = word.rstrip(TAIL)
+    if len(stem) == len(word) or not stem or not unicodedata.normalize("NFC", stem[-1]).lower()[-1].isalnum():
+        stem = word
+    return stem.lower() if stem.isascii() and stem.isalpha() else stem
 
 
 class Encoder:
-    """Ids of texts for tokenizers that drop white space: strings between blanks are encoded once and remembered.
+    """Ids of texts for lower-casing tokenizers that drop white space and mark word ends.
 
-    This equals encoding the whole text if no rule of the tokenizer looks across a blank, tab or line end.
+    Words between blanks are encoded once and remembered, each as its stem and the marks that follow. This
+    equals encoding the whole text if no rule of the tokenizer looks across a blank and letters, digits
+    and marks are kept apart.
     """
 
     def __init__(self, model: str) -> None:
-        self.model, self.known, self.held = model, {}, 0
+        self.model, self.known, self.stems = model, {}, {}
+
+    def _learn(self, stems: list[str]) -> None:
+        encoder, ends = _encoder(self.model)
+        letters = [s for s in stems if s.isalpha()]
+        others = [s for s in stems if not s.isalpha()]
+        for at in range(0, len(letters), 1000):
+            part = letters[at : at + 1000]
+            ids = np.array(encoder.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
+            cut = np.flatnonzero(ends[ids]) + 1
+            if len(cut) != len(part):  # some letters come apart when normalised
+                others += part
+                continue
+            text, cut = ids.tobytes(), (4 * cut).tolist()
+            self.stems.update(zip(part, map(text.__getitem__, map(slice, [0, *cut[:-1]], cut)), strict=True))
+        for at in range(0, len(others), 20_000):
+            part = others[at : at + 20_000]
+            found = encoder.encode_batch_fast(part, add_special_tokens=False)
+            self.stems.update((s, np.array(f.ids, "<u4").tobytes()) for s, f in zip(part, found, strict=True))
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """Per text its ids as little-endian unsigned 32-bit numbers."""
-        rows = [BLANK.split(t) for t in texts]
-        known = self.known
-        fresh = list({w for row in rows for w in row if w not in known})
-        for at in range(0, len(fresh), 20_000):
-            part = fresh[at : at + 20_000]
-            for word, found in zip(part, _encoder(self.model).encode_batch_fast(part, add_special_tokens=False), strict=True):
-                known[word] = ids = np.array(found.ids, "<u4").tobytes()
-                self.held += len(word) + len(ids)
-        out = [b"".join(map(known.__getitem__, row)) for row in rows]
-        if self.held > CACHE_BYTES:
-            known.clear()
-            self.held = 0
+        rows = [BLANK.split(t) if any(map(t.__contains__, NO_BLANK)) else t.split() for t in texts]
+        known, stems = self.known, self.stems
+        words = set().union(*rows)
+        fresh = [w for w in words if w not in known]
+        cut = list(map(_stem, fresh))
+        tails = [w[len(s) :] for w, s in zip(fresh, cut, strict=True)]
+        self._learn(list({s for s in (*cut, *tails) if s not in stems}))
+        known.update((w, stems[s] + stems[t]) for w, s, t in zip(fresh, cut, tails, strict=True))
+        near = {w: known[w] for w in words}  # few enough to stay in the processor's cache
+        out = [b"".join(map(near.__getitem__, row)) for row in rows]
+        if len(known) > KNOWN:
+            known.clear()  # is soon built again from the stems
+        if len(stems) > KNOWN:
+            stems.clear()
         return out
 
 

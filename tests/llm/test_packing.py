@@ -57,9 +57,9 @@ def best_fit_decreasing(lengths, capacity):
 
 def test_pieces_equal_the_library(spark):
     rng = random.Random(5)
-    bits = ["a", "The", " ", "  ", "'s", "\n", "\t", "é", "É", "日本", "<|endoftext|>", "<|startoftext|>", "ΟΔΟΣ", "😀", "\x00", "\x85", "\xa0", " ", "12", "́", "İ", "ing", "!?", "\x0b", "ﬁ"]
-    texts = [(i, "".join(rng.choice(bits) for _ in range(rng.randrange(60)))) for i in range(500)]
-    texts += [(600, None), (601, ""), (602, " \n"), (603, "x" * 30_000), (604, "ab " * 30_000), (None, "no id"), (1, texts[1][1]), (1, texts[1][1])]
+    bits = ["a", "The", " ", "  ", "'s", "\n", "\t", "é", "É", "日本", "<|endoftext|>", "<|startoftext|>", "ΟΔΟΣ", "😀", "\x00", "\x85", "\xa0", " ", "12", "́", "İ", "ing", "!?", "\x0b", "ﬁ", ".", ",", "ENDE.", "क़", "Ⅷ", "²", "\x1c", "\x1f", " ", "　", "᠎", "​", "\xad", "ſ", "<|EndOfText|>"]
+    texts = [(i, "".join(rng.choice(bits) for _ in range(rng.randrange(60)))) for i in range(2500)]
+    texts += [(6000, None), (601, ""), (602, " \n"), (603, "x" * 30_000), (604, "ab " * 30_000), (None, "no id"), (1, texts[1][1]), (1, texts[1][1])]
     docs = frame(spark, texts).withColumn("piece", F.lit("x")).withColumn("length", F.lit(-1)).repartition(3)
     got = packing.token_pieces(docs, MODEL, 64, block=3000)
     assert Counter(map(tuple, got.collect())) == pieces_by_hand(texts, 64)
