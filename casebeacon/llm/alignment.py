@@ -32,15 +32,20 @@ SPACE = "▁"
 BLOCK = 8_000_000  # bytes of text (or one longer text) that share a list of pairs
 KNOWN = 500_000  # remembered strings per worker; only saves time
 FRESH = 50_000  # strings aligned at once
+JOINED = 1000  # strings encoded in one call
 CUT = re.compile(r"(?<=\S) (?=\S)")
+# Fixed value: how byte-level vocabularies of this kind cut a text before merging.
+WORDS = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+LATIN = "ɐ"  # below it all libraries agree on what a letter is
 SHIFT = 20  # a pair of ids in one number: A's above, B's below
 
 
 @lru_cache(maxsize=4)
 def _encoders(model_a: str, model_b: str):
-    """Encoders of both sides, the bytes of every id and the ids as text."""
+    """A's library, the same vocabulary in a faster one for Latin text, B's library; the bytes of every id and their number."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
     import sentencepiece
+    import tiktoken
     from sentencepiece import sentencepiece_model_pb2
     from tokenizers import Tokenizer
 
@@ -56,6 +61,13 @@ def _encoders(model_a: str, model_b: str):
     bytes_a = [b""] * a.get_vocab_size()
     for token, i in a.get_vocab().items():
         bytes_a[i] = bytes(byte[c] for c in token) if all(c in byte for c in token) else token.encode()
+    ranks = {token: i for i, token in enumerate(bytes_a)}
+    merges = [m if isinstance(m, list) else m.split(" ") for m in spec["model"]["merges"]]
+    in_order = [ranks[bytes(byte[c] for c in x + y)] for x, y in merges]
+    if in_order != sorted(in_order) or spec["model"]["vocab"].keys() - a.get_vocab().keys():
+        raise ValueError("A's ids must follow the order of its merges")
+    special = {t["content"].encode() for t in spec["added_tokens"]}
+    fast = tiktoken.Encoding("a", pat_str=WORDS, mergeable_ranks={t: i for t, i in ranks.items() if t not in special}, special_tokens={})
     proto = sentencepiece_model_pb2.ModelProto()
     with open(model_b, "rb") as file:
         proto.ParseFromString(file.read())
@@ -66,7 +78,7 @@ def _encoders(model_a: str, model_b: str):
     if max(len(bytes_a), len(bytes_b)) >> SHIFT:
         raise ValueError("vocabulary too large")
     b = sentencepiece.SentencePieceProcessor(model_file=model_b)
-    return a, b, bytes_a, bytes_b, np.array([len(x) for x in bytes_a]), np.array([len(x) for x in bytes_b])
+    return a, fast, b, bytes_a, bytes_b, np.array([len(x) for x in bytes_a]), np.array([len(x) for x in bytes_b])
 
 
 def _byte_characters() -> dict[int, str]:
@@ -130,18 +142,51 @@ class Aligner:
             links.append(found[1])
         self.numbers, self.links = np.concatenate(numbers), np.concatenate(links)
 
-    def _align(self, strings: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        a, b, bytes_a, bytes_b, size_a, size_b = _encoders(*self.models)
+    def _one_by_one(self, strings: list[str]) -> tuple[np.ndarray, ...]:
+        """Ids of both sides one string after the other and how many each has; none where the bytes differ."""
+        a, _, b, bytes_a, bytes_b, _, _ = _encoders(*self.models)
         rows_a = [e.ids for e in a.encode_batch_fast([" " + s for s in strings], add_special_tokens=False)]
         rows_b = b.encode(strings, num_threads=1)
         for i, s in enumerate(strings):
             whole = b" " + s.encode()
             if b"".join(map(bytes_a.__getitem__, rows_a[i])) != whole or b"".join(map(bytes_b.__getitem__, rows_b[i])) != whole:
                 rows_a[i] = rows_b[i] = []
-        n_a, n_b = (np.fromiter(map(len, r), np.int64, len(r)) for r in (rows_a, rows_b))
-        ids_a, ids_b = (np.fromiter((x for r in rows for x in r), np.int64, int(n.sum())) for rows, n in ((rows_a, n_a), (rows_b, n_b)))
-        ends_a, ends_b = np.cumsum(size_a[ids_a]), np.cumsum(size_b[ids_b])
+        found = []
+        for rows in (rows_a, rows_b):
+            n = np.fromiter(map(len, rows), np.int64, len(rows))
+            found += [np.fromiter((x for row in rows for x in row), np.int64, int(n.sum())), n]
+        return tuple(found)
+
+    def _together(self, strings: list[str]) -> tuple[np.ndarray, ...]:
+        """The same from one call per side, cut at the strings' ends, if all bytes agree and all ends are ends of tokens."""
+        a, fast, b, bytes_a, bytes_b, size_a, size_b = _encoders(*self.models)
+        text = " ".join(strings)
+        whole = b" " + text.encode()
+        ends = np.cumsum([1 + len(s.encode()) for s in strings])
+        found = []
+        ids_a = fast.encode_ordinary(" " + text) if max(text) < LATIN else a.encode(" " + text, add_special_tokens=False).ids
+        ids_b = [i for row in b.encode(strings, num_threads=1) for i in row]
+        for ids, table, size in ((ids_a, bytes_a, size_a), (ids_b, bytes_b, size_b)):
+            if b"".join(map(table.__getitem__, ids)) != whole:
+                return self._one_by_one(strings)
+            ids = np.array(ids, np.int64)
+            upto = np.cumsum(size[ids])
+            last = np.searchsorted(upto, ends)
+            if not np.array_equal(upto[last], ends):
+                return self._one_by_one(strings)
+            found += [ids, np.diff(last + 1, prepend=0)]
+        return tuple(found)
+
+    def _align(self, strings: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        *_, size_a, size_b = _encoders(*self.models)
+        kind = [0 if s != s.strip() or SPACE in s else 1 if s.isascii() or max(s) < LATIN else 2 for s in strings]
+        kinds = [[s for s, k in zip(strings, kind, strict=True) if k == n] for n in range(3)]
+        parts = [self._one_by_one(kinds[0])] if kinds[0] else []
+        parts += [self._together(group[at : at + JOINED]) for group in kinds[1:] for at in range(0, len(group), JOINED)]
+        strings = [s for group in kinds for s in group]
+        ids_a, n_a, ids_b, n_b = map(np.concatenate, zip(*parts, strict=True))
         of_a, of_b = (np.repeat(np.arange(len(strings)), n) for n in (n_a, n_b))
+        ends_a, ends_b = np.cumsum(size_a[ids_a]), np.cumsum(size_b[ids_b])
         group_a, group_b = terminals(ends_a, ends_b)
         left, right = overlaps(ends_a, ends_b)
         is_end = group_b == np.arange(len(group_b))
