@@ -46,16 +46,21 @@ def rolling_positive_count(
     passed. The count is the running sum of these changes: what was open when the slice
     began plus the changes inside the slice.
     """
-    window = window_seconds * _MICROS
-    slice_length = (slice_seconds or WINDOWS_PER_SLICE * window_seconds) * _MICROS
-    time_type = cases.schema[ts].dataType
-
     moments = (
         cases.where(F.col(ts).isNotNull() & F.col("region_id").isNotNull())
         .select("region_id", F.unix_micros(F.col(ts).cast("timestamp")).alias("at"), X.positive_flag().alias("p"))
         .groupBy("region_id", "at")
         .agg(F.count("*").alias("cases"), F.sum("p").alias("positives"))
     )
+    counts = rolling_moments(moments, window_seconds=window_seconds, slice_seconds=slice_seconds)
+    time = F.timestamp_micros("at").cast(cases.schema[ts].dataType).alias("ts")
+    return counts.select("region_id", time, "cases", "positives", "positives_in_window", "at")
+
+
+def rolling_moments(moments: DataFrame, *, window_seconds: int = WINDOW_SECONDS, slice_seconds: int | None = None) -> DataFrame:
+    """`rolling_positive_count` of moments: region_id, at (microseconds, once per region), cases and positives."""
+    window = window_seconds * _MICROS
+    slice_length = (slice_seconds or WINDOWS_PER_SLICE * window_seconds) * _MICROS
     arrive = F.struct("at", "cases", "positives", F.col("positives").alias("change"))
     expire = F.struct(
         (F.col("at") + window + 1).alias("at"),
@@ -92,14 +97,7 @@ def rolling_positive_count(
         changes.unionByName(opening)
         .withColumn("positives_in_window", F.sum("change").over(running))
         .where("cases > 0")
-        .select(
-            "region_id",
-            F.timestamp_micros("at").cast(time_type).alias("ts"),
-            "cases",
-            "positives",
-            "positives_in_window",
-            "at",
-        )
+        .select("region_id", "cases", "positives", "positives_in_window", "at")
     )
 
 

@@ -19,7 +19,7 @@ from casebeacon.operators import windows as W
 from casebeacon.plans import models, snapshots, views
 from casebeacon.schemas import CASE_PREDICTIONS, OUTBREAK_PREDICTIONS
 from casebeacon.session import work_dir
-from casebeacon.sources import files, jdbc, kafka
+from casebeacon.sources import files, jdbc, kafka, keyed
 from casebeacon.streaming import alerts as stream_alerts
 from casebeacon.streaming import ingest, live, progress
 
@@ -160,9 +160,8 @@ def dead_letter_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema("partition int, offset bigint, error string, raw string").json(path)
 
 
-@query
-def upsert_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every positive case comes again, twice; those of one gender are new to the table.
+def _case_updates(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """A table and updates: every positive case comes again, twice; those of one gender are new to the table.
 
     The second message reports an earlier time than the first and wins, as it arrived last.
     """
@@ -173,7 +172,23 @@ def upsert_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     same = cases.where(positive).select(*columns)
     first = same.withColumns({"ts": F.col("ts") + F.expr("INTERVAL '1' HOUR"), "patient_age": F.col("patient_age") + 2, "arrival": F.lit(1)})
     second = same.withColumns({"patient_age": F.col("patient_age") + 1, "arrival": F.lit(2)})
-    return merge.upsert_cases(current, first.unionByName(second))
+    return current, first.unionByName(second)
+
+
+@query
+def upsert_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The merged table as one plan."""
+    return merge.upsert_cases(*_case_updates(spark, sf_dir))
+
+
+@query
+def upsert_stored_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same on a stored table, of which the upsert rewrites the touched buckets."""
+    current, updates = _case_updates(spark, sf_dir)
+    path = work_dir(spark, "keyed")
+    keyed.create(current, path, buckets=32)
+    keyed.upsert(updates, path)
+    return keyed.read(spark, path)
 
 
 @query
@@ -594,28 +609,33 @@ def _bounded_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return live.with_end(views.cases_stream(spark, sf_dir), work_dir(spark, "end"), "ts")
 
 
-def _stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", stream_alerts.ROCKSDB)
-    return stream_alerts.stream_outbreak_alerts(
-        _bounded_cases(spark, sf_dir),
-        delay=STREAM_DELAY,
-        window_seconds=ALERT_WINDOW,
-        cooldown_seconds=ALERT_COOLDOWN,
-        ts="ts",
+def _stream_alerts(spark: SparkSession, sf_dir: str, sink: stream_alerts.Sink) -> None:
+    finish(
+        stream_alerts.stream_outbreak_alerts(
+            _bounded_cases(spark, sf_dir),
+            sink,
+            work_dir(spark, "alerts-state"),
+            work_dir(spark, "alerts-checkpoint"),
+            delay=STREAM_DELAY,
+            window_seconds=ALERT_WINDOW,
+            cooldown_seconds=ALERT_COOLDOWN,
+            ts="ts",
+            trigger=ONCE,
+        )
     )
 
 
 @query
 def stream_outbreak_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path, checkpoint = work_dir(spark, "alerts"), work_dir(spark, "alerts-checkpoint")
-    finish(live.append_parquet(_stream_alerts(spark, sf_dir), path, checkpoint, ONCE))
-    return spark.read.schema("region_id string, ts timestamp, positives_in_window bigint").parquet(path)
+    path = work_dir(spark, "alerts")
+    _stream_alerts(spark, sf_dir, stream_alerts.parquet_sink(path))
+    return stream_alerts.read_alerts(spark, path)
 
 
 @query
 def alert_log_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path, checkpoint = work_dir(spark, "alert-log"), work_dir(spark, "alert-log-checkpoint")
-    finish(stream_alerts.alert_log_sink(_stream_alerts(spark, sf_dir), path, checkpoint, ALERT_WINDOW, "A", ONCE))
+    path = work_dir(spark, "alert-log")
+    _stream_alerts(spark, sf_dir, stream_alerts.alert_log_sink(path, ALERT_WINDOW, "A"))
     return spark.read.text(path).select(F.col("value").alias("line"))
 
 

@@ -706,3 +706,5 @@ JOIN ({_INDEX.format(c='gender')}) g ON g.category = c.gender""",
         "windows",
     ),
 }
+
+ORACLE["upsert_stored_cases"] = ORACLE["upsert_cases"]

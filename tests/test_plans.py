@@ -14,7 +14,7 @@ BUILT_EAGERLY = {
     "alert_log_sink", "analytics_snapshot", "assemble_features", "at_least_once_commit", "case_risk_model", "dead_letter_sink",
     "evaluate_model", "key_locality", "lag_report", "model_load", "model_save", "outbreak_model",
     "read_raw_json", "retry_then_dead_letter", "run_case_model", "run_outbreak_model", "score_cases", "score_windows", "stream_ingest",
-    "stream_live_totals", "stream_outbreak_alerts", "stream_region_windows", "sync_predictions",
+    "stream_live_totals", "stream_outbreak_alerts", "stream_region_windows", "sync_predictions", "upsert_stored_cases",
     "write_parquet_overwrite",
 }
 

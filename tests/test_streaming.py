@@ -74,13 +74,13 @@ def batches(query):
 def test_alerts_equal_batch_up_to_the_watermark(spark, case_files, run_dir):
     path, df = case_files
     settings = {"window_seconds": 12 * HOUR, "cooldown_seconds": 6 * HOUR, "ts": "ts"}
-    stream = stream_alerts.stream_outbreak_alerts(stream_of(spark, path, df.schema), delay="1 hour", **settings)
-    query = run(live.append_parquet(stream, f"{run_dir}/out", f"{run_dir}/cp", ONCE))
+    sink = stream_alerts.parquet_sink(f"{run_dir}/out")
+    query = run(stream_alerts.stream_outbreak_alerts(stream_of(spark, path, df.schema), sink, f"{run_dir}/state", f"{run_dir}/cp", delay="1 hour", trigger=ONCE, **settings))
     assert batches(query) == FILES
     watermark = df.agg(F.max("ts") - F.expr("INTERVAL 1 HOUR")).first()[0]
     expected = alerts.outbreak_alerts(df, **settings).where(F.col("ts") <= F.lit(watermark))
-    got = spark.read.parquet(f"{run_dir}/out")
-    assert rows(got.select("region_id", "ts", "positives_in_window")) == rows(expected)
+    got = stream_alerts.read_alerts(spark, f"{run_dir}/out")
+    assert rows(got) == rows(expected)
     assert got.count() > 50
 
 
@@ -91,13 +91,40 @@ def test_alert_state_survives_a_restart(spark, case_files, run_dir):
     split = df.agg(F.percentile_approx("ts", 0.5)).first()[0]
     for half in (F.col("ts") <= F.lit(split), F.col("ts") > F.lit(split)):
         df.where(half).coalesce(1).write.mode("append").parquet(f"{run_dir}/in")
-        stream = stream_alerts.stream_outbreak_alerts(
-            stream_of(spark, f"{run_dir}/in", df.schema), delay="1 hour", **settings
-        )
-        run(live.append_parquet(stream, f"{run_dir}/out", f"{run_dir}/cp", ONCE))
+        stream, sink = stream_of(spark, f"{run_dir}/in", df.schema), stream_alerts.parquet_sink(f"{run_dir}/out")
+        run(stream_alerts.stream_outbreak_alerts(stream, sink, f"{run_dir}/state", f"{run_dir}/cp", delay="1 hour", trigger=ONCE, **settings))
     watermark = df.agg(F.max("ts") - F.expr("INTERVAL 1 HOUR")).first()[0]
     expected = alerts.outbreak_alerts(df, **settings).where(F.col("ts") <= F.lit(watermark))
-    assert rows(spark.read.parquet(f"{run_dir}/out").select("region_id", "ts", "positives_in_window")) == rows(expected)
+    assert rows(stream_alerts.read_alerts(spark, f"{run_dir}/out")) == rows(expected)
+
+
+def test_a_batch_run_again_gives_the_same(spark, run_dir):
+    """State and alerts of a batch depend on the table before it only; cutting moments anywhere changes nothing."""
+    moments = spark.range(400_000).selectExpr("'N' AS region_id", "id * 50000 AS at", "1L AS cases", "CAST(id % 3 = 0 AS bigint) AS positives")
+    whole, _ = stream_alerts.next_alerts(moments, spark.createDataFrame([], stream_alerts.CARRIED), 60, 200, 30)
+    carried, found = spark.createDataFrame([], stream_alerts.CARRIED), []
+    for n, (low, high) in enumerate(((0, 7_000_000_000), (7_000_000_000, 7_000_100_000), (7_000_100_000, 10**12))):
+        part = moments.where((F.col("at") >= low) & (F.col("at") < high))
+        first, _ = stream_alerts.next_alerts(part, carried, 60, 200, 30)
+        again, after = stream_alerts.next_alerts(part, carried, 60, 200, 30)
+        assert rows(first) == rows(again)
+        found += rows(again)
+        after.write.parquet(f"{run_dir}/{n}")
+        carried = spark.read.schema(stream_alerts.CARRIED).parquet(f"{run_dir}/{n}")
+        assert carried.count() <= 60 * 20 // 3 + 3  # a window's positives, an alert, the time released
+    assert sorted(found, key=repr) == rows(whole) and len(found) > 600
+
+
+def test_one_region_is_spread_over_tasks(spark):
+    """A backlog of one region: no step before the summaries gives it to one task."""
+    moments = spark.range(0, 2_000_000, 1, 8).selectExpr("'N' AS region_id", "id * 50000 AS at", "1L AS cases", "1L AS positives")
+    counted = stream_alerts.rolling_moments(moments, window_seconds=60).repartition(4, "region_id", F.expr("at div 600000000"))
+    sizes = counted.groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) > 1
+    kept, _ = stream_alerts.next_alerts(moments, spark.createDataFrame([], stream_alerts.CARRIED), 60, 10, 30)
+    text = kept._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapGroupsInPandas" not in text and "TransformWithState" not in text
+    assert kept.count() == -(-(2_000_000 - 9) // 601)
 
 
 def test_rows_out_of_order_within_the_delay_are_sorted(spark, run_dir):
@@ -107,10 +134,9 @@ def test_rows_out_of_order_within_the_delay_are_sorted(spark, run_dir):
     cases = [("N", start + dt.timedelta(seconds=s), "negative" if s in (45, 300) else "positive") for s in order]
     for i in range(0, len(cases), 4):
         spark.createDataFrame(cases[i : i + 4], schema).coalesce(1).write.mode("append").parquet(f"{run_dir}/in")
-    stream = stream_alerts.stream_outbreak_alerts(
-        stream_of(spark, f"{run_dir}/in", spark.createDataFrame([], schema).schema), delay="60 seconds"
-    )
-    run(stream_alerts.alert_log_sink(stream, f"{run_dir}/log", f"{run_dir}/cp", instance="A", trigger=ONCE))
+    stream = stream_of(spark, f"{run_dir}/in", spark.createDataFrame([], schema).schema)
+    sink = stream_alerts.alert_log_sink(f"{run_dir}/log", instance="A")
+    run(stream_alerts.stream_outbreak_alerts(stream, sink, f"{run_dir}/state", f"{run_dir}/cp", delay="60 seconds", trigger=ONCE))
     lines = sorted(r["value"] for r in spark.read.text(f"{run_dir}/log").collect())
     assert lines == [
         "2024-01-01 00:00:09 [ALERT] N: 10 positive cases in the last 60s (instance A)",
