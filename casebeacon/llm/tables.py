@@ -13,6 +13,7 @@ BROADCAST_ROWS = 200_000
 WHILE_WRITING = {
     "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "16777216",
 }
 
 

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from helpers import SCHEMA, corpus, edited, frame, lower, prose, words
 
-from casebeacon.llm import minhash_dedup, substring_dedup, suffix_dedup
+from casebeacon.llm import minhash_dedup, substring_dedup, suffix_dedup, tables
 from casebeacon.llm import text as tx
 from casebeacon.llm.tables import components
 
@@ -225,3 +225,19 @@ def test_passages_of_copies_nulls_and_nothing(spark):
     got = Counter((r.doc_id, r.n_spans, r.n_dup_words, r.class_id) for r in substring_dedup.near_duplicate_passages(frame(spark, rows)).collect())
     assert got == Counter({(3, 1, 80, 3): 2, (5, 1, 80, 3): 1, (None, 1, 80, 3): 1, (None, 0, 0, None): 1, (6, 0, 0, 6): 1, (7, 0, 0, 7): 1, (8, 0, 0, 8): 1, (9, 0, 0, 9): 1})
     assert substring_dedup.near_duplicate_passages(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_settings_hold_while_a_table_is_written(spark):
+    """The rows of a batch inside the write, and the session's settings after it."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = {k: spark.conf.get(k) for k in (*tables.WHILE_WRITING, *tables.SIEVED)}
+
+    def sizes(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            yield pa.record_batch({"n": pa.array([batch.num_rows], pa.int64())})
+
+    out = tables.stored(spark.range(0, 9000, 1, 1).mapInArrow(sizes, "n long"), "sizes", tables.SIEVED)
+    assert max(r.n for r in out.collect()) == int(tables.WHILE_WRITING[name])
+    assert before == {k: spark.conf.get(k) for k in before}
