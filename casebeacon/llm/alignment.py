@@ -5,7 +5,7 @@ in that token, so pointers lead to the right until a token of each side ends at
 the successors of all tokens of a batch brings each to the terminal token of its component: its group.
 
 Neither tokenizer lets a token cross a single blank between two visible characters, so texts are cut
-there and every different string of a worker is encoded and aligned once. The corpus-wide counts of id pairs
+there and every different string of a task is encoded and aligned once. The corpus-wide counts of id pairs
 come back to the documents block by block: a block sends each of its different pairs once.
 """
 
@@ -30,7 +30,7 @@ from casebeacon.llm.text import column_bytes
 
 SPACE = "▁"
 BLOCK = 8_000_000  # bytes of text (or one longer text) that share a list of pairs
-KNOWN = 500_000  # remembered strings per worker; only saves time
+KNOWN = 500_000  # remembered strings; only saves time
 FRESH = 50_000  # strings aligned at once
 JOINED = 1000  # strings encoded in one call
 CUT = re.compile(r"(?<=\S) (?=\S)")
@@ -221,7 +221,6 @@ def _ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.arange(int(lengths.sum())) + np.repeat(starts - np.cumsum(lengths) + lengths, lengths)
 
 
-_ALIGNERS: dict[tuple[str, str], Aligner] = {}
 ALIGNED = (
     "block long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, strings array<int>, "
     "pairs array<long>, pair_links array<long>, string_at array<int>, string_pairs array<int>"
@@ -276,7 +275,7 @@ def aligned_blocks(docs: DataFrame, model_a: str, model_b: str, block: int = BLO
     """
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner = _ALIGNERS.setdefault((model_a, model_b), Aligner(model_a, model_b))
+        aligner = Aligner(model_a, model_b)
         number = TaskContext.get().partitionId() << 32
         ids, texts, held = [], [], 0
 

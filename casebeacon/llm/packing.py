@@ -30,7 +30,7 @@ from casebeacon.llm.text import column_bytes
 
 BAND = 4  # the smallest size in a band is a quarter of its largest
 PART_ROWS = 1_000_000  # of a range-sorted table, in one task
-KNOWN = 1_200_000  # remembered words per worker; only saves time
+KNOWN = 1_000_000  # remembered words per worker; only saves time
 BLANK = re.compile("[ \t\n\r]+")
 NO_BLANK = "\x1c\x1d\x1e\x1f"  # white space for Python, marks for tokenizers
 TAIL = ".,!?;:"
@@ -140,7 +140,10 @@ class Encoder:
         return out
 
 
-_ENCODERS: dict[str, Encoder] = {}
+@lru_cache(maxsize=2)
+def _shared(model: str) -> Encoder:
+    """The worker's encoder of a model: what it remembers outlives a task."""
+    return Encoder(model)
 
 
 def token_pieces(docs: DataFrame, model: str, capacity: int = 2048, end: int = 0, block: int = 4_000_000) -> DataFrame:
@@ -153,7 +156,7 @@ def token_pieces(docs: DataFrame, model: str, capacity: int = 2048, end: int = 0
     last = np.array([end], "<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _ENCODERS.setdefault(model, Encoder(model))
+        encoder = _shared(model)
         for batch in batches:
             texts = batch.column(1)
             _, offsets = column_bytes(texts)
