@@ -654,21 +654,32 @@ def stream_live_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return live.latest_totals(spark, path)
 
 
+LAG_BATCHES = 4
+
+
 @query
 def lag_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lag per partition after each of 150 batches, from a stored progress log.
+    """Lag per partition after each batch of a stream over the messages, as its progress events tell.
 
-    A batch is a slice of the offsets; the log holds what a Kafka source reports after it.
+    The messages lie in files of a quarter of the offsets each, and a batch takes one file.
     """
-    path = work_dir(spark, "progress")
-    messages = views.messages(spark, sf_dir).select(F.col("partition").cast("string").alias("partition"), "offset")
-    last = messages.groupBy("partition").agg(F.max("offset").alias("end"))
-    batches = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(149).cast("bigint"))).alias("batch_id")
-    after = last.select("partition", "end", batches).withColumn("position", F.expr("(batch_id + 1) * `end` div 150"))
-    offsets = lambda c: F.to_json(F.struct(F.map_from_entries(F.array_sort(F.collect_list(F.struct("partition", c)))).alias("cases")))
-    log = after.groupBy("batch_id").agg(offsets("position").alias("end_offset"), offsets("end").alias("latest_offset"))
-    files.write_json(log.withColumns({"query": F.lit("q"), "source": F.lit("KafkaV2[Subscribe[cases]]")}), path)
-    return progress.lag_report(progress.read_progress(spark, path)).drop("query")
+    path, log = work_dir(spark, "topic"), work_dir(spark, "progress")
+    messages = views.messages(spark, sf_dir).select("partition", "offset")
+    quarter = F.col("offset") * LAG_BATCHES / (messages.agg(F.max("offset")).scalar() + 1)
+    for n in range(LAG_BATCHES):
+        messages.where(F.floor(quarter) == n).coalesce(1).write.mode("append").parquet(path)
+    listener = progress.ProgressLog(spark, log)
+    spark.streams.addListener(listener)
+    try:
+        stream = spark.readStream.schema("partition int, offset bigint").option("maxFilesPerTrigger", 1).parquet(path)
+        sink = progress.observe_positions(stream, range(5)).writeStream.format("noop")
+        running = sink.option("checkpointLocation", work_dir(spark, "lag-checkpoint")).trigger(**ONCE).start()
+        finish(running)
+        listener.wait_for(running)
+    finally:
+        spark.streams.removeListener(listener)
+    ends = spark.read.schema("partition int, offset bigint").parquet(path).groupBy("partition").agg(F.max("offset").alias("end"))
+    return progress.observed_lag(progress.read_progress(spark, log), ends, "cases").drop("query")
 
 
 @query

@@ -10,11 +10,12 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casebeacon.functions import expressions as X
 from casebeacon.operators.evaluation import auc_from_counts, weighted_from_counts
+from casebeacon.operators.ranking import ranked
 from casebeacon.operators.windows import outbreak_label, outbreak_threshold, region_window_features
 from casebeacon.sources.files import write_parquet
 
@@ -47,15 +48,10 @@ TRAIN_PERCENT = 80
 def category_index(df: DataFrame, column: str) -> DataFrame:
     """Index of each category, the most frequent first, equal counts in text order.
 
-    Categories are ranked among those of equal count, and the sizes of the more frequent counts
-    are added; the running sum over all sees one row per different count.
+    Categories are range-sorted, so many of equal count are spread over tasks; see `ranking.ranked`.
     """
     counts = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("category")).agg(F.count("*").alias("count"))
-    sizes = counts.groupBy("count").agg(F.count("*").alias("same"))
-    before = F.sum("same").over(Window.orderBy(F.col("count").desc())) - F.col("same")
-    ranked = counts.join(sizes.select("count", before.alias("before")), "count")
-    place = F.row_number().over(Window.partitionBy("count").orderBy("category"))
-    return ranked.select("category", "count", (F.col("before") + place - 1).cast("double").alias("idx"))
+    return ranked(counts, [F.col("count").desc(), F.col("category")], "place").select("category", "count", F.col("place").cast("double").alias("idx"))
 
 
 def indexer(column: str, output: str) -> StringIndexer:

@@ -648,8 +648,9 @@ UNION ALL SELECT 'risk', CAST(row_number() OVER (ORDER BY avg_risk DESC, region_
     "stream_live_totals": with_views(_REGIONS, "cases"),
     "lag_report": with_views(
         """SELECT batch_id, 'cases' AS topic, "partition", "position", "end", "end" - "position" AS lag FROM (
-  SELECT "partition", "end", batch_id, (batch_id + 1) * "end" // 150 AS "position" FROM (
-    SELECT "partition", max("offset") AS "end" FROM messages GROUP BY "partition"), range(150) r(batch_id))""",
+  SELECT "partition", batch_id, max("offset") AS "end",
+    coalesce(max("offset") FILTER (WHERE floor("offset" * 4 / (SELECT max("offset") + 1 FROM messages)) <= batch_id), -1) AS "position"
+  FROM messages, range(4) r(batch_id) GROUP BY "partition", batch_id)""",
         "messages",
     ),
     "key_locality": with_views(

@@ -10,7 +10,7 @@ from pyspark.ml.feature import StringIndexer
 from pyspark.sql import functions as F
 
 from casebeacon.functions import expressions as X
-from casebeacon.operators import evaluation, histograms, metrics
+from casebeacon.operators import evaluation, histograms, metrics, ranking
 from casebeacon.operators import windows as W
 from casebeacon.plans import models, snapshots, views
 
@@ -199,3 +199,15 @@ def test_recent_cases_without_time_come_last(spark):
     assert metrics.recent_case_view(df, id_length=12).first()["case_id"] == "0123456789ab"
     assert [r["gender"] for r in shown] == ["Male", "X"]
     assert [r["timestamp"] for r in shown] == ["2024-01-01 00:00:00", ""]
+
+
+def test_many_categories_of_equal_count_are_ranked_by_many_tasks(spark):
+    """Positions over range partitions equal one sort, ties by text; no partition sees them all."""
+    df = spark.range(3000).selectExpr("concat('c', CASE WHEN id < 50 THEN 7 ELSE id END) AS name")
+    counts = df.groupBy("name").count()
+    got = ranking.ranked(counts, [F.col("count").desc(), F.col("name")], "place", rows_per_task=300).collect()
+    want = sorted(got, key=lambda r: (-r["count"], r["name"]))
+    assert [r["place"] for r in want] == list(range(2951)) and want[0]["name"] == "c7"
+    index = {r["category"]: (r["count"], r["idx"]) for r in models.category_index(df, "name").collect()}
+    assert index == {r["name"]: (r["count"], float(r["place"])) for r in got}
+    assert models.category_index(df.where("name is null"), "name").collect() == []

@@ -344,3 +344,20 @@ def test_progress_log(spark, case_files, run_dir):
     finally:
         spark.streams.removeListener(log)
     assert spark.read.json(f"{run_dir}/progress").agg(F.sum("input_rows")).first()[0] == df.count()
+
+
+def test_observed_positions_of_a_running_stream(spark, run_dir):
+    """One event per batch, of a partition without rows in a batch too."""
+    for batch in ([(0, 3), (1, 5)], [(1, 9)], [(0, 4), (0, 12)]):
+        spark.createDataFrame(batch, "partition int, offset bigint").coalesce(1).write.mode("append").parquet(f"{run_dir}/in")
+    log = progress.ProgressLog(spark, f"{run_dir}/log")
+    spark.streams.addListener(log)
+    stream = progress.observe_positions(stream_of(spark, f"{run_dir}/in", "partition int, offset bigint"), range(3))
+    query = run(stream.writeStream.format("noop").option("checkpointLocation", f"{run_dir}/cp").trigger(**ONCE).start())
+    log.wait_for(query)
+    spark.streams.removeListener(log)
+    ends = spark.createDataFrame([(0, 12), (1, 9), (2, 1)], "partition int, end bigint")
+    lag = progress.observed_lag(progress.read_progress(spark, f"{run_dir}/log"), ends, "t")
+    assert sorted((r.batch_id, r.partition, r.position, r.lag) for r in lag.collect()) == [
+        (0, 0, 3, 9), (0, 1, 5, 4), (0, 2, -1, 2), (1, 0, 3, 9), (1, 1, 9, 0), (1, 2, -1, 2), (2, 0, 12, 0), (2, 1, 9, 0), (2, 2, -1, 2),
+    ]
