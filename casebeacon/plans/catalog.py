@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from casebeacon.functions import expressions as X
 from casebeacon.operators import alerts, cleaning, envelope, evaluation, histograms, merge, metrics
 from casebeacon.operators import windows as W
-from casebeacon.plans import models, snapshots, views
+from casebeacon.plans import models, rollups, snapshots, views
 from casebeacon.schemas import CASE_PREDICTIONS, OUTBREAK_PREDICTIONS
 from casebeacon.session import work_dir
 from casebeacon.sources import files, jdbc, kafka, keyed
@@ -196,6 +196,24 @@ def dashboard_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snapshots.as_json(snapshots.dashboard_snapshot(views.cases(spark, sf_dir), "ts"))
 
 
+@query
+def dashboard_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same document after three batches of changes: most cases, some of them wrong; corrections; the rest."""
+    path, cases = work_dir(spark, "rollups"), views.cases(spark, sf_dir).drop("event_id")
+    number = F.substring("case_id", 2, 20).cast("bigint")
+    late, wrong = number % 3 == 2, number % 7 == 0
+    early = cases.where(~late)
+    spoilt = early.where(wrong).withColumns(
+        {"region_id": F.lit("nowhere"), "patient_age": F.col("patient_age") + 40, "ts": F.col("ts") + F.expr("INTERVAL '400' DAY"), "rapid_test_result": F.lit("positive")}
+    )
+    first = early.where(~wrong).unionByName(spoilt)
+    rollups.add_batch(path, 0, first, None, first, "ts")
+    rollups.add_batch(path, 1, early.where(wrong), spoilt, early, "ts")
+    rollups.sum_up(spark, path)
+    rollups.add_batch(path, 2, cases.where(late), None, cases, "ts")
+    return snapshots.as_json(rollups.dashboard(spark, path, cases, "ts"))
+
+
 @query
 def analytics_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """From a stored window table, as the window job leaves it; several sections read it."""

@@ -709,3 +709,4 @@ JOIN ({_INDEX.format(c='gender')}) g ON g.category = c.gender""",
 }
 
 ORACLE["upsert_stored_cases"] = ORACLE["upsert_cases"]
+ORACLE["dashboard_rollups"] = ORACLE["dashboard_snapshot"]

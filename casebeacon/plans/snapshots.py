@@ -30,17 +30,25 @@ def breakdowns(cases: DataFrame) -> DataFrame:
     The scan is reduced to one row per region and gender; everything else is added up from
     those rows.
     """
-    ages, rains = histograms.age_members(), histograms.rain_members()
-    sums = {"total": F.count("*"), "positive": F.count_if(X.is_positive())}
-    for prefix, members in (("age", ages), ("rain", rains)):
+    sums = {name: F.count_if(member) for name, member in counted().items()}
+    return breakdowns_of(cases.groupBy("region_id", "gender").agg(*(v.alias(k) for k, v in sums.items())))
+
+
+def counted() -> dict[str, Column]:
+    """What the sections count: the name of each number and the cases that it counts."""
+    conditions = {"total": F.lit(True), "positive": X.is_positive()}
+    for prefix, members in (("age", histograms.age_members()), ("rain", histograms.rain_members())):
         for i, member in enumerate(members):
-            sums[f"{prefix}{i}_total"] = F.count_if(member)
-            sums[f"{prefix}{i}_positive"] = F.count_if(member & X.is_positive())
-    cube = cases.groupBy("region_id", "gender").agg(*(v.alias(k) for k, v in sums.items()))
+            conditions[f"{prefix}{i}_total"] = member
+            conditions[f"{prefix}{i}_positive"] = member & X.is_positive()
+    return conditions
+
 
+def breakdowns_of(cube: DataFrame) -> DataFrame:
+    """The sections of `breakdowns` from the numbers of `counted` per region and gender."""
     regrouped = cube.groupingSets(
         [["region_id"], ["gender"], []], "region_id", "gender"
-    ).agg(F.grouping_id().alias("gid"), *(F.sum(k).alias(k) for k in sums))
+    ).agg(F.grouping_id().alias("gid"), *(F.sum(k).alias(k) for k in counted()))
     by_region, by_gender, overall = F.col("gid") == 1, F.col("gid") == 2, F.col("gid") == 3
 
     def bins(prefix: str, labels: list[str]) -> Column:
@@ -95,7 +103,11 @@ def recent_list(cases: DataFrame, ts: str, n: int) -> DataFrame:
 
 def timeline_list(cases: DataFrame, ts: str, n: int) -> DataFrame:
     """The newest time buckets as one array, oldest first; at most ``n`` rows are collected."""
-    buckets = metrics.last_buckets(metrics.cases_per_minute(cases, ts), n)
+    return timeline_of(metrics.cases_per_minute(cases, ts), n)
+
+
+def timeline_of(per_minute: DataFrame, n: int) -> DataFrame:
+    buckets = metrics.last_buckets(per_minute, n)
     rows = buckets.select(F.struct("bucket", "label", "total", "positive").alias("row"))
     return rows.agg(F.sort_array(F.collect_list("row")).alias("buckets"))
 
@@ -104,11 +116,12 @@ def dashboard_snapshot(
     cases: DataFrame, ts: str = "timestamp", recent: int = 20, buckets: int = 30
 ) -> DataFrame:
     """Totals, region table, newest cases and chart arrays in one row."""
-    parts = breakdowns(cases).select(
-        "*",
-        recent_list(cases, ts, recent).scalar().alias("recent_cases"),
-        timeline_list(cases, ts, buckets).scalar().alias("timeline"),
-    )
+    return dashboard_of(breakdowns(cases), recent_list(cases, ts, recent), timeline_list(cases, ts, buckets))
+
+
+def dashboard_of(sections: DataFrame, recent: DataFrame, timeline: DataFrame) -> DataFrame:
+    """The document from its three parts, each of one row."""
+    parts = sections.select("*", recent.scalar().alias("recent_cases"), timeline.scalar().alias("timeline"))
     charts = F.struct(
         _pick("regions", "region_id").alias("region_labels"),
         _pick("regions", "total_cases").alias("region_totals"),

@@ -11,7 +11,7 @@ from casebeacon.plans import catalog, snapshots, views
 
 # Streams, models and file round trips run while their DataFrame is built.
 BUILT_EAGERLY = {
-    "alert_log_sink", "analytics_snapshot", "assemble_features", "at_least_once_commit", "case_risk_model", "category_index", "dead_letter_sink",
+    "alert_log_sink", "analytics_snapshot", "assemble_features", "at_least_once_commit", "case_risk_model", "category_index", "dashboard_rollups", "dead_letter_sink",
     "evaluate_model", "key_locality", "lag_report", "model_load", "model_save", "outbreak_model",
     "read_raw_json", "retry_then_dead_letter", "run_case_model", "run_outbreak_model", "score_cases", "score_windows", "stream_ingest",
     "stream_live_totals", "stream_outbreak_alerts", "stream_region_windows", "sync_predictions", "upsert_stored_cases",
