@@ -6,7 +6,7 @@ manifest (a table that Spark commits) count, so lost executors and repeated task
 
 Reading: records are checked (gzip checksum, version line, lengths, block digest). After a failed
 check the reader looks for the next place where a valid member or version line begins, goes on from
-there, and reports the bytes in between as a gap.
+there, also inside a member, and reports the bytes in between as a gap.
 """
 
 from __future__ import annotations
@@ -31,7 +31,9 @@ ROLL_BYTES = 64_000_000
 STEP = 1 << 20
 VERSION = re.compile(rb"WARC/1\.[01]\r\n")
 MAGIC = b"\x1f\x8b\x08"
-MAX_HEADER = 1 << 16
+PIECE = 1 << 16  # compressed bytes that are inflated at a time
+NO_HEADER = re.compile(rb"\r\n[^:\r\n]+\r\n")  # a line without colon
+NO_START = "no member or version line"
 
 RECORD = "file string, offset long, length long, record_type string, target_uri string, record_id string, refers_to string, payload_bytes long, payload_digest string, payload binary"
 GAP = "file string, gap_start long, gap_end long, reason string"
@@ -100,7 +102,11 @@ def record_bytes(page_id, url, html: str, refers_to) -> bytes:
 
 
 def write_archives(pages: DataFrame, folder: str, min_bytes: int = 0, roll_bytes: int = ROLL_BYTES) -> DataFrame:
-    """Writes one record per page below ``folder`` and returns the manifest (file, n_records, n_bytes)."""
+    """Writes one record per page below ``folder`` and returns the manifest (file, n_records, n_bytes).
+
+    A null html is an empty payload, a null url an empty one; repeated rows and null ids get records of their own;
+    an empty table writes no file.
+    """
     rows = with_roles(pages, min_bytes)
 
     def write(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -143,16 +149,23 @@ def _as_pandas(work):
 
 @dataclass
 class Salvage:
-    """Reads one archive from a stream, holding one record and a little look-ahead at a time."""
+    """Reads one archive from a stream, holding one record and a little look-ahead at a time.
+
+    A gzip member may hold any number of records. Its last record counts once the member's checksum holds;
+    those before it count as soon as the next one has begun, so damage costs the record that it hits.
+    ``plain`` reads the inside of a member, where no further members are looked for.
+    """
 
     stream: io.RawIOBase
     name: str
+    plain: bool = False
     gaps: list[tuple[str, int, int, str]] = field(default_factory=list)
     held: bytes = b""
     at: int = 0  # file offset of held[0]
     ended: bool = False
+    bad: tuple[int, str] | None = None  # where the open gap began, and why
 
-    def _fill(self, size: int) -> bool:
+    def fill(self, size: int) -> bool:
         parts, have = [self.held], len(self.held)
         while have < size and not self.ended:
             more = self.stream.read(max(STEP, size - have))
@@ -167,82 +180,129 @@ class Salvage:
         self.held = self.held[size:]
         self.at += size
 
+    def _close_gap(self, end: int) -> None:
+        if self.bad:
+            self.gaps.append((self.name, self.bad[0], end, self.bad[1]))
+            self.bad = None
+
+    def _skip(self, why: str) -> None:
+        self.bad = self.bad or (self.at, why)
+        self._drop(self._next_start())
+
     def records(self) -> Iterator[tuple]:
-        bad: tuple[int, str] | None = None
-        while self._fill(1):
-            row, size, why = self._parse()
-            if row is not None or why == "":
-                if bad:
-                    self.gaps.append((self.name, bad[0], self.at, bad[1]))
-                    bad = None
-                if row is not None:
-                    yield (self.name, self.at, size, *row)
-                self._drop(size)
+        """(file, offset, length, *fields); records that share a member have its offset and no length."""
+        while self.fill(1):
+            self.fill(16)
+            if not self.plain and self.held.startswith(MAGIC):
+                yield from self._member()
+                continue
+            row, size, why = self._parse_plain()
+            if why:
+                self._skip(why)
                 continue
-            bad = bad or (self.at, why)
-            self._drop(self._next_start())
-        if bad:
-            self.gaps.append((self.name, bad[0], self.at, bad[1]))
+            if row is not None:
+                self._close_gap(self.at)
+                yield (self.name, self.at, size, *row)
+            self._drop(size)
+        self._close_gap(self.at)
 
     def _next_start(self) -> int:
         """Bytes up to the next possible beginning of a member or record after the current byte."""
+        starts = (b"WARC/1.",) if self.plain else (MAGIC, b"WARC/1.")
         while True:
-            self._fill(STEP)
-            found = [i for i in (self.held.find(MAGIC, 1), self.held.find(b"WARC/1.", 1)) if i > 0]
+            self.fill(STEP)
+            found = [i for i in (self.held.find(s, 1) for s in starts) if i > 0]
             if found:
                 return min(found)
             if self.ended:
                 return len(self.held)
             self._drop(len(self.held) - 8)
 
-    def _parse(self) -> tuple[tuple | None, int, str]:
+    def _member(self) -> Iterator[tuple]:
+        begin, inflated = self.at, Inflated(self)
+        inside = Salvage(inflated, self.name, plain=True)
+        last, several, after = None, False, 0
+        for _, offset, size, *row in inside.records():
+            if last is not None:
+                several = True
+                self._close_gap(begin)
+                yield (self.name, begin, None, *last)
+                # Should the member fail further on, the search goes on from the last record that was read.
+                self._drop(inflated.place(offset) - self.at)
+            last, after = row, offset + size
+        if not inflated.unpack.eof:
+            if last is not None and any(at == after and why != NO_START for _, at, _, why in inside.gaps):
+                self._close_gap(begin)
+                yield (self.name, begin, None, *last)
+                self._drop(inflated.place(after) - self.at)
+            self._skip(inflated.why)
+            return
+        end = inflated.next
+        if last is not None:
+            self._close_gap(begin)
+            self.gaps += [(self.name, begin, end, why) for _, _, _, why in inside.gaps[:1]]
+            yield (self.name, begin, None if several else end - begin, *last)
+        elif inside.gaps:
+            self.bad = self.bad or (begin, inside.gaps[0][3])
+        self._drop(end - self.at)
+
+    def _parse_plain(self) -> tuple[tuple | None, int, str]:
         """(record, bytes used, "") or (None, 0, reason); (None, bytes, "") for empty lines between records."""
-        self._fill(16)
-        if self.held.startswith(MAGIC):
-            return self._parse_member()
-        if VERSION.match(self.held):
-            return self._parse_plain()
-        blank = len(self.held) - len(self.held.lstrip(b"\r\n"))
-        if blank:
-            return None, blank, ""
-        return None, 0, "no member or version line"
-
-    def _parse_member(self):
-        unpack, used, out = zlib.decompressobj(31), 0, []
-        try:
-            while not unpack.eof:
-                if not self._fill(used + 1):
-                    return None, 0, "truncated member"
-                part = self.held[used : used + STEP]
-                out.append(unpack.decompress(part))
-                used += len(part) - len(unpack.unused_data)
-        except zlib.error as error:
-            return None, 0, f"gzip: {str(error)[:80]}"
-        data = b"".join(out)
-        row, size, why = parse_record(data, len(data))
-        if row is None:
-            return None, 0, why
-        if data[size:].strip(b"\r\n"):
-            return None, 0, "bytes after the record in its member"
-        return row, used, ""
-
-    def _parse_plain(self):
-        want = 0
+        if not VERSION.match(self.held):
+            blank = len(self.held) - len(self.held.lstrip(b"\r\n"))
+            return None, blank, "" if blank else NO_START
         while True:
             row, size, why = parse_record(self.held)
             if why != "truncated" or self.ended:
                 return row, size, why
-            want = max(2 * want, len(self.held) + STEP)
-            self._fill(want)
-
-
-def parse_record(data: bytes, most: int = MAX_HEADER) -> tuple[tuple | None, int, str]:
-    """The record at the beginning of ``data``, whose header ends within ``most`` bytes: (fields, size, "") or (None, 0, reason)."""
+            self.fill(2 * len(self.held) + STEP)
+
+
+class Inflated:
+    """The contents of the gzip member at an archive's current byte, inflated piece by piece as they are read."""
+
+    def __init__(self, archive: Salvage) -> None:
+        self.archive, self.unpack, self.why = archive, zlib.decompressobj(31), ""
+        self.next = archive.at  # file offset of the next byte to inflate
+        self.made = 0
+        self.pieces: list[tuple[int, int]] = []  # (first byte made, file offset) of every piece since the last record
+
+    def read(self, size: int) -> bytes:
+        while not self.unpack.eof and not self.why:
+            at = self.next - self.archive.at
+            if not self.archive.fill(at + 1):
+                self.why = "truncated member"
+                break
+            piece = self.archive.held[at : at + PIECE]
+            try:
+                data = self.unpack.decompress(piece)
+            except zlib.error as error:
+                self.why = f"gzip: {str(error)[:80]}"
+                break
+            self.pieces.append((self.made, self.next))
+            self.next += len(piece) - len(self.unpack.unused_data)
+            self.made += len(data)
+            if data:
+                return data
+        return b""
+
+    def place(self, offset: int) -> int:
+        """File offset of the piece that made the byte at ``offset``; earlier pieces are forgotten."""
+        while len(self.pieces) > 1 and self.pieces[1][0] <= offset:
+            del self.pieces[0]
+        return self.pieces[0][1]
+
+
+def parse_record(data: bytes) -> tuple[tuple | None, int, str]:
+    """The record at the beginning of ``data``: (fields, size, "") or (None, 0, reason).
+
+    A header may be of any length; one that has not ended yet is given up once it holds what no header holds.
+    """
     if not VERSION.match(data):
         return None, 0, "no version line"
-    head = data.find(b"\r\n\r\n", 0, most)
+    head = data.find(b"\r\n\r\n")
     if head < 0:
-        return None, 0, "truncated" if len(data) < most else "endless header"
+        return None, 0, "no header" if NO_HEADER.search(data) else "truncated"
     fields: dict[str, str] = {}
     for line in data[:head].split(b"\r\n")[1:]:
         key, colon, value = line.partition(b":")
@@ -279,7 +339,7 @@ def parse_record(data: bytes, most: int = MAX_HEADER) -> tuple[tuple | None, int
 def read_archives(files: DataFrame, folder: str = "", payloads: bool = True) -> tuple[DataFrame, DataFrame]:
     """(records, gaps) of the archives named in column ``file``, relative to ``folder`` if given.
 
-    Each task streams whole files, one record in memory at a time. A missing file is an error; an empty one
+    Each task streams whole files, one record in memory at a time, whether members hold one record or all. A missing file is an error; an empty one
     has neither records nor gaps. ``payloads=False`` leaves the payload null. Both tables
     come from one pass, written to the shared folder.
     """

@@ -97,3 +97,51 @@ def test_header_of_a_very_long_url(spark, run_dir):
     records, gaps = warc.read_archives(warc.write_archives(pages, run_dir), run_dir)
     assert {r.target_uri for r in records.collect()} == {url, "http://b.example/"}
     assert gaps.count() == 0
+
+
+def names(rows):
+    return [r[5] for r in rows]
+
+
+def test_member_that_holds_all_records():
+    plain = [gzip.decompress(record(i, f"<p>{i}</p>" * rng_size)) for i, rng_size in enumerate((50, 1, 400_000, 3, 50))]
+    data = gzip.compress(b"".join(plain))
+    rows, gaps = read(data)
+    assert names(rows) == [f"<urn:page:{i}>" for i in range(5)] and gaps == []
+    assert {r[1:3] for r in rows} == {(0, None)}
+    # A bad record inside costs itself and leaves one gap, the member's.
+    bad = plain[:2] + [plain[2].replace(b"<p>2", b"<p>9", 1)] + plain[3:]
+    rows, gaps = read(gzip.compress(b"".join(bad)))
+    assert names(rows) == [f"<urn:page:{i}>" for i in (0, 1, 3, 4)]
+    assert [g[1:] for g in gaps] == [(0, len(gzip.compress(b"".join(bad))), "block digest")]
+    # A member that breaks off keeps what came before, and the next member is found.
+    rng = random.Random(4)
+    noise = [gzip.decompress(record(i, "".join(rng.choice("abcdefghijklmnop") for _ in range(200_000)))) for i in range(4)]
+    cut = gzip.compress(b"".join(noise))
+    cut = cut[: len(cut) * 7 // 10]
+    rows, gaps = read(cut + record(9, "after"))
+    assert names(rows) == ["<urn:page:0>", "<urn:page:1>", "<urn:page:9>"]
+    assert len(gaps) == 1 and gaps[0][2] == len(cut)
+
+
+def test_a_member_of_many_records_is_never_held_whole():
+    rng = random.Random(5)
+    plain = b"".join(gzip.decompress(record(i, "".join(rng.choice("abcdefghijklmnop") for _ in range(20_000)))) for i in range(300))
+    salvage, most, n = warc.Salvage(io.BytesIO(gzip.compress(plain)), "f"), 0, 0
+    for _ in salvage.records():
+        most, n = max(most, len(salvage.held)), n + 1
+    assert n == 300 and most < 3 * warc.STEP < len(plain)
+
+
+def test_long_headers_in_plain_archives():
+    members = [gzip.decompress(warc.record_bytes(i, "http://a/" + "x" * n, "text", None)) for i, n in enumerate((5, 70_000, 3_000_000, 5))]
+    rows, gaps = read(b"".join(members))
+    assert names(rows) == [f"<urn:page:{i}>" for i in range(4)] and gaps == []
+    rows, gaps = read(b"WARC/1.1\r\nno colon\r\n" + b"z" * 3_000_000 + members[0])
+    assert names(rows) == ["<urn:page:0>"] and len(gaps) == 1
+
+
+def test_members_without_records():
+    assert read(gzip.compress(b"")) == ([], [])
+    rows, gaps = read(gzip.compress(b"junk") + record(1, "a"))
+    assert names(rows) == ["<urn:page:1>"] and len(gaps) == 1
