@@ -12,8 +12,6 @@ from pyspark.sql import functions as F
 
 from casebeacon.llm.tables import stored
 
-MAX_LABELS = 128  # a host name has at most 253 characters, so at most 127 labels
-
 
 def intervals(entries: DataFrame) -> DataFrame:
     """(list, kind, value, since, until, removed) from a log (list, kind, value, action, at).
@@ -44,12 +42,13 @@ def url_path(url: Column) -> Column:
 def lookup_keys(url: Column) -> Column:
     """Array of (kind, value): the host, each domain above it, and each folder of the path.
 
-    Its length follows the URL's own length; a null or unreadable URL has no keys.
+    Its length follows the URL's own length, however many labels or folders that has; a null or unreadable URL
+    has no keys.
     """
     host, path = url_host(url), url_path(url)
     labels = F.split(host, r"\.")
     domains = F.transform(
-        F.sequence(F.lit(1), F.least(F.size(labels), F.lit(MAX_LABELS))),
+        F.sequence(F.lit(1), F.size(labels)),
         lambda i: F.struct(F.lit("domain").alias("kind"), F.array_join(F.slice(labels, i, F.size(labels)), ".").alias("value")),
     )
     parts = F.filter(F.split(path, "/"), lambda p: p != "")
