@@ -19,6 +19,8 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from casebeacon.llm.tables import stored
+
 SAMPLE_ROWS = 3000  # labelled texts per class brought to the driver
 SAMPLE_BYTES = 24_000_000  # and their total size per class
 DICTIONARY_BYTES = 262_144
@@ -85,19 +87,27 @@ def _logistic(x: np.ndarray, y: np.ndarray, steps: int = 60, ridge: float = 1e-3
 
 
 def train(docs: DataFrame, labels: DataFrame, column: str = "quality", rows: int = SAMPLE_ROWS, size: int = SAMPLE_BYTES) -> Classifier:
-    """Fit on a bounded sample: ``rows`` texts per class in hash order, cut off after ``size`` bytes.
+    """Fit on a bounded sample: ``rows`` labelled texts per class in hash order, cut off after ``size`` bytes.
+
+    The sample is drawn among labelled ids that have a text in ``docs``, a null or one of more than ``size`` / 8
+    bytes not counted. An id labelled both good and bad says nothing and is left out; repeated rows of an id
+    with the same text count once.
 
     Every second sampled text goes to the dictionaries, the others fit the curve. Without texts
     of one class the difference says nothing, so every text gets the same score: the share of good labels,
     or 0.5 without labels.
     """
-    marks = labels.select(F.col("doc_id").alias("id"), F.col(column).cast("int").alias("label")).filter("label in (0, 1)").dropDuplicates(["id"])
+    marks = labels.select(F.col("doc_id").alias("id"), F.col(column).cast("int").alias("label")).filter("label in (0, 1)")
+    marks = marks.groupBy("id").agg(F.min("label").alias("label"), F.max("label").alias("other")).filter("label = other").drop("other")
+    texts = docs.select("doc_id", F.col("text").cast("binary").alias("text")).filter(F.length("text") <= size // 8)
+    texts = texts.withColumn("t", F.xxhash64("text"))
+    drawn = texts.select("doc_id", "t").join(marks, F.col("doc_id") == F.col("id")).select("id", "t", "label").distinct()
     picked = None
     for label in (0, 1):
-        part = marks.filter(F.col("label") == label).orderBy(F.xxhash64("id"), "id").limit(rows)
+        part = drawn.filter(F.col("label") == label).orderBy(F.xxhash64("id"), "id", "t").limit(rows)
         picked = part if picked is None else picked.union(part)
-    texts = docs.select("doc_id", F.col("text").cast("binary").alias("text")).filter("text is not null")
-    sample = texts.join(F.broadcast(picked), F.col("doc_id") == F.col("id")).filter(F.length("text") <= size // 8)
+    picked = stored(picked, "classifier-sample")
+    sample = texts.join(F.broadcast(picked), (F.col("doc_id") == F.col("id")) & (texts.t == picked.t)).drop(picked.t).dropDuplicates(["id", "t"])
     groups: dict[int, list[bytes]] = {0: [], 1: []}
     held = [0, 0]
     for row in sample.select("label", "text", F.xxhash64("doc_id").alias("h")).orderBy("h", "label", "text").toLocalIterator():
@@ -122,7 +132,7 @@ def score(docs: DataFrame, model: Classifier, threshold: float = 0.3) -> DataFra
     """``docs`` with score (0 to 1) and predicted (score >= threshold) of each whole text.
 
     Null and empty texts get the share of good labels. Repeated rows and null ids are scored like
-    others; existing columns named score or predicted are replaced; an empty table stays empty.
+    others, and texts of any length piece by piece; existing columns named score or predicted are replaced; an empty table stays empty.
     """
     docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("score", "predicted")])
     sent = docs.sparkSession.sparkContext.broadcast(model)  # two dictionaries of DICTIONARY_BYTES
