@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from casebeacon.llm.tables import stored
+from casebeacon.llm.tables import stored, unused_name
 
 WEIGHTS = (3, 1, 2)
 BUDGET = (150, 100)  # share of all words, as a fraction
@@ -63,37 +63,38 @@ def schedule(docs: DataFrame, weights: Sequence[int] = WEIGHTS, budget: tuple[in
     The clock columns are those of the first pass; a later pass adds source_size / target. taken is the number
     of words served before the budget ends, over all passes. A document without words takes
     nothing. Null sources form a queue of their own; null ids and repeated rows are documents like
-    others, equal rows in any order among themselves. Columns of ``docs`` with a name used here are
-    replaced. An empty table gives an empty schedule.
+    others, equal rows in any order among themselves. Columns of ``docs`` named like one of the six are
+    replaced, all others stay. A text of any length is one document. An empty table gives an empty schedule.
 
     The running sums are split: the hash order is cut into buckets of about ``BUCKET_ROWS`` rows,
     the bucket totals of a source are summed in order, and rows are summed inside their bucket, so
     a source with a third of all rows is spread over many tasks.
     """
-    own = {"size", "source_size", "target", "virtual_start", "virtual_finish", "taken", "place", "bucket", "tie", "within", "before", "s", "b"}
-    rows = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in own])
-    place = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("doc_id").cast("string")).cast("binary"))
-    rows = rows.withColumns({"size": text_size(F.col("text")), "place": place, "tie": F.xxhash64("text")})
+    replaced = {"size", "source_size", "target", "virtual_start", "virtual_finish", "taken"}
+    rows = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in replaced])
+    place, bucket, tie, within, before, s, b = (unused_name(docs.columns, n) for n in ("place", "bucket", "tie", "within", "before", "s", "b"))
+    hashed = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("doc_id").cast("string")).cast("binary"))
+    rows = rows.withColumns({"size": text_size(F.col("text")), place: hashed, tie: F.xxhash64("text")})
     # 16 ** digits buckets per source, so that the largest source has about BUCKET_ROWS rows in each.
     largest = docs.groupBy("source").count().agg(F.max("count")).first()[0] or 0
     digits = next(d for d in range(1, 33) if largest <= BUCKET_ROWS * 16**d)
-    rows = rows.withColumn("bucket", F.substring("place", 1, digits))
-    totals = stored(rows.groupBy("source", "bucket").agg(F.sum("size").alias("size")), "mix-totals")
+    rows = rows.withColumn(bucket, F.substring(place, 1, digits))
+    totals = stored(rows.groupBy("source", F.col(bucket).alias("bucket")).agg(F.sum("size").alias("size")), "mix-totals")
     in_order = Window.partitionBy("source").orderBy("bucket")
-    totals_before = totals.select(F.col("source").alias("s"), F.col("bucket").alias("b"), (F.sum("size").over(in_order) - F.col("size")).alias("before"))
+    totals_before = totals.select(F.col("source").alias(s), F.col("bucket").alias(b), (F.sum("size").over(in_order) - F.col("size")).alias(before))
     targets = source_targets(totals.groupBy("source").agg(F.sum("size").alias("source_size")), weights, budget, repeats)
-    heads = stored(totals_before.join(targets, F.col("s").eqNullSafe(F.col("source"))).drop("source"), "mix-heads")
+    heads = stored(totals_before.join(targets, F.col(s).eqNullSafe(F.col("source"))).drop("source"), "mix-heads")
 
-    within = Window.partitionBy("source", "bucket").orderBy("place", "doc_id", "tie").rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumn("within", F.coalesce(F.sum("size").over(within), F.lit(0)))
-    rows = rows.join(heads, F.col("source").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b")))
-    start = F.col("before") + F.col("within")
+    order = Window.partitionBy("source", bucket).orderBy(place, "doc_id", tie).rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn(within, F.coalesce(F.sum("size").over(order), F.lit(0)))
+    rows = rows.join(heads, F.col("source").eqNullSafe(F.col(s)) & (F.col(bucket) == F.col(b)))
+    start = F.col(before) + F.col(within)
     clock = lambda words: F.when(F.col("target") > 0, words / F.col("target")).otherwise(F.lit(0.0))
     # At virtual time 1 every source has been served its target, and the budget is used up.
     served = F.floor("target").cast("long")
     taken = sum(F.least(F.greatest(served - start - n * F.col("source_size"), F.lit(0)), F.col("size")) for n in range(repeats))
     rows = rows.withColumns({"virtual_start": clock(start), "virtual_finish": clock(start + F.col("size")), "taken": taken.cast("long")})
-    return rows.drop("s", "b", "before", "within", "bucket", "tie", "place")
+    return rows.drop(place, bucket, tie, within, before, s, b)
 
 
 def in_queue_order(scheduled: DataFrame) -> DataFrame:

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from casebeacon.llm import text as tx
-from casebeacon.llm.tables import discard, stored
+from casebeacon.llm.tables import discard, stored, unused_name
 
 LENGTH = 200
 SEGMENT = 1_000_000  # window starts handled at once inside one long text
@@ -239,9 +239,10 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, texts: bool = True) ->
     ``texts=False`` leaves kept_text null and spans empty.
     """
     rest = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in NAMES and c != "text"]
+    filler = unused_name(docs.columns, "filler")  # a struct needs a field, even if docs holds texts only
     repeats = repeated_windows(docs, length)
     spans = stored(repeats.groupBy("t").agg(F.collect_list(F.struct("start", "n")).alias("runs")), "suffix-spans")
     discard(repeats)
-    rows = docs.select("text", F.struct(*rest, F.lit(0).alias("__")).alias("row"), text_key().alias("t")).join(spans, "t", "left").select("text", "runs", "row")
+    rows = docs.select("text", F.struct(*rest, F.lit(0).alias(filler)).alias("row"), text_key().alias("t")).join(spans, "t", "left").select("text", "runs", "row")
     cut = rows.mapInArrow(_cut(length, texts), f"row {rows.schema['row'].dataType.simpleString()}, {ADDED}")
-    return cut.select("row.*", *NAMES).drop("__")
+    return cut.select("row.*", *NAMES).drop(filler)

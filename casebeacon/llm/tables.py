@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,6 +55,14 @@ def stored(df: DataFrame, label: str, settings: dict[str, str] | None = None) ->
     return out
 
 
+def unused_name(columns: Sequence[str], name: str) -> str:
+    """``name``, with underscores before it as long as one of ``columns`` has that name."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def small_side(table: DataFrame) -> DataFrame:
     """A stored table of two numbers a row, marked for broadcasting if it is counted to have few rows.
 

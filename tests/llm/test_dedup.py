@@ -241,3 +241,9 @@ def test_settings_hold_while_a_table_is_written(spark):
     out = tables.stored(spark.range(0, 9000, 1, 1).mapInArrow(sizes, "n long"), "sizes", tables.SIEVED)
     assert max(r.n for r in out.collect()) == int(tables.WHILE_WRITING[name])
     assert before == {k: spark.conf.get(k) for k in before}
+
+
+def test_suffix_dedup_keeps_columns_with_names_of_its_own(spark):
+    docs = frame(spark, {1: "x" * 300, 2: None}).withColumns({"__": F.lit("a"), "Filler": F.lit("b"), "t": F.lit("c"), "runs": F.lit("d")})
+    got = suffix_dedup.remove_repeats(docs).collect()
+    assert [(r["__"], r["Filler"], r["t"], r["runs"]) for r in got] == [("a", "b", "c", "d")] * 2
