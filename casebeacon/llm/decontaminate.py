@@ -3,8 +3,8 @@
 The index holds the test items, cut into parts of at most ``PART`` words: postings with impacts
 that are divided by the part's own threshold (``SHARE`` of the score that the part gives itself), so
 a score of 1 is the threshold of every part. Parts are grouped into blocks, and each term keeps its
-largest impact per block. In a large index a passage's terms are sorted by their largest impact; those that cannot
-reach 1 together open no block (the pivot of WAND) and the others open theirs; in a small one all blocks are open. A block stays
+largest impact per block. A passage's terms are sorted by their largest impact; those that cannot
+reach 1 together open no block (the pivot of WAND) and the others open theirs. A block stays
 if the block maxima of all terms reach 1, and only its postings are scored. All passages of a
 block of text go through these steps together as arrays. Parts found are verified on the words: most
 shingles of the question and most words of the answer have to occur around the passage.
@@ -28,7 +28,6 @@ SHARE = 0.5
 PART = 256
 BLOCK_PARTS = 4
 SHARD_BYTES = 32_000_000  # test text per broadcast index; more items make more indexes
-DENSE = 4_000_000  # passages x blocks that are summed without looking for a pivot first
 QUESTION_OVERLAP, ANSWER_OVERLAP = 0.75, 0.5
 
 
@@ -59,8 +58,36 @@ class Item:
     several: bool  # cut into parts
 
 
+class Statistics:
+    """What BM25 has to know of all parts together: their number, mean and largest length, parts per word.
+
+    Holds 16 bytes per different word of the test items.
+    """
+
+    def __init__(self) -> None:
+        self.words, self.df = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.n = self.length = self.longest = 0
+
+    def add(self, parts: list[np.ndarray]) -> None:
+        if not parts:
+            return
+        self.n += len(parts)
+        self.length += sum(map(len, parts))
+        self.longest = max(self.longest, *map(len, parts))
+        found, counts = np.unique(np.concatenate([np.unique(p) for p in parts]), return_counts=True)
+        words, place = np.unique(np.concatenate([self.words, found]), return_inverse=True)
+        self.df = np.bincount(place, np.concatenate([self.df, counts]), len(words)).astype(np.int64)
+        self.words = words
+
+
+def _parts(words: np.ndarray) -> list[np.ndarray]:
+    return [words[at : at + PART] for at in range(0, len(words), PART)]
+
+
 class Index:
-    def __init__(self, rows: list[tuple[int, str]]) -> None:
+    """The index of some items, weighted by the ``statistics`` of all items, their own if none are given."""
+
+    def __init__(self, rows: list[tuple[int, str]], statistics: Statistics | None = None) -> None:
         words = [_words(text) for _, text in rows]
         self.items, self.part_item, parts = [], [], []
         for (item_id, text), own in zip(rows, words, strict=True):
@@ -71,15 +98,17 @@ class Index:
             size = min(tx.SHINGLE, len(own))
             shingles = tx.shingle_hashes(own, size)
             asked = shingles[: max(0, split - size + 1)] if split >= size else shingles
-            for at in range(0, len(own), PART):
-                parts.append(own[at : at + PART])
-                self.part_item.append(len(self.items))
+            parts += _parts(own)
+            self.part_item += [len(self.items)] * (len(parts) - len(self.part_item))
             self.items.append(Item(item_id, np.unique(asked), np.unique(own[split:]), size, len(own) > PART))
-        self.stride = int(max([32, *map(len, parts)]))
+        if statistics is None:
+            statistics = Statistics()
+            statistics.add(parts)
+        self.stride = max(32, statistics.longest)
         self.part_item = np.array(self.part_item, np.int64)
-        self._post(parts)
+        self._post(parts, statistics)
 
-    def _post(self, parts: list[np.ndarray]) -> None:
+    def _post(self, parts: list[np.ndarray], statistics: Statistics) -> None:
         lengths = np.array([len(p) for p in parts], float)
         flat = np.concatenate([np.zeros(0, np.uint64), *parts])
         self.vocabulary, term = np.unique(flat, return_inverse=True)
@@ -89,9 +118,9 @@ class Index:
         part = np.repeat(np.arange(len(parts)), lengths.astype(int))
         keys, tf = np.unique(term * max(1, len(parts)) + part, return_counts=True)
         term, part = keys // max(1, len(parts)), keys % max(1, len(parts))
-        df = np.bincount(term, minlength=len(self.vocabulary))
-        idf = np.log(1 + (len(parts) - df + 0.5) / (df + 0.5))
-        norm = K1 * (1 - B + B * lengths / max(1.0, lengths.mean() if len(parts) else 1.0))
+        df = statistics.df[np.searchsorted(statistics.words, self.vocabulary)]
+        idf = np.log(1 + (statistics.n - df + 0.5) / (df + 0.5))
+        norm = K1 * (1 - B + B * lengths / max(1.0, statistics.length / max(1, statistics.n)))
         impact = idf[term] * tf * (K1 + 1) / (tf + norm[part])
         self.threshold = SHARE * np.bincount(part, impact, len(parts))
         self.part, self.impact = part, impact / np.maximum(self.threshold[part], 1e-12)
@@ -135,12 +164,11 @@ class Index:
 
     def _open_blocks(self, passage: np.ndarray, term: np.ndarray, slack: float) -> np.ndarray:
         """Keys (passage, block), ascending, whose block maxima reach the threshold over all terms of the passage."""
+        if not len(passage):
+            return np.zeros(0, np.int64)
         counts = np.diff(self.block_begin)
-        space = (int(passage[-1]) + 1) * self.n_blocks if len(passage) else 0
         owner, at = _expand(self.block_begin[term], counts[term])
         keys, bounds = passage[owner] * self.n_blocks + self.block[at], self.block_max[at]
-        if space <= DENSE:  # few blocks: every one is summed
-            return np.flatnonzero(np.bincount(keys, bounds, space) >= slack)
         # Only a term that can lift the ones below it over the threshold opens blocks (the pivot).
         order = np.lexsort((self.term_max[term], passage))
         passage, term = passage[order], term[order]
@@ -226,24 +254,34 @@ LEAKS = "array<struct<item_id: long, score: double, question_overlap: double, an
 _ARROW = pa.list_(pa.struct([("item_id", pa.int64()), ("score", pa.float64()), ("question_overlap", pa.float64()), ("answer_overlap", pa.float64())]))
 
 
-def _shards(items: DataFrame) -> Iterator[Index]:
-    """Indexes of at most ``SHARD_BYTES`` of test text each (or one longer item)."""
+def _groups(ordered: DataFrame) -> Iterator[list[tuple[int, str]]]:
+    """Items in order, at most ``SHARD_BYTES`` of text at a time (or one longer item)."""
     rows, held = [], 0
-    for row in items.select(F.col("item_id").cast("long").alias("item_id"), "text").filter("text is not null").distinct().orderBy("item_id", "text").toLocalIterator():
+    for row in ordered.toLocalIterator():
         if rows and held + len(row.text) > SHARD_BYTES:
-            yield Index(rows)
+            yield rows
             rows, held = [], 0
         rows.append((row.item_id, row.text))
         held += len(row.text)
     if rows:
-        yield Index(rows)
+        yield rows
+
+
+def _shards(items: DataFrame) -> Iterator[Index]:
+    """One index per group of items. All use the statistics of all groups, so scores don't depend on ``SHARD_BYTES``."""
+    ordered = items.select(F.col("item_id").cast("long").alias("item_id"), "text").filter("text is not null").distinct().orderBy("item_id", "text")
+    statistics, n, rows = Statistics(), 0, []
+    for n, rows in enumerate(_groups(ordered), 1):  # noqa: B007
+        statistics.add([p for _, text in rows for p in _parts(_words(text))])
+    for group in [rows] if n == 1 else _groups(ordered) if n else []:
+        yield Index(group, statistics)
 
 
 def mark_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     """``docs`` with ``leaks``: the test items found in each whole text, empty where there are none.
 
     Null and empty texts, and items without words, match nothing. Repeated rows and null ids are
-    searched like others; a column named ``leaks`` is replaced; empty tables are fine on either side.
+    searched like others, texts of any length passage by passage; a column named ``leaks`` is replaced; empty tables are fine on either side.
     The pass is a map: neither a hot source nor copies are moved. The test set is read in shards of
     a fixed size, each broadcast as one index, and every shard is one further pass over the texts.
     """

@@ -230,3 +230,85 @@ def test_list_entries_hold_from_their_day_until_the_next(spark):
     })
     assert url_filters.filter_captures(captures.filter("false"), log).collect() == []
     assert {r.blocked for r in url_filters.filter_captures(captures, log.filter("false")).collect()} == {False}
+
+
+def test_scores_do_not_depend_on_the_size_of_a_shard(spark, sf_dir, monkeypatch):
+    docs, items = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "benchmark"))
+    found = []
+    for size in (32_000_000, 2_000):
+        monkeypatch.setattr(decontaminate, "SHARD_BYTES", size)
+        rows = decontaminate.mark_leaks(docs, items).filter("size(leaks) > 0").select("doc_id", "leaks").collect()
+        found.append({(r.doc_id, x.item_id): tuple(x) for r in rows for x in r.leaks})
+    assert found[0] == found[1] and found[0]
+
+
+def test_weak_terms_open_no_block():
+    rng = random.Random(9)
+    items = [(i, "of the and " + prose(rng, 30, 5000)) for i in range(400)]
+    index = decontaminate.Index(items)
+    terms = np.unique(index._terms(decontaminate._words(items[7][1]))[1])
+    passage = np.zeros(len(terms), np.int64)
+    opened = index._open_blocks(passage, terms, 1 - 1e-9)
+    assert 7 // decontaminate.BLOCK_PARTS in opened and len(opened) < index.n_blocks / 10
+    assert 7 in index.search(passage, terms)[1]
+
+
+def test_leak_at_the_end_of_a_very_long_text(spark):
+    rng = random.Random(10)
+    item = prose(rng, 40, 10**6)
+    rows = [(1, prose(rng, 300_000, 900) + " " + item), (2, prose(rng, 200_000, 900))]
+    assert len(rows[0][1]) > 1 << 20
+    items = spark.createDataFrame([(5, item)], "item_id long, text string")
+    got = decontaminate.mark_leaks(frame(spark, rows), items).collect()
+    assert {r.doc_id: [x.item_id for x in r.leaks] for r in got} == {1: [5], 2: []}
+
+
+def test_hosts_with_very_many_labels(spark):
+    log = spark.createDataFrame([("dom", "domain", "b.com", "add", "2024-01-01")], "list string, kind string, value string, action string, at string").withColumn("at", F.to_date("at"))
+    rows = [(1, "http://" + "x." * 140 + "b.com/", "2024-01-03"), (2, "http://" + "x." * 140 + "c.com/", "2024-01-03")]
+    captures = spark.createDataFrame(rows, "page_id long, url string, fetched_at string").withColumn("fetched_at", F.to_date("fetched_at"))
+    assert {r.page_id: r.blocked for r in url_filters.filter_captures(captures, log).collect()} == {1: True, 2: False}
+
+
+def test_the_sample_is_drawn_among_labelled_texts(spark):
+    rng = random.Random(11)
+    rows = labelled(rng, 60)
+    docs = frame(spark, [(i, t) for i, t, _ in rows] + [(300, rows[0][1]), (0, rows[0][1])])
+    others = spark.range(1000, 9000).selectExpr("id as doc_id", "cast(id % 2 as int) as quality")
+    marks = spark.createDataFrame([(i, q) for i, _, q in rows], "doc_id long, quality int").union(others)
+    model = quality_classifier.train(docs, marks, rows=60)
+    assert model.slope > 0
+    # Contradicting labels have no effect, in whatever order they come.
+    twice = marks.union(spark.createDataFrame([(300, 0), (300, 1)], "doc_id long, quality int"))
+    assert quality_classifier.train(docs, twice.repartition(5), rows=60) == model
+
+
+def test_scores_equal_a_plain_calculation(spark):
+    import zstandard
+
+    rng = random.Random(12)
+    rows = labelled(rng, 80)
+    long = prose(rng, 200_000)
+    assert len(long) > 1 << 20
+    docs = frame(spark, [(i, t) for i, t, _ in rows] + [(900, long), (901, "é" * 700)])
+    model = quality_classifier.train(docs, spark.createDataFrame([(i, q) for i, _, q in rows], "doc_id long, quality int"))
+
+    def size(dictionary, piece):
+        kept = zstandard.ZstdCompressionDict(dictionary)
+        return len(zstandard.ZstdCompressor(level=3, dict_data=kept, write_content_size=False, write_dict_id=False).compress(piece))
+
+    for r in quality_classifier.score(docs.filter("doc_id % 20 = 0 or doc_id > 900"), model).collect():
+        data, total = r.text.encode(), 0.0
+        for at in range(0, len(data), 512):
+            good, bad = (size(d, data[at : at + 512]) for d in (model.good, model.bad))
+            total += len(data[at : at + 512]) * (bad - good) / max(good, bad)
+        assert r.score == pytest.approx(1 / (1 + np.exp(-(model.slope * total / len(data) + model.offset))), abs=1e-6)
+    assert 0 <= quality_classifier.score(docs.filter("doc_id = 900"), model).first().score <= 1
+
+
+def test_mixture_keeps_columns_with_names_of_its_own(spark):
+    names = ["place", "Bucket", "tie", "within", "before", "s", "b", "_s"]
+    docs = frame(spark, {1: "a b c", 2: "d " * 1_000_000, 3: None}).select("*", *[F.lit(n).alias(n) for n in names])
+    got = mixing.schedule(docs).collect()
+    assert all(r[n] == n for r in got for n in names)
+    assert sorted(r.size for r in got) == [0, 3, 1_000_000]
