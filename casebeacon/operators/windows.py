@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from casebeacon.functions import expressions as X
 
+SKETCH_SIZE = 800  # rank error below one hundredth
+
 
 def region_window_features(
     cases: DataFrame, window: str = "1 minute", ts: str = "timestamp"
@@ -36,32 +40,62 @@ def outbreak_threshold(windows: DataFrame, q: float = 0.75, accuracy: int = 100)
     return windows.agg(F.percentile_approx("positive_cases", q, accuracy).alias("threshold"))
 
 
+def threshold_sketches(windows: DataFrame, day: str = "date", value: str = "positive_cases", k: int = SKETCH_SIZE) -> DataFrame:
+    """One mergeable quantile sketch of a whole-number column per day, for storing: (day, sketch).
+
+    A sketch has a few KB whatever the day holds. Days without a value have none.
+    """
+    known = windows.where(F.col(value).isNotNull())
+    return known.groupBy(F.to_date(day).alias("day")).agg(F.kll_sketch_agg_bigint(F.col(value).cast("bigint"), F.lit(k)).alias("sketch"))
+
+
+def threshold_of_days(sketches: DataFrame, q: float = 0.75, by: Sequence[Column] = ()) -> DataFrame:
+    """(n, threshold) of all windows behind the sketches, per ``by``; their rank is off by one hundredth at most.
+
+    Sketches are merged map-side, so any range of days costs a read of its sketches and not of its windows.
+    """
+    merged = sketches.groupBy(*by).agg(F.kll_merge_agg_bigint("sketch").alias("sketch"), F.count("sketch").alias("days"))
+    size, threshold = F.kll_sketch_get_n_bigint("sketch"), F.kll_sketch_get_quantile_bigint("sketch", F.lit(q))
+    some = F.col("days") > 0  # a merge of nothing has no quantile
+    return merged.where(some).select(*merged.columns[:-2], size.alias("n"), F.when(some, threshold).alias("threshold"))
+
+
 def threshold_lower_quantile(windows: DataFrame, q: float = 0.75, value: str = "positive_cases") -> DataFrame:
-    """Exact lower quantile: the element at ``floor(q * (n - 1))`` of the sorted values.
+    """Exact lower quantile: the element at ``floor(q * (n - 1))`` of the sorted values; null without values.
 
-    Values are counted first, then located in two steps: the block of 65,536 neighbouring
-    values holding the element, and the element within that block. Neither running sum sees
-    more than that many rows for values below 2^32. The value column must be a whole number.
+    Radix selection: values are counted first, then the element is narrowed down by 16 bits a round, the
+    highest first and with its sign. A round counts the digits among the values that share the digits found
+    so far and picks one, so it looks at no more than 65,536 counts whatever the values are. The value column
+    must be a whole number.
     """
     if not isinstance(windows.schema[value].dataType, T.IntegralType):
         raise ValueError(f"{value} is not a whole-number column")
     counts = windows.where(F.col(value).isNotNull()).groupBy(F.col(value).cast("bigint").alias("v")).agg(
         F.count("*").alias("n")
     )
-    blocks = counts.groupBy(F.shiftright("v", 16).alias("block")).agg(F.sum("n").alias("n"))
-    total = F.sum("n").over(Window.partitionBy())
-    running = blocks.withColumn("upto", F.sum("n").over(Window.orderBy("block"))).withColumn(
-        "wanted", F.floor(F.lit(q) * (total - 1)) + 1
-    )
-    # Exactly one block satisfies this (none without rows), so broadcasting it is safe.
-    block = running.where("upto >= wanted AND upto - n < wanted").select(
-        "block", (F.col("wanted") - F.col("upto") + F.col("n")).alias("wanted")
-    )
-    inside = counts.withColumn("block", F.shiftright("v", 16)).join(F.broadcast(block), "block")
-    upto = F.sum("n").over(Window.orderBy("v"))
-    return (
-        inside.withColumn("upto", upto).where("upto >= wanted").agg(F.min("v").alias("threshold"))
+    first = counts.select("n", F.shiftright("v", 48).alias("digit"), F.lit(None).cast("bigint").alias("wanted"))
+    found = _picked(first, F.floor(F.lit(q) * (F.col("total") - 1)) + 1)
+    for shift in (32, 16, 0):
+        # ``found`` is one row, so broadcasting it is safe.
+        shared = counts.join(F.broadcast(found), F.shiftright("v", shift + 16) == F.col("prefix"))
+        found = _picked(shared.select("n", F.shiftright("v", shift).alias("digit"), "wanted"), F.col("wanted"))
+    return found.select(F.col("prefix").alias("threshold"))
+
+
+def _picked(rows: DataFrame, wanted: Column) -> DataFrame:
+    """(prefix, wanted): the digit that holds the element of a rank, and the element's rank within it; one row."""
+    cells = rows.groupBy("digit").agg(F.sum("n").alias("n"), F.max("wanted").alias("wanted"))
+    cells = cells.agg(
+        F.array_sort(F.collect_list(F.struct("digit", "n"))).alias("cells"), F.sum("n").alias("total"), F.max("wanted").alias("wanted")
     )
+    start = F.struct(F.lit(None).cast("bigint").alias("prefix"), wanted.cast("bigint").alias("wanted"))
+
+    def step(so_far: Column, cell: Column) -> Column:
+        here = F.struct(cell["digit"].alias("prefix"), so_far["wanted"].alias("wanted"))
+        on = F.struct(F.lit(None).cast("bigint").alias("prefix"), (so_far["wanted"] - cell["n"]).alias("wanted"))
+        return F.when(so_far["prefix"].isNotNull(), so_far).when(so_far["wanted"] <= cell["n"], here).otherwise(on)
+
+    return cells.select(F.aggregate("cells", start, step).alias("p")).select("p.*")
 
 
 def with_threshold(df: DataFrame, threshold: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from casebeacon.functions import expressions as X
 from casebeacon.operators import alerts, cleaning, envelope, evaluation, histograms, merge, metrics
 from casebeacon.operators import windows as W
-from casebeacon.plans import models, rollups, snapshots, views
+from casebeacon.plans import etl, models, newest, rollups, snapshots, views
 from casebeacon.schemas import CASE_PREDICTIONS, OUTBREAK_PREDICTIONS
 from casebeacon.session import work_dir
 from casebeacon.sources import files, jdbc, kafka, keyed
@@ -72,6 +72,19 @@ def read_raw_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(read.select(*columns, F.col(files.UNREADABLE).isNotNull().alias("unreadable")), "humidity", "rainfall_mm")
 
 
+@query
+def read_inferred_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of which some lack a field and hold whole numbers where others hold fractions; the schema comes from all."""
+    path = work_dir(spark, "inferred-json")
+    raw = views.cases_raw(spark, sf_dir)
+    early = F.substring("case_id", 2, 20).cast("bigint") % 2 == 0
+    files.write_json(raw.where(early).select("case_id", F.floor("humidity").alias("humidity")), f"{path}/a")
+    files.write_json(raw.where(~early).select("case_id", "humidity", "rainfall_mm", "district"), f"{path}/b")
+    read = files.read_inferred_json(spark, f"{path}/*/*.json")
+    unreadable = F.col(files.UNREADABLE).isNotNull().alias("unreadable")
+    return rounded(read.select("case_id", "humidity", "rainfall_mm", "district", unreadable), "humidity", "rainfall_mm")
+
+
 @query
 def read_clean_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_parquet(spark, f"{sf_dir}/events.parquet", views.SCHEMAS["events"]).select(
@@ -289,6 +302,20 @@ def clean_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def clean_cases_by_increments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The clean table after three lots of files, late copies among them; equals cleaning all at once."""
+    path = work_dir(spark, "clean-increments")
+    raw = _raw(spark, sf_dir)
+    for lot in range(3):
+        part = raw.where(F.crc32(F.col("timestamp_text").cast("binary")) % 3 == lot)
+        etl.add_to_clean(part, path, ts="timestamp_text", symptoms="symptoms_json")
+    clean = files.read_parquet(spark, path)
+    return rounded(
+        clean.withColumnRenamed("timestamp_text", "ts").drop("symptoms_json", "event_date"), "humidity", "rainfall_mm"
+    )
+
+
 simple("positive_flag", _raw, lambda df: df.select("case_id", "patient_age", X.positive_flag().alias("is_positive")))
 simple("case_label", _raw, lambda df: df.select("case_id", "patient_age", X.case_label().alias("label")))
 simple(
@@ -434,6 +461,22 @@ def outbreak_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.select("n", ((F.col("below") <= wanted + error) & (F.col("upto") >= wanted - error)).alias("within_error"))
 
 
+@query
+def stored_thresholds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The threshold of every month, merged from one stored sketch per day, and whether its rank is within one hundredth."""
+    path = work_dir(spark, "threshold-sketches")
+    windows = _windows(spark, sf_dir)
+    files.write_parquet(W.threshold_sketches(windows), path)
+    month = F.date_format("day", "yyyy-MM").alias("month")
+    merged = W.threshold_of_days(files.read_parquet(spark, path), by=[month])
+    exact = windows.select(F.date_format("date", "yyyy-MM").alias("month"), "positive_cases").join(merged, "month")
+    ranks = exact.groupBy("month", "n").agg(
+        F.count_if(F.expr("positive_cases < threshold")).alias("below"), F.count_if(F.expr("positive_cases <= threshold")).alias("upto")
+    )
+    wanted, error = F.col("n") * 0.75, F.col("n") * 0.01 + 1
+    return ranks.select("month", "n", ((F.col("below") <= wanted + error) & (F.col("upto") >= wanted - error)).alias("within_error"))
+
+
 simple("threshold_lower_q75", _windows, W.threshold_lower_quantile)
 simple("window_histogram", _windows, lambda df: histograms.window_histogram(df, W.threshold_lower_quantile(df)))
 
@@ -504,6 +547,23 @@ simple(
 simple("last_30_buckets", views.cases, lambda df: metrics.last_buckets(metrics.cases_per_minute(df, "ts")))
 
 
+def _cases_by_day(spark: SparkSession, sf_dir: str) -> str:
+    path = work_dir(spark, "cases-by-day")
+    files.write_parquet(views.cases(spark, sf_dir).withColumn("event_date", F.to_date("ts")), path, ["event_date"])
+    return path
+
+
+@query
+def recent_stored_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    recent = newest.recent_stored_cases(spark, _cases_by_day(spark, sf_dir), "ts")
+    return recent.select("case_id", "ts", "region_id", "rapid_test_result")
+
+
+@query
+def last_stored_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return newest.last_stored_buckets(spark, _cases_by_day(spark, sf_dir), "ts")
+
+
 @query
 def ordered_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Position of each region in the three ranked tables (one row per region each)."""

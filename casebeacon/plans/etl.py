@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from casebeacon.operators import cleaning, metrics
 from casebeacon.operators.envelope import dead_letters, decode_messages, good_records
 from casebeacon.session import work_dir
-from casebeacon.sources.files import read_parquet, remove, write_json, write_parquet
+from casebeacon.sources.files import exists, read_parquet, remove, write_json, write_parquet
+
+FILE_BYTES = 256_000_000  # of a file of the clean table, as shuffled
 
 
 def read_messages(spark: SparkSession, path: str) -> DataFrame:
@@ -49,6 +51,56 @@ def _write_clean(records: DataFrame, clean_path: str, written: Observation) -> N
     write_parquet(clean, clean_path, ["event_date"], ["region_id", "timestamp"], written)
 
 
+def add_to_clean(
+    records: DataFrame, clean_path: str, ts: str = "timestamp", symptoms: str = "symptoms", file_bytes: int = FILE_BYTES
+) -> dict[str, int]:
+    """Merges new records into the clean table and rewrites only the days that change.
+
+    These are the days of the new rows and those that hold older copies of their cases; to find the latter
+    only ids and days are read. The newest copy of a case wins, as if all files had been cleaned together, so
+    the same records may come again: a run that broke off is repaired by running it once more. A day that
+    loses its last row is removed. Without a table yet it is created; no records change nothing.
+    """
+    spark = records.sparkSession
+    fresh = cleaning.clean_cases(records, ts, symptoms).withColumn("event_date", F.to_date(ts))
+    order = ["event_date"], ["region_id", ts]
+    fresh_path, merged_path, written = work_dir(spark, "etl-fresh"), work_dir(spark, "etl-merged"), Observation("written")
+    write_parquet(fresh, fresh_path)
+    new = spark.read.schema(fresh.schema).parquet(fresh_path)
+    if new.isEmpty():
+        remove(spark, fresh_path)
+        return {"written": 0, "days": 0}
+    if not exists(spark, clean_path):
+        write_parquet(new, clean_path, *order, written, file_bytes=file_bytes)
+        days = new.select("event_date").distinct().count()
+        remove(spark, fresh_path)
+        return {"written": written.get["rows"], "days": days}
+    table = read_parquet(spark, clean_path)
+    older = table.select("case_id", "event_date").join(new.select("case_id"), "case_id", "left_semi")
+    days = [r.event_date for r in new.select("event_date").union(older.select("event_date")).distinct().collect()]  # one row per day
+    touched = F.col("event_date").isin([d for d in days if d is not None])
+    if None in days:
+        touched = touched | F.col("event_date").isNull()
+    both = table.where(touched).unionByName(new, allowMissingColumns=True).drop("symptom_count", "event_date")
+    merged = cleaning.dedupe_cases(both, "case_id", ts).transform(cleaning.with_symptom_count, symptoms)
+    write_parquet(merged.withColumn("event_date", F.to_date(ts)), merged_path)
+    merged = spark.read.parquet(merged_path)
+    write_parquet(merged, clean_path, *order, written, days_only=True, file_bytes=file_bytes)
+    left = {r.event_date for r in merged.select("event_date").distinct().collect()}
+    for day in days:
+        if day not in left:
+            remove(spark, f"{clean_path}/event_date={day or '__HIVE_DEFAULT_PARTITION__'}")
+    remove(spark, fresh_path)
+    remove(spark, merged_path)
+    spark.catalog.refreshByPath(clean_path)
+    return {"written": written.get["rows"], "days": len(days)}
+
+
+def run_etl_increment(spark: SparkSession, raw_path: str, clean_path: str) -> dict[str, int]:
+    """`run_etl` for further files: merges them into the clean table. Lines that are no records are left out."""
+    return add_to_clean(good_records(decode_messages(read_messages(spark, raw_path), required=())), clean_path)
+
+
 def _run_staged(spark: SparkSession, decoded: DataFrame, clean_path: str, dead_letter_path: str) -> dict[str, int]:
     staged, written = work_dir(spark, "etl"), Observation("written")
     bad = F.col("error").isNotNull()

@@ -601,6 +601,15 @@ UNION ALL SELECT 'unparsed_time', count(*) FROM cases_raw WHERE {_COMPLETE} AND
 WHERE rn = 1""",
         "cases_raw",
     ),
+    "read_inferred_json": with_views(
+        "SELECT case_id, CASE WHEN e THEN floor(humidity) ELSE round(humidity, 6) END AS humidity, "
+        "CASE WHEN NOT e THEN round(rainfall_mm, 6) END AS rainfall_mm, CASE WHEN NOT e THEN district END AS district, "
+        "false AS unreadable FROM (SELECT *, CAST(substr(case_id, 2) AS BIGINT) % 2 = 0 AS e FROM cases_raw)",
+        "cases_raw",
+    ),
+    "stored_thresholds": with_views(
+        "SELECT strftime(date, '%Y-%m') AS month, count(*) AS n, true AS within_error FROM windows GROUP BY 1", "windows"
+    ),
     "recent_cases": with_views(
         "SELECT case_id, ts, region_id, rapid_test_result FROM cases ORDER BY ts DESC, case_id LIMIT 20", "cases"
     ),
@@ -710,3 +719,6 @@ JOIN ({_INDEX.format(c='gender')}) g ON g.category = c.gender""",
 
 ORACLE["upsert_stored_cases"] = ORACLE["upsert_cases"]
 ORACLE["dashboard_rollups"] = ORACLE["dashboard_snapshot"]
+ORACLE["clean_cases_by_increments"] = ORACLE["clean_cases"]
+ORACLE["recent_stored_cases"] = ORACLE["recent_cases"]
+ORACLE["last_stored_buckets"] = ORACLE["last_30_buckets"]
