@@ -74,6 +74,35 @@ class SpanFollower:
         self._reachable = line[np.searchsorted(line, self._last.min(), "right") :]
 
 
+class Steps:
+    """How a stretch of the time line that begins at ``start`` maps the alert before it to the last alert inside it.
+
+    Row i holds for alerts before it that end their cooldown before ``first_upto[i]`` and not before the row above; an
+    alert whose cooldown outlasts all rows stays the last one. Later stretches are put behind by ``then``.
+    """
+
+    def __init__(self, start: int, cooldown: int):
+        self._cooldown = cooldown
+        self._stretch_end = start + cooldown
+        self.first_upto = np.empty(0, np.int64)
+        self.last = np.empty(0, np.int64)
+
+    def then(self, first_upto: np.ndarray, last: np.ndarray) -> None:
+        """Composes with the rows of a later stretch."""
+        if not len(last):
+            return
+        following = np.searchsorted(first_upto, self.last + self._cooldown, "right")
+        moves = following < len(last)
+        own = np.where(moves, last[np.minimum(following, len(last) - 1)], self.last)
+        # An alert before ``start`` blocks nothing from here on, so rows behind the first of these are never asked.
+        if not len(self.first_upto) or self.first_upto[-1] < self._stretch_end:
+            asked = int(np.searchsorted(first_upto, self._stretch_end, "left")) + 1
+            self.first_upto = np.concatenate([self.first_upto, first_upto[:asked]])
+            own = np.concatenate([own, last[:asked]])
+        ends_run = np.append(own[1:] != own[:-1], True)
+        self.first_upto, self.last = self.first_upto[ends_run], own[ends_run]
+
+
 def rolling_sums(
     times: np.ndarray, amounts: np.ndarray, at: np.ndarray, length: int
 ) -> np.ndarray:

@@ -29,6 +29,9 @@ COOLDOWN_SECONDS = 30
 WINDOWS_PER_SLICE = 10
 COOLDOWNS_PER_SLICE = 64
 
+# Slices whose summaries are composed into one, in one task.
+SLICES_PER_BLOCK = 4096
+
 _MICROS = 1_000_000
 
 
@@ -102,18 +105,26 @@ def rolling_moments(moments: DataFrame, *, window_seconds: int = WINDOW_SECONDS,
 
 
 def alert_cooldown(
-    candidates: DataFrame, *, cooldown_seconds: int = COOLDOWN_SECONDS, slice_seconds: int | None = None
+    candidates: DataFrame,
+    *,
+    cooldown_seconds: int = COOLDOWN_SECONDS,
+    slice_seconds: int | None = None,
+    slices_per_block: int = SLICES_PER_BLOCK,
 ) -> DataFrame:
     """Keeps a candidate only if it is strictly later than the last kept one plus the cooldown.
 
     ``candidates`` has ``region_id``, ``at`` (microseconds, unique per region) and
-    ``positives_in_window``. Three steps, the middle one small:
+    ``positives_in_window``. The alert before a stretch of time decides the last one in it by a step
+    function, and step functions compose, so no region is followed from end to end in one task:
 
-    1. per (region, slice): how the last alert before the slice decides the last one in it;
-    2. per region, over those summaries only: the alert each slice starts from;
-    3. per (region, slice): the alerts themselves.
+    1. per (region, slice): the step function of the slice;
+    2. per (region, block of slices): those of its slices composed into one;
+    3. per region, over blocks only: the alert each block starts from. A century has about 400 blocks
+       of the default length, however many candidates;
+    4. per (region, block): the alert each slice starts from;
+    5. per (region, slice): the alerts themselves.
 
-    Each step reads its rows as a sorted stream and holds no group in memory. Steps 1 and 3
+    Each step reads its rows as a sorted stream and holds no group in memory. Steps 1 and 5
     read the output of a window function: it is grouped by (region, slice) and sorted, and
     ``position`` 1 marks where a group begins.
     """
@@ -166,25 +177,60 @@ def alert_cooldown(
         if follower is not None:
             yield summary()
 
+    def compose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        region = block = span = steps = None
+        first_upto, last = [], []
+
+        def summary() -> pa.RecordBatch:
+            steps.then(np.array(first_upto, np.int64), np.array(last, np.int64))
+            size = len(steps.last)
+            return pa.RecordBatch.from_arrays(
+                [
+                    pa.array([region] * size, pa.string()),
+                    pa.array([block] * size, pa.int64()),
+                    pa.array(steps.first_upto, pa.int64()),
+                    pa.array(steps.last, pa.int64()),
+                ],
+                ["region_id", "block", "first_upto", "last"],
+            )
+
+        for batch in batches:
+            columns = (batch.column(c).to_pylist() for c in ("region_id", "block", "slice", "first_upto", "last"))
+            for row_region, row_block, row_span, row_first, row_last in zip(*columns):
+                if steps is None or (row_region, row_block) != (region, block):
+                    if steps is not None:
+                        yield summary()
+                    region, block, span = row_region, row_block, row_span
+                    steps = folds.Steps(block * slices_per_block * slice_length, cooldown)
+                    first_upto, last = [], []
+                elif row_span != span:
+                    steps.then(np.array(first_upto, np.int64), np.array(last, np.int64))
+                    span, first_upto, last = row_span, [], []
+                first_upto.append(row_first)
+                last.append(row_last)
+        if steps is not None:
+            yield summary()
+
     def follow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        region = span = entering = leaving = None
+        """The alert before each ``inner`` stretch of an ``outer`` one, whose own comes with its rows."""
+        region = outer = inner = leaving = None
         decided = started = False
         for batch in batches:
-            regions, spans, carried = [], [], []
-            columns = (batch.column(i).to_pylist() for i in range(4))
-            for row_region, row_span, first_upto, last in zip(*columns):
-                if not started or row_region != region:
-                    region, span, leaving, started = row_region, None, None, True
-                if row_span != span:
-                    span, entering, decided = row_span, leaving, False
+            regions, inners, carried = [], [], []
+            columns = (batch.column(i).to_pylist() for i in range(6))
+            for row_region, row_outer, row_inner, first_upto, last, before in zip(*columns):
+                if not started or (row_region, row_outer) != (region, outer):
+                    region, outer, inner, leaving, started = row_region, row_outer, None, before, True
+                if row_inner != inner:
+                    inner, entering, decided = row_inner, leaving, False
                     regions.append(region)
-                    spans.append(span)
+                    inners.append(inner)
                     carried.append(entering)
                 if not decided and (entering is None or first_upto > entering + cooldown):
                     leaving, decided = last, True
             yield pa.RecordBatch.from_arrays(
-                [pa.array(regions, pa.string()), pa.array(spans, pa.int64()), pa.array(carried, pa.int64())],
-                ["region_id", "slice", "entering"],
+                [pa.array(regions, pa.string()), pa.array(inners, pa.int64()), pa.array(carried, pa.int64())],
+                ["region_id", "inner", "entering"],
             )
 
     def select_kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -201,13 +247,31 @@ def alert_cooldown(
                     kept.extend(start + i for i in here)
             yield batch.select(["region_id", "at", "positives_in_window"]).take(pa.array(kept, pa.int64()))
 
-    summaries = ordered.mapInArrow(
-        summarise, "region_id string, slice bigint, first_upto bigint, last bigint"
+    # As above: both readers of the summaries share one shuffle.
+    summaries = (
+        ordered.mapInArrow(summarise, "region_id string, slice bigint, first_upto bigint, last bigint")
+        .withColumn("block", _slice("slice", slices_per_block))
+        .where("region_id IS NOT NULL AND block IS NOT NULL")
+        .repartition("region_id", "block")
+    )
+    blocks = (
+        summaries.sortWithinPartitions("region_id", "block", "slice", "first_upto")
+        .mapInArrow(compose, "region_id string, block bigint, first_upto bigint, last bigint")
+    )
+    followed = "region_id string, inner bigint, entering bigint"
+    block_starts = (
+        blocks.select("region_id", F.lit(0).cast("bigint"), "block", "first_upto", "last", F.lit(None).cast("bigint"))
+        .repartition("region_id")
+        .sortWithinPartitions("region_id", "block", "first_upto")
+        .mapInArrow(follow, followed)
+        .withColumnRenamed("inner", "block")
     )
     starts = (
-        summaries.repartition("region_id")
-        .sortWithinPartitions("region_id", "slice", "first_upto")
-        .mapInArrow(follow, "region_id string, slice bigint, entering bigint")
+        summaries.join(block_starts, ["region_id", "block"])
+        .select("region_id", "block", "slice", "first_upto", "last", "entering")
+        .sortWithinPartitions("region_id", "block", "slice", "first_upto")
+        .mapInArrow(follow, followed)
+        .withColumnRenamed("inner", "slice")
     )
     # The join keeps the grouping of its left side; the sort is dropped where it changes nothing.
     return (

@@ -85,7 +85,7 @@ def test_matches_model_for_any_slice(spark, slice_seconds):
     counts, fired = model(rows, 60, 10, 30)
     rolled = alerts.rolling_positive_count(frame(spark, rows), slice_seconds=slice_seconds)
     assert {(r, s): n for r, s, n in result(rolled)} == counts
-    kept = alerts.alert_cooldown(rolled.where("positives_in_window >= 10"), slice_seconds=slice_seconds)
+    kept = alerts.alert_cooldown(rolled.where("positives_in_window >= 10"), slice_seconds=slice_seconds, slices_per_block=3)
     got = kept.select("region_id", F.timestamp_micros("at").cast("timestamp_ntz").alias("ts"), "positives_in_window")
     assert result(got) == fired
     assert result(alerts.outbreak_alerts(frame(spark, rows))) == fired
@@ -138,6 +138,41 @@ def test_span_summaries_lead_to_the_same_chain(times, cooldown, length, gap, par
     assert chained == whole
 
 
+@settings(max_examples=300, deadline=None, suppress_health_check=[HealthCheck.too_slow])
+@given(times_in_spans, st.integers(0, 40), st.integers(1, 60), st.one_of(st.none(), st.integers(1, 60)), st.integers(1, 6))
+def test_composed_spans_lead_to_the_same_last_alert(times, cooldown, length, gap, size):
+    """The steps of a block of spans, composed, tell the block's last alert for any alert before it."""
+    line = np.array(sorted(times))
+    last = None if gap is None else int(line[0]) // (length * size) * length * size - gap
+    for block in sorted({t // (length * size) for t in times}):
+        inside = line[line // (length * size) == block]
+        steps = folds.Steps(block * size * length, cooldown)
+        for span in sorted({int(t) // length for t in inside}):
+            follower = folds.SpanFollower(span * length, cooldown)
+            follower.feed(inside[inside // length == span])
+            steps.then(*follower.exits())
+        assert (steps.first_upto[:-1] < steps.first_upto[1:]).all()
+        kept = folds.kept_positions(inside, cooldown, last)
+        want = int(inside[kept[-1]]) if kept else last
+        last = next((int(e) for f, e in zip(steps.first_upto, steps.last) if last is None or f > last + cooldown), last)
+        assert last == want
+
+
+def test_one_region_is_spread_by_blocks(spark):
+    """A region of 100,000 slices: tasks share its blocks, summaries are shuffled once, the chain is the whole one's."""
+    apart, cooldown = 7, 10
+    many = spark.range(300_000).select(F.lit("N").alias("region_id"), (F.col("id") * apart * 1_000_000).alias("at"), F.lit(10).cast("long").alias("positives_in_window"))
+    kept = alerts.alert_cooldown(many, cooldown_seconds=cooldown, slice_seconds=21, slices_per_block=256)
+    assert "ReusedExchange [region_id" in _final_plan(kept)
+    row = kept.agg(F.count("*"), F.min("at"), F.max("at"), F.sum(F.col("at") / 1_000_000 % (2 * apart))).first()
+    assert tuple(row) == (150_000, 0, 149_999 * 2 * apart * 1_000_000, 0.0)
+
+
+def _final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 @settings(max_examples=200, deadline=None)
 @given(
     st.lists(st.tuples(st.integers(0, 100), st.integers(1, 5)), max_size=40),
