@@ -1,5 +1,40 @@
 """DuckDB SQL for the queries that SQL can express."""
 
+OP1 = r"""
+WITH RECURSIVE w AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (SELECT r, doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+      ELSE list_distinct(list_transform(list_zip(ws, ws[2:], ws[3:], ws[4:], ws[5:])[:len(ws) - 4], lambda z: concat_ws(' ', z[1], z[2], z[3], z[4], z[5]))) END AS shingles FROM w),
+n AS (SELECT r, doc_id, CAST(len(shingles) AS BIGINT) AS n_shingles, shingles FROM s),
+t AS MATERIALIZED (SELECT min(r) AS t, n_shingles, shingles FROM (SELECT r, n_shingles, list_sort(shingles) AS shingles FROM n WHERE n_shingles > 0) GROUP BY n_shingles, shingles),
+m AS MATERIALIZED (SELECT r, t FROM n JOIN t ON n.n_shingles = t.n_shingles AND list_sort(n.shingles) = t.shingles),
+x AS MATERIALIZED (SELECT t, n_shingles, unnest(shingles) AS shingle FROM t),
+p AS (SELECT a.t AS a, b.t AS b FROM x a JOIN x b ON a.shingle = b.shingle AND a.t < b.t AND 4 * least(a.n_shingles, b.n_shingles) >= 3 * greatest(a.n_shingles, b.n_shingles)
+      GROUP BY a.t, b.t, a.n_shingles, b.n_shingles HAVING 100 * count(*) >= 75 * (a.n_shingles + b.n_shingles - count(*))),
+e AS MATERIALIZED (SELECT a, b FROM p UNION ALL SELECT b, a FROM p),
+c(t, l) AS (SELECT t, t FROM t UNION SELECT e.b, c.l FROM c JOIN e ON c.t = e.a WHERE c.l < e.b),
+g AS (SELECT t, min(l) AS l FROM c GROUP BY t),
+f AS (SELECT l, min(doc_id) AS component_id FROM g JOIN m USING (t) JOIN n USING (r) GROUP BY l),
+k AS (SELECT r, component_id FROM m JOIN g USING (t) JOIN f USING (l))
+SELECT doc_id, n_shingles, coalesce(component_id, doc_id) AS component_id, doc_id = coalesce(component_id, doc_id) AS kept FROM n LEFT JOIN k USING (r)
+"""
+
+# Hex digits, two a byte; strings of 200 bytes are compared by 64-bit hashes.
+OP2 = r"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, CAST(doc_id AS BIGINT) AS doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+q AS (SELECT r, since, substr(h, 2 * since + 1, 2 * 511 + 400) AS h FROM (SELECT r, h, unnest(range(0, strlen(h) // 2 - 199, 512)) AS since FROM d)),
+s AS (SELECT r, since + i AS i, hash(substr(h, 2 * i + 1, 400)) AS k FROM (SELECT r, since, h, unnest(range(0, strlen(h) // 2 - 199)) AS i FROM q)),
+o AS (SELECT r, i FROM s QUALIFY count(*) OVER (PARTITION BY k) > 1),
+b AS (SELECT r, i, CASE WHEN i <= lag(i) OVER (PARTITION BY r ORDER BY i) + 200 THEN 0 ELSE 1 END AS opens FROM o),
+n AS (SELECT r, i, sum(opens) OVER (PARTITION BY r ORDER BY i) AS span FROM b),
+spans AS (SELECT r, span, min(i) AS since, max(i) + 200 AS until FROM n GROUP BY r, span),
+kept AS (SELECT r, since, until, coalesce(lag(until) OVER (PARTITION BY r ORDER BY since), 0) AS before FROM spans),
+c AS (SELECT r, CAST(sum(until - since) AS BIGINT) AS n_removed, count(*) AS n_spans, max(until) AS until,
+      string_agg(substr(h, 2 * before + 1, 2 * (since - before)), '' ORDER BY since) AS head FROM kept JOIN d USING (r) GROUP BY r)
+SELECT doc_id, CAST(strlen(h) // 2 AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(CASE WHEN until IS NULL THEN h ELSE head || substr(h, 2 * until + 1) END)) AS kept_sha256
+FROM d LEFT JOIN c USING (r)
+"""
+
 OP6 = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
 d AS (SELECT page_id, strlen(html) AS payload_bytes, sha1(html) AS h FROM p),
@@ -68,4 +103,4 @@ SELECT v.page_id, v.host, count(hits.list) AS n_entries, coalesce(string_agg(DIS
 FROM v LEFT JOIN hits ON v.page_id = hits.page_id GROUP BY v.page_id, v.host
 """
 
-ORACLE: dict[str, str] = {"op6_warc": OP6, "op7_quality_rules": OP7, "op8_mixing": OP8, "op9_url_filters": OP9}
+ORACLE: dict[str, str] = {"op1_minhash_dedup": OP1, "op2_suffix_dedup": OP2, "op6_warc": OP6, "op7_quality_rules": OP7, "op8_mixing": OP8, "op9_url_filters": OP9}
