@@ -248,3 +248,15 @@ def test_suffix_dedup_keeps_columns_with_names_of_its_own(spark):
     docs = frame(spark, {1: "x" * 300, 2: None}).withColumns({"__": F.lit("a"), "Filler": F.lit("b"), "t": F.lit("c"), "runs": F.lit("d")})
     got = suffix_dedup.remove_repeats(docs).collect()
     assert [(r["__"], r["Filler"], r["t"], r["runs"]) for r in got] == [("a", "b", "c", "d")] * 2
+
+
+def test_a_passage_with_one_edited_word_is_found_wherever_the_edit_is():
+    """Five shingles differ; the passage of 60 words lies between different texts."""
+    rng, n = np.random.default_rng(5), 56
+    draw = lambda k: rng.integers(0, 2**60, k).astype(np.uint64)
+    for edit in range(n - 4):
+        a = draw(n)
+        b = a.copy()
+        b[edit : edit + 5] = draw(5)
+        found = substring_dedup.shared_passages(np.concatenate([draw(200), a, draw(200)]), np.concatenate([draw(150), b, draw(300)]), 46)
+        assert len(found) == 1
