@@ -6,7 +6,7 @@ sparse; doubles are rounded so that both sides of a comparison agree to the last
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
 
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -624,26 +624,36 @@ def _ingested(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def _message_files(spark: SparkSession, sf_dir: str, files_per_batch: int) -> DataFrame:
-    """All messages and, for every third case, a later one with an earlier time; four files as a stream.
+def _message_parts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, ...]:
+    """All messages and, for every third case, a later one with an earlier time, in four parts.
 
-    A case's first message lies in another file than its second, so batches of one file part them.
+    A case's first message lies in another part than its second, so batches of one part separate them.
     """
-    path = work_dir(spark, "messages")
     first = views.messages(spark, sf_dir)
     clean = views.cases(spark, sf_dir).withColumns({"ts": F.col("ts") - F.expr("INTERVAL '1' HOUR"), "patient_age": F.col("patient_age") + 100})
     again = views.messages_from(clean.where("event_id % 3 = 0")).withColumn("offset", F.col("offset") + 10**12)
-    for part in (first.where("offset % 2 = 0"), first.where("offset % 2 = 1"), again.where("offset % 2 = 1"), again.where("offset % 2 = 0")):
-        part.coalesce(1).write.mode("append").parquet(path)
-    return spark.readStream.schema(first.schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
+    return first.where("offset % 2 = 0"), first.where("offset % 2 = 1"), again.where("offset % 2 = 1"), again.where("offset % 2 = 0")
+
+
+def _append_parts(parts: Iterable[DataFrame], path: str) -> Iterator[None]:
+    """Appends each part to the folder and then pauses; the tasks that read a part write a file each.
+
+    A stream that is run in the pause takes the whole part as a batch, however many files hold it.
+    """
+    for part in parts:
+        part.write.mode("append").parquet(path)
+        yield
 
 
 @query
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same messages as one batch and as four; both tables, and compaction on the way, agree."""
-    out = []
-    for name, per_batch in (("one", 100), ("four", 1)):
-        path = _run_ingest(spark, _message_files(spark, sf_dir, per_batch), work_dir(spark, f"ingest-{name}"), work_dir(spark, "ingest-checkpoint"))
+    out, parts = [], _message_parts(spark, sf_dir)
+    for name in ("one", "four"):
+        source, path, checkpoint = work_dir(spark, "messages"), work_dir(spark, f"ingest-{name}"), work_dir(spark, "ingest-checkpoint")
+        for n, _ in enumerate(_append_parts(parts, source), 1):
+            if name == "four" or n == len(parts):
+                _run_ingest(spark, spark.readStream.schema(parts[0].schema).parquet(source), path, checkpoint)
         ingest.compact_cases(spark, path)
         out.append(_ingested(spark, path).select(F.lit(name).alias("batches"), "*"))
     return out[0].unionByName(out[1])
@@ -739,21 +749,20 @@ LAG_BATCHES = 4
 def lag_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lag per partition after each batch of a stream over the messages, as its progress events tell.
 
-    The messages lie in files of a quarter of the offsets each, and a batch takes one file.
+    The messages come in quarters of the offsets, and a batch takes one quarter.
     """
-    path, log = work_dir(spark, "topic"), work_dir(spark, "progress")
+    path, log, checkpoint = work_dir(spark, "topic"), work_dir(spark, "progress"), work_dir(spark, "lag-checkpoint")
     messages = views.messages(spark, sf_dir).select("partition", "offset")
     quarter = F.col("offset") * LAG_BATCHES / (messages.agg(F.max("offset")).scalar() + 1)
-    for n in range(LAG_BATCHES):
-        messages.where(F.floor(quarter) == n).coalesce(1).write.mode("append").parquet(path)
     listener = progress.ProgressLog(spark, log)
     spark.streams.addListener(listener)
     try:
-        stream = spark.readStream.schema("partition int, offset bigint").option("maxFilesPerTrigger", 1).parquet(path)
-        sink = progress.observe_positions(stream, range(5)).writeStream.format("noop")
-        running = sink.option("checkpointLocation", work_dir(spark, "lag-checkpoint")).trigger(**ONCE).start()
-        finish(running)
-        listener.wait_for(running)
+        for _ in _append_parts((messages.where(F.floor(quarter) == n) for n in range(LAG_BATCHES)), path):
+            stream = spark.readStream.schema("partition int, offset bigint").parquet(path)
+            sink = progress.observe_positions(stream, range(5)).writeStream.format("noop")
+            running = sink.option("checkpointLocation", checkpoint).trigger(**ONCE).start()
+            finish(running)
+            listener.wait_for(running)
     finally:
         spark.streams.removeListener(listener)
     ends = spark.read.schema("partition int, offset bigint").parquet(path).groupBy("partition").agg(F.max("offset").alias("end"))

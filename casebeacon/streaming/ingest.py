@@ -70,26 +70,24 @@ def batch_writer(
 
     Replaying a batch overwrites its own folders, so nothing is doubled. Place in the stream and
     batch number are kept, so the last arrival of a case is the same however batches are cut.
-    ``store`` performs each write; it is where a sink can fail.
+    ``store`` performs each write; it is where a sink can fail. Each write decodes the batch for itself:
+    kept parsed, the messages of one split of a compact source are many times its size.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         claim(batch.sparkSession, path, checkpoint)
-        decoded = decode_messages(batch).persist()
-        try:
-            records = good_records(decoded, keep=("partition", "offset")).withColumn("timestamp", X.parse_timestamp("timestamp"))
-            good = last_arrival(records, arrival=ARRIVAL[1:])
-            bad = dead_letters(decoded)
-            writes = (
-                lambda: good.write.mode("overwrite").parquet(f"{path}/cases/batch_id={batch_id}"),
-                lambda: bad.write.mode("overwrite")
-                .option("ignoreNullFields", "false")
-                .json(f"{path}/dead_letters/batch_id={batch_id}"),
-            )
-            for action in writes:
-                with_retries(lambda action=action: store(action), attempts, pause)
-        finally:
-            decoded.unpersist()
+        decoded = decode_messages(batch)
+        records = good_records(decoded, keep=("partition", "offset")).withColumn("timestamp", X.parse_timestamp("timestamp"))
+        good = last_arrival(records, arrival=ARRIVAL[1:])
+        bad = dead_letters(decoded)
+        writes = (
+            lambda: good.write.mode("overwrite").parquet(f"{path}/cases/batch_id={batch_id}"),
+            lambda: bad.write.mode("overwrite")
+            .option("ignoreNullFields", "false")
+            .json(f"{path}/dead_letters/batch_id={batch_id}"),
+        )
+        for action in writes:
+            with_retries(lambda action=action: store(action), attempts, pause)
 
     return write
 

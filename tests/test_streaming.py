@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import pathlib
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from casebeacon.operators import alerts, metrics
 from casebeacon.operators import windows as W
 from casebeacon.operators.envelope import dead_letters, decode_messages, good_records
-from casebeacon.plans import views
+from casebeacon.plans import catalog, views
 from casebeacon.sources import files
 from casebeacon.streaming import alerts as stream_alerts
 from casebeacon.streaming import ingest, live, progress
@@ -211,6 +212,25 @@ def test_ingest_equals_batch(spark, message_files, run_dir):
     assert ingested(spark, f"{run_dir}/out") == expected_ingest(df)
 
 
+def test_a_part_of_several_files_is_one_batch_and_is_not_kept_parsed(spark, message_files, run_dir):
+    _, df = message_files
+    held = []
+
+    def store(write):
+        write()
+        held.append(spark.sparkContext._jsc.getPersistentRDDs().size())
+
+    parts = [df.where(f"offset % 2 = {n}").repartition(3, "offset") for n in (0, 1)]
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    for n, _ in enumerate(catalog._append_parts(parts, f"{run_dir}/in"), 1):
+        assert len(list(pathlib.Path(f"{run_dir}/in").glob("*.parquet"))) == 3 * n
+        stream = spark.readStream.schema(df.schema).parquet(f"{run_dir}/in")
+        run(ingest.stream_ingest(stream, f"{run_dir}/out", f"{run_dir}/cp", ONCE, store=store))
+        assert files.numbered_folders(spark, f"{run_dir}/out/cases", "batch_id") == list(range(n))
+    assert ingested(spark, f"{run_dir}/out") == expected_ingest(df)
+    assert held == [before] * 4
+
+
 def test_a_compacted_table_and_newer_batches(spark, message_files, run_dir):
     _, df = message_files
     out, columns = f"{run_dir}/out", ["case_id", "region_id", "patient_age"]
