@@ -191,6 +191,32 @@ def test_passages_inside_a_component_whose_list_heads_lack_them(spark):
     assert all(x <= a <= x + 4 and y - 4 <= b <= y for d in want for (a, b), (x, y) in zip(got[d], want[d], strict=True))
 
 
+def test_passages_in_long_lists_that_end_with_the_text(spark):
+    """All windows of the pairs lie in lists of a common line; the passage has no second centre after it."""
+    rng = random.Random(21)
+    own = lambda n: prose(rng, n, 10**6)
+    line, rows = own(30), [(-1, own(60))]
+    rows += [(1000 + i, own(40) + " " + line + " " + own(40)) for i in range(40)]
+    for i in range(0, 60, 2):
+        rest = own(22)
+        rows += [(i, own(60) + " " + rest + " " + line), (i + 1, own(70) + " " + rest + " " + line)]
+    got = {r.doc_id: r for r in substring_dedup.near_duplicate_passages(frame(spark, rows)).collect()}
+    assert [i for i in range(60) if got[i].class_id != i - i % 2 or got[i].n_spans != 1] == []
+    assert not any(got[1000 + i].n_spans for i in range(40))
+
+
+def test_passages_of_common_lines_only(spark, monkeypatch):
+    """Different texts made of the same common words around: only windows full of common tokens are compared."""
+    monkeypatch.setattr(substring_dedup, "COLD", 2)
+    rng = random.Random(22)
+    own = lambda n: prose(rng, n, 10**6)
+    lines = [own(70) for _ in range(3)]
+    rows = [(10 * n + i, " ".join([own(50 + i), line, own(55)])) for n, line in enumerate(lines) for i in range(6)]
+    rows += [(100, lines[0] + " " + own(200) + " " + lines[1]), (101, " ".join(line[: len(line) // 3] for line in lines))]
+    got = {r.doc_id: r for r in substring_dedup.near_duplicate_passages(frame(spark, rows)).collect()}
+    assert {d: r.class_id for d, r in got.items()} == {d: 20 if 20 <= d < 26 else 101 if d == 101 else 0 for d in got}
+
+
 @pytest.mark.parametrize("size", [500, 1000, 2000])
 def test_neighbouring_passages_that_stand_apart_in_the_other_text(size):
     rng = np.random.default_rng(size)
