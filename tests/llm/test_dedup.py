@@ -1,4 +1,5 @@
 import hashlib
+import os
 import random
 from collections import Counter
 
@@ -217,6 +218,34 @@ def test_passages_of_common_lines_only(spark, monkeypatch):
     assert {d: r.class_id for d, r in got.items()} == {d: 20 if 20 <= d < 26 else 101 if d == 101 else 0 for d in got}
 
 
+def test_passages_leave_no_tables_and_hand_a_text_to_python_once(spark, monkeypatch):
+    """Disk holds what a later step reads; surroundings are written for one window of each kind, and texts aren't repeated."""
+    monkeypatch.setattr(substring_dedup, "COLD", 2)
+    given, real, handed, paired = [], substring_dedup.stored, [], substring_dedup._with_texts
+
+    def recorded(df, label, settings=None):
+        given.append((label, real(df, label, settings)))
+        return given[-1][1]
+
+    def counted(windows, bodies, work, more):
+        handed.append((windows.count(), windows.select("t").distinct().count(), bodies.count()))
+        return paired(windows, bodies, work, more)
+
+    monkeypatch.setattr(substring_dedup, "stored", recorded)
+    monkeypatch.setattr(substring_dedup, "_with_texts", counted)
+    rng = random.Random(23)
+    own = lambda n: prose(rng, n, 10**6)
+    line, copied = own(20), own(90)
+    rows = [(i, own(40) + " " + line + " " + own(40)) for i in range(12)] + [(20 + i, own(30) + " " + copied + " " + line) for i in range(4)]
+    passages, labels = substring_dedup.passage_links(frame(spark, rows))
+    assert {r.label for r in labels.collect()} and labels.count() == 4
+    assert {label for label, table in given if os.path.exists(table.stored_at)} <= {"passages"}
+    written = {label: table.columns for label, table in given}
+    assert [label for label, columns in written.items() if "near" in columns] == ["passage-near"]
+    (all_windows, texts, bodies), (firsts, _, _) = handed
+    assert texts == bodies < all_windows and firsts <= all_windows
+
+
 @pytest.mark.parametrize("size", [500, 1000, 2000])
 def test_neighbouring_passages_that_stand_apart_in_the_other_text(size):
     rng = np.random.default_rng(size)
