@@ -221,10 +221,12 @@ def test_passages_of_common_lines_only(spark, monkeypatch):
 def test_passages_leave_no_tables_and_hand_a_text_to_python_once(spark, monkeypatch):
     """Disk holds what a later step reads; surroundings are written for one window of each kind, and texts aren't repeated."""
     monkeypatch.setattr(substring_dedup, "COLD", 2)
+    monkeypatch.setattr(substring_dedup, "SLICE_ROWS", 50)
+    monkeypatch.setattr(substring_dedup, "SLICE_PAIRS", 2)
     given, real, handed, paired = [], substring_dedup.stored, [], substring_dedup._with_texts
 
-    def recorded(df, label, settings=None):
-        given.append((label, real(df, label, settings)))
+    def recorded(df, label, *settings, **more):
+        given.append((label, real(df, label, *settings, **more)))
         return given[-1][1]
 
     def counted(windows, bodies, work, more):
@@ -243,6 +245,8 @@ def test_passages_leave_no_tables_and_hand_a_text_to_python_once(spark, monkeypa
     written = {label: table.columns for label, table in given}
     assert [label for label, columns in written.items() if "near" in columns] == ["passage-near"]
     (all_windows, texts, bodies), (firsts, _, _) = handed
+    slices = [label for label, _ in given].count("passage-tokens")
+    assert slices == min(substring_dedup.SLICES, 1 + firsts // 50) > 1
     assert texts == bodies < all_windows and firsts <= all_windows
 
 
