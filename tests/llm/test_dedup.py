@@ -250,6 +250,62 @@ def test_passages_leave_no_tables_and_hand_a_text_to_python_once(spark, monkeypa
     assert texts == bodies < all_windows and firsts <= all_windows
 
 
+def test_a_text_that_repeats_a_line_has_one_row_per_list(spark, monkeypatch):
+    """Its many windows with one key are one row where lists are made and where members are paired."""
+    monkeypatch.setattr(substring_dedup, "COLD", 4)
+    real, rows_of = substring_dedup.stored, {}
+
+    def recorded(df, label, *settings, **more):
+        out = real(df, label, *settings, **more)
+        if label in ("passage-windows", "passage-open"):
+            rows_of.setdefault(label, []).append((out.count(), out.select("key", "t").distinct().count()))
+        return out
+
+    monkeypatch.setattr(substring_dedup, "stored", recorded)
+    rng = random.Random(24)
+    own = lambda n: prose(rng, n, 10**6)
+    lines = [own(20) for _ in range(3)]
+    rows = [(i, " ".join(x for _ in range(12) for x in [rng.choice(lines), own(rng.randrange(1, 12))])) for i in range(20)]
+    rows += [(100 + i, own(30) + " " + " ".join(lines) + " " + own(30 + i)) for i in range(6)]
+    got = {r.doc_id: r for r in substring_dedup.near_duplicate_passages(frame(spark, rows)).collect()}
+    assert len({got[100 + i].class_id for i in range(6)}) == 1 and all(got[100 + i].n_dup_words >= 55 for i in range(6))
+    assert len(rows_of["passage-windows"]) == 1 and len(rows_of["passage-open"]) >= 4
+    assert [x for found in rows_of.values() for x in found if x[0] != x[1]] == []
+
+
+def test_pairs_of_members_are_those_of_all_their_windows(spark):
+    """Ends and pairs as from comparing each window of a list with each other one."""
+    rng = random.Random(25)
+    label = {t: rng.randrange(4) for t in range(30)}
+    windows = []
+    for key in range(40):
+        for t in rng.sample(range(30), rng.randrange(1, 9)):
+            for _ in range(rng.randrange(1, 5)):
+                left = rng.randrange(500)
+                windows.append((key, t, left, left + rng.randrange(50, 90), label[t], rng.random() < 0.15))
+    met = {}
+    for x in windows:
+        for y in windows:
+            if x[0] == y[0] and x[1] < y[1] and (x[4] != y[4] or x[5] or y[5]):
+                met.setdefault((x[1], y[1]), []).append((x[0], x[2], x[3], y[2], y[3]))
+    for enough in (1, 2):
+        want = {(a, b, *(f(m[i] for m in p) for i, f in enumerate((min, max, min, max), 1))) for (a, b), p in met.items() if len({m[0] for m in p}) >= enough}
+        made = spark.createDataFrame(windows, "key long, t long, left int, right int, label long, open boolean")
+        got = substring_dedup._crossing(made, enough).select("a", "b", "la", "ra", "lb", "rb").collect()
+        assert len(got) == len(want) and {tuple(r) for r in got} == want
+
+
+def test_the_fewest_different_tokens_and_the_possible_stretches():
+    rng = np.random.default_rng(26)
+    for _ in range(300):
+        least, x = int(rng.integers(1, 12)), rng.integers(0, rng.integers(1, 40), rng.integers(0, 60))
+        stretches = [len(set(x[i : i + least])) for i in range(len(x) - least + 1)]
+        assert substring_dedup._fewest(substring_dedup._earlier(x), least) == min(stretches, default=least)
+        hit = rng.random(len(x)) < 0.6
+        dense = any(hit[i:j].sum() >= 0.75 * (j - i) for i in range(len(x)) for j in range(i + least, len(x) + 1))
+        assert substring_dedup._possible(hit, least) == dense
+
+
 @pytest.mark.parametrize("size", [500, 1000, 2000])
 def test_neighbouring_passages_that_stand_apart_in_the_other_text(size):
     rng = np.random.default_rng(size)
